@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.functions.frames import literal_frame
+
 
 class UnknownCuratedTable(KeyError):
     """The key is not a curated table."""
@@ -115,9 +117,7 @@ CURATED_TABLES = [
 
 def prefectures(spark: SparkSession) -> DataFrame:
     """``code, area_code, name_en, name_ja, region_en`` (47 rows)."""
-    df = spark.createDataFrame(
-        PREFECTURES, "code string, name_en string, name_ja string, region_en string"
-    )
+    df = literal_frame(spark, PREFECTURES, "code string, name_en string, name_ja string, region_en string")
     return df.select("code", F.concat("code", F.lit("000")).alias("area_code"),
                      "name_en", "name_ja", "region_en")
 
@@ -127,9 +127,8 @@ def designated_cities(spark: SparkSession, year: int | None = None) -> DataFrame
 
     ``year`` is the boundary vintage the ranges describe (null = current);
     ward recodings can be added as further vintages."""
-    df = spark.createDataFrame(
-        DESIGNATED_CITIES, "parent_code string, parent_name string, ward_min int, ward_max int"
-    )
+    df = literal_frame(spark, DESIGNATED_CITIES,
+                       "parent_code string, parent_name string, ward_min int, ward_max int")
     return df.withColumn("year", F.lit(year).cast("int"))
 
 
@@ -145,9 +144,8 @@ def designated_wards(spark: SparkSession) -> DataFrame:
 
 def curated_tables(spark: SparkSession) -> DataFrame:
     """``key, stats_data_id, label_en, label_ja`` (5 rows)."""
-    return spark.createDataFrame(
-        CURATED_TABLES, "key string, stats_data_id string, label_en string, label_ja string"
-    )
+    return literal_frame(spark, CURATED_TABLES,
+                         "key string, stats_data_id string, label_en string, label_ja string")
 
 
 def lookup_curated_id(key) -> str:

@@ -26,6 +26,7 @@ from statlake.operators.quality import (
 )
 from statlake.operators.search import reorder_search_columns, search_catalog, search_tables
 from statlake.plans import testdata as td
+from statlake.plans.lake import landed_cube
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
 from statlake.sources.flatten import flatten_json, flatten_wide
@@ -37,8 +38,11 @@ ORDER_KEY = ["page_offset", "pos", "l_partkey", "l_suppkey", "l_extendedprice",
 
 
 def _tidy_cube(spark, sf, **kw):
-    obs = td.cube_observations(spark, sf, with_order_key=kw.pop("with_order_key", False))
-    return tidy(obs, td.cube_classes(spark, sf), td.cube_notes(spark),
+    lake = landed_cube(spark, sf)
+    obs = lake["observations"]
+    if not kw.get("keep_lineage"):
+        obs = obs.drop(*ORDER_KEY[2:])
+    return tidy(obs, lake["classes"], lake["notes"],
                 stats_data_id=td.CUBE_ID, lang="E", **kw)
 
 
@@ -51,7 +55,7 @@ def tidy_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def coded_only(spark: SparkSession, sf: str) -> DataFrame:
-    obs = td.cube_observations(spark, sf)
+    obs = landed_cube(spark, sf)["observations"]
     return coded(obs, stats_data_id=td.CUBE_ID, axes=CUBE_AXES)
 
 
@@ -69,7 +73,7 @@ def time_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def limit_offset(spark: SparkSession, sf: str) -> DataFrame:
-    d = _tidy_cube(spark, sf, with_order_key=True, limit=1000, start_position=101,
+    d = _tidy_cube(spark, sf, limit=1000, start_position=101,
                    order_by=ORDER_KEY, keep_lineage=True).data
     return d.select("area_code", "time_code", "cat01_code", "cat02_code", "value", "annotation",
                     "page_offset", "pos", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -286,7 +290,7 @@ def prefecture_prefixes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def area_levels(spark: SparkSession, sf: str) -> DataFrame:
-    cube = td.cube_observations(spark, sf).agg(geo.level_of("area").alias("level"))
+    cube = landed_cube(spark, sf)["observations"].agg(geo.level_of("area").alias("level"))
     muni = td.customer_municipalities(spark, sf).agg(geo.level_of("area_code").alias("level"))
     return cube.select(F.lit("cube").alias("source"), "level").unionByName(
         muni.select(F.lit("customers").alias("source"), "level"))

@@ -22,6 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.functions.frames import literal_frame
 from statlake.plans.reference import DESIGNATED_CITIES
 
 CUBE_ID = "0003000001"
@@ -118,52 +119,45 @@ JOIN customer c ON o.o_custkey = c.c_custkey"""
 
 
 def cube_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long code lists of the cube, in both languages."""
+    """Long code lists of the cube, in both languages (three plan branches:
+    fixed lists as literals, regions, nations)."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    rows = []
-    for lang_idx, lang in ((0, "E"), (1, "J")):
-        def axis_cols(axis):
-            name = AXIS_NAMES[axis]
-            return [F.lit(CUBE_ID).alias("stats_data_id"), F.lit(lang).alias("lang"),
-                    F.lit(axis).alias("axis"), F.lit(name[lang_idx]).alias("axis_name"),
-                    F.lit(name[2]).cast("int").alias("axis_pos")]
-
+    fixed = []
+    for li, lang in ((0, "E"), (1, "J")):
         for axis, codes in (("cat01", CAT01_CODES), ("cat02", CAT02_CODES)):
-            lst = spark.createDataFrame([(c, e if lang == "E" else j) for c, e, j in codes],
-                                        "code string, name string")
-            rows.append(lst.select(*axis_cols(axis), "code", "name",
-                                   F.lit("1").alias("level"), F.lit(None).cast("string").alias("unit"),
-                                   F.lit(None).cast("string").alias("parent")))
-        root_name = "All areas" if lang == "E" else "全地域"
-        root = spark.range(1).select(
-            *axis_cols("area"), F.lit("00000").alias("code"), F.lit(root_name).alias("name"),
-            F.lit("1").alias("level"), F.lit(None).cast("string").alias("unit"),
-            F.lit(None).cast("string").alias("parent"))
-        reg_name = F.col("r_name") if lang == "E" else F.concat(F.col("r_name"), F.lit("地方"))
-        regions = region.select(
-            *axis_cols("area"),
-            F.concat(F.lit("9"), (F.col("r_regionkey") + 1).cast("string"), F.lit("000")).alias("code"),
-            reg_name.alias("name"), F.lit("2").alias("level"), F.lit(None).cast("string").alias("unit"),
-            F.lit("00000").alias("parent"))
-        nat_name = F.col("n_name") if lang == "E" else F.concat(F.col("n_name"), F.lit("国"))
-        nations = nation.where(F.col("n_nationkey") != LEFT_OUT_NATION).select(
-            *axis_cols("area"),
-            F.concat(F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0"), F.lit("000")).alias("code"),
-            nat_name.alias("name"), F.lit("3").alias("level"), F.lit(None).cast("string").alias("unit"),
-            F.concat(F.lit("9"), (F.col("n_regionkey") + 1).cast("string"), F.lit("000")).alias("parent"))
-        year_name = F.col("id").cast("string")
-        if lang == "J":
-            year_name = F.concat(year_name, F.lit("年"))
-        years = spark.range(*YEARS).select(
-            *axis_cols("time"), F.concat(F.col("id").cast("string"), F.lit("000000")).alias("code"),
-            year_name.alias("name"), F.lit("1").alias("level"), F.lit(None).cast("string").alias("unit"),
-            F.lit(None).cast("string").alias("parent"))
-        rows += [root, regions, nations, years]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+            for c, e, j in codes:
+                fixed.append((lang, axis, AXIS_NAMES[axis][li], AXIS_NAMES[axis][2], c, (e, j)[li], "1", None))
+        fixed.append((lang, "area", AXIS_NAMES["area"][li], AXIS_NAMES["area"][2], "00000",
+                      ("All areas", "全地域")[li], "1", None))
+        for y in range(*YEARS):
+            fixed.append((lang, "time", AXIS_NAMES["time"][li], AXIS_NAMES["time"][2], f"{y}000000",
+                          (str(y), f"{y}年")[li], "1", None))
+    lit = literal_frame(spark, fixed, "lang string, axis string, axis_name string, axis_pos int, "
+                                     "code string, name string, level string, parent string")
+    langs = F.explode(F.array(F.lit("E"), F.lit("J"))).alias("lang")
+    area_name = F.when(F.col("lang") == "E", F.lit(AXIS_NAMES["area"][0])).otherwise(F.lit(AXIS_NAMES["area"][1]))
+
+    def area_rows(df, code, name_e, name_j, level, parent):
+        return df.select(langs, code.alias("code"), name_e.alias("name_e"), name_j.alias("name_j"),
+                         parent.alias("parent")).select(
+            "lang", F.lit("area").alias("axis"), area_name.alias("axis_name"),
+            F.lit(AXIS_NAMES["area"][2]).alias("axis_pos"), "code",
+            F.when(F.col("lang") == "E", F.col("name_e")).otherwise(F.col("name_j")).alias("name"),
+            F.lit(level).alias("level"), "parent")
+
+    regions = area_rows(
+        region, F.concat(F.lit("9"), (F.col("r_regionkey") + 1).cast("string"), F.lit("000")),
+        F.col("r_name"), F.concat(F.col("r_name"), F.lit("地方")), "2", F.lit("00000"))
+    nations = area_rows(
+        nation.where(F.col("n_nationkey") != LEFT_OUT_NATION),
+        F.concat(F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0"), F.lit("000")),
+        F.col("n_name"), F.concat(F.col("n_name"), F.lit("国")), "3",
+        F.concat(F.lit("9"), (F.col("n_regionkey") + 1).cast("string"), F.lit("000")))
+    out = lit.unionByName(regions).unionByName(nations)
+    return out.select(F.lit(CUBE_ID).alias("stats_data_id"), "lang", "axis", "axis_name",
+                      F.col("axis_pos").cast("int").alias("axis_pos"), "code", "name", "level",
+                      F.lit(None).cast("string").alias("unit"), "parent")
 
 
 def _values_sql(rows, cols):
@@ -215,9 +209,8 @@ def cube_classes_sql(lang: str = "E") -> str:
 
 
 def cube_notes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(CUBE_ID, "E", c, n) for c, n in CUBE_NOTES],
-        "stats_data_id string, lang string, char string, note string")
+    return literal_frame(spark, [(CUBE_ID, "E", c, n) for c, n in CUBE_NOTES],
+                         "stats_data_id string, lang string, char string, note string")
 
 
 CUBE_NOTES_SQL = _values_sql([(c, n) for c, n in CUBE_NOTES], ["char", "note"])
@@ -582,7 +575,7 @@ def customer_hierarchy_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(rows(n, nat, reg, "3"))
         .unionByName(rows(r, F.concat(F.lit("9"), (F.col("r_regionkey") + 1).cast("string"), F.lit("000")),
                           F.lit("00000"), "2"))
-        .unionByName(rows(spark.range(1), F.lit("00000"), F.lit(None).cast("string"), "1"))
+        .unionByName(rows(spark.range(0, 1, 1, numPartitions=1), F.lit("00000"), F.lit(None).cast("string"), "1"))
     )
 
 
