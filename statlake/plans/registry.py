@@ -170,7 +170,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def _catalog_long(spark, sf):
     rec = catalog_records(td.catalog_pages(spark, sf))
     rec = rec.select(F.get_json_object("record", "$['@id']").alias("table_id"), "record")
-    return flatten_json(rec, "record", id_col="table_id")
+    return flatten_json(rec, "record", id_col="table_id", max_depth=4)
 
 
 def catalog_flatten_long(spark: SparkSession, sf: str) -> DataFrame:

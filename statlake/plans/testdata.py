@@ -27,7 +27,7 @@ from statlake.plans.reference import DESIGNATED_CITIES
 
 CUBE_ID = "0003000001"
 EVENTS_ID = "0003000002"
-PAGE_SIZE = 99
+PAGE_SIZE = 999
 UNIT = "件"
 
 # Fixed values of the adapter (invented for the test tables).
@@ -89,7 +89,9 @@ def cube_observations(spark: SparkSession, sf_dir: str, with_order_key: bool = F
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     oc = od.join(cu, od["o_custkey"] == cu["c_custkey"])
-    j = li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
+    # lineitem and orders both grow with the data: never broadcast either
+    # side; hash-partition both on the order key (AQE still splits skew).
+    j = li.join(oc.hint("shuffle_hash"), li["l_orderkey"] == oc["o_orderkey"])
     cols = [
         F.lit(CUBE_ID).alias("stats_data_id"),
         F.lit("E").alias("lang"),

@@ -21,20 +21,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CONTAINER = "(startswith(schema_of_variant(n.v), 'OBJECT') OR startswith(schema_of_variant(n.v), 'ARRAY'))"
-
-_LEVEL = f"""
+_LEVEL = """
 SELECT row_id, path, v FROM (
   SELECT n.row_id,
-         CASE WHEN {_CONTAINER} THEN
+         CASE WHEN n.is_container THEN
            concat_ws('_', nullif(n.path, ''),
                      CASE WHEN e.key IS NULL THEN CAST(e.pos + 1 AS STRING)
                           WHEN e.key = '$' THEN NULL
                           ELSE regexp_replace(e.key, '^@', '') END)
          ELSE n.path END AS path,
-         CASE WHEN {_CONTAINER} THEN e.value ELSE n.v END AS v,
-         ({_CONTAINER} AND e.pos IS NULL) AS empty_container
-  FROM {{nodes}} AS n, LATERAL variant_explode_outer(n.v) AS e
+         CASE WHEN n.is_container THEN e.value ELSE n.v END AS v,
+         (n.is_container AND e.pos IS NULL) AS empty_container
+  FROM (SELECT row_id, path, v,
+               (try_variant_get(v, '$', 'map<string,variant>') IS NOT NULL
+                OR try_variant_get(v, '$', 'array<variant>') IS NOT NULL) AS is_container
+        FROM {nodes}) AS n,
+  LATERAL variant_explode_outer(n.v) AS e
 ) WHERE NOT empty_container
 """
 
@@ -54,8 +56,8 @@ def flatten_json(df: DataFrame, json_col: str = "record", id_col: str = "row_id"
     ).where(F.col("v").isNotNull())
     for _ in range(max_depth):
         nodes = spark.sql(_LEVEL, nodes=nodes)
-    t = F.schema_of_variant(F.col("v"))
-    container = t.startswith("OBJECT") | t.startswith("ARRAY")
+    container = (F.try_variant_get(F.col("v"), "$", "map<string,variant>").isNotNull()
+                 | F.try_variant_get(F.col("v"), "$", "array<variant>").isNotNull())
     value = F.when(
         container, F.raise_error(F.lit(f"flatten_json: nesting deeper than max_depth={max_depth}"))
     ).otherwise(F.col("v").cast("string"))
