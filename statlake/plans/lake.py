@@ -67,3 +67,28 @@ def landed_cube(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "classes": spark.read.schema(CLASSES_SCHEMA).parquet(f"{base}/classes"),
         "notes": spark.read.schema(NOTES_SCHEMA).parquet(f"{base}/notes"),
     }
+
+
+def land_responses(bodies: DataFrame, base: str, mode: str = "append") -> None:
+    """Sink for landed data pages: observations, code lists, notes and a
+    page manifest as parquet under ``base``, partitioned by table id.
+    Each write goes through Spark's file commit protocol, so a failed job
+    leaves no half-written output."""
+    from statlake.sources.responses import class_rows, note_rows, page_info, value_rows
+
+    value_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/observations")
+    class_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/classes")
+    note_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/notes")
+    page_info(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/manifest")
+
+
+def read_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Readers for a lake written by ``land_responses``."""
+    from statlake.model import OBSERVATION_SCHEMA
+
+    return {
+        "observations": spark.read.schema(OBSERVATION_SCHEMA).parquet(f"{base}/observations"),
+        "classes": spark.read.schema(CLASSES_SCHEMA).parquet(f"{base}/classes"),
+        "notes": spark.read.schema(NOTES_SCHEMA).parquet(f"{base}/notes"),
+        "manifest": spark.read.option("basePath", f"{base}/manifest").parquet(f"{base}/manifest"),
+    }

@@ -135,6 +135,7 @@ WHERE ({_kw('hot')} OR {_kw('plate')})
   AND substr(regexp_replace(UPDATED_DATE, '[^0-9]', '', 'g'), 1, 8) BETWEEN '20210100' AND '20220699'""",
     "search_default_limit": f"""SELECT {FRIENDLY} FROM {CATALOG}
 WHERE {_kw('ring')} AND GOV_ORG_code = '00017' ORDER BY id LIMIT 100""",
+    "file_catalog_long": td.FILE_CATALOG_LONG_SQL,
     "props_flatten": """SELECT event_id AS row_id, j.key AS path, j.value ->> '$' AS value
 FROM events, json_each(props) AS j""",
     "status_classes": td.STATUS_SQL,

@@ -191,6 +191,12 @@ def search_default_limit(spark: SparkSession, sf: str) -> DataFrame:
     return search_tables(_catalog_wide(spark, sf), keyword="ring", gov_org="00017")
 
 
+def file_catalog_long(spark: SparkSession, sf: str) -> DataFrame:
+    rec = catalog_records(td.file_catalog_pages(spark, sf), kind="catalog")
+    rec = rec.select(F.get_json_object("record", "$['@id']").alias("dataset_id"), "record")
+    return flatten_json(rec, "record", id_col="dataset_id", max_depth=5).withColumnRenamed("row_id", "dataset_id")
+
+
 def props_flatten(spark: SparkSession, sf: str) -> DataFrame:
     ev = td.table(spark, sf, "events").select("event_id", "props")
     return flatten_json(ev, "props", id_col="event_id")
@@ -323,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_flatten_long": catalog_flatten_long,
     "catalog_search": catalog_search,
     "search_default_limit": search_default_limit,
+    "file_catalog_long": file_catalog_long,
     "props_flatten": props_flatten,
     "status_classes": status_classes,
     "contract_violations": contract_report,

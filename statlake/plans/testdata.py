@@ -586,3 +586,55 @@ HIERARCHY_CLASSES_SQL = f"""SELECT 'C' || CAST(c_custkey AS VARCHAR) AS code,
 UNION ALL SELECT lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') || '000', '9' || CAST(n_regionkey + 1 AS VARCHAR) || '000' FROM nation
 UNION ALL SELECT '9' || CAST(r_regionkey + 1 AS VARCHAR) || '000', '00000' FROM region
 UNION ALL SELECT '00000', NULL"""
+
+
+# ---------------------------------------------------------------------------
+# File catalogue pages (from pages)
+# ---------------------------------------------------------------------------
+
+RESOURCES_PER_DATASET = 5
+DATASETS_PER_BODY = 50
+
+
+def file_catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``GET_DATA_CATALOG`` bodies: every ``RESOURCES_PER_DATASET``
+    consecutive web pages form one dataset whose resources are the page
+    URLs (a lone resource is written as an object, not an array)."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    ds = pages.groupBy(F.floor(F.col("page_id") / RESOURCES_PER_DATASET).alias("ds")).agg(
+        F.array_sort(F.collect_list(F.struct("page_id", "url"))).alias("res"))
+    res = F.transform("res", lambda r: F.struct(F.concat(F.lit("R"), r["page_id"].cast("string")).alias("@id"),
+                                                r["url"].alias("URL")))
+    res_json = F.when(F.size("res") == 1, F.to_json(F.get(res, 0))).otherwise(F.to_json(res))
+    title = F.regexp_extract(F.get(F.col("res"), 0)["url"], "://([^/]+)", 1)
+    record = F.concat(
+        F.lit('{"@id":"D'), F.format_string("%06d", F.col("ds")), F.lit('","DATASET":'),
+        F.to_json(F.struct(title.alias("TITLE"))), F.lit(',"RESOURCES":{"RESOURCE":'), res_json, F.lit("}}"))
+    recs = ds.select(F.floor(F.col("ds") / DATASETS_PER_BODY).alias("body_no"), "ds", record.alias("rec"))
+    bodies = recs.groupBy("body_no").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ds", "rec"))), lambda x: x["rec"]).alias("recs"))
+    body = F.concat(
+        F.lit('{"GET_DATA_CATALOG":{"RESULT":{"STATUS":0,"ERROR_MSG":""},"DATA_CATALOG_LIST_INF":{"DATA_CATALOG_INF":'),
+        F.when(F.size("recs") == 1, F.get(F.col("recs"), 0)).otherwise(
+            F.concat(F.lit("["), F.array_join("recs", ","), F.lit("]"))),
+        F.lit("}}}"))
+    return bodies.select("body_no", body.alias("body"))
+
+
+FILE_CATALOG_LONG_SQL = f"""WITH p AS (
+  SELECT page_id, url, CAST(floor(page_id / {RESOURCES_PER_DATASET}) AS BIGINT) AS ds,
+         row_number() OVER (PARTITION BY floor(page_id / {RESOURCES_PER_DATASET}) ORDER BY page_id) AS i,
+         count(*) OVER (PARTITION BY floor(page_id / {RESOURCES_PER_DATASET})) AS n
+  FROM pages),
+d AS (SELECT ds, arg_min(url, page_id) AS first_url FROM p GROUP BY ds)
+SELECT 'D' || printf('%06d', ds) AS dataset_id, 'id' AS path, 'D' || printf('%06d', ds) AS value FROM d
+UNION ALL
+SELECT 'D' || printf('%06d', ds), 'DATASET_TITLE', regexp_extract(first_url, '://([^/]+)', 1) FROM d
+UNION ALL
+SELECT 'D' || printf('%06d', ds),
+  CASE WHEN n = 1 THEN 'RESOURCES_RESOURCE_id' ELSE 'RESOURCES_RESOURCE_' || CAST(i AS VARCHAR) || '_id' END,
+  'R' || CAST(page_id AS VARCHAR) FROM p
+UNION ALL
+SELECT 'D' || printf('%06d', ds),
+  CASE WHEN n = 1 THEN 'RESOURCES_RESOURCE_URL' ELSE 'RESOURCES_RESOURCE_' || CAST(i AS VARCHAR) || '_URL' END,
+  url FROM p"""
