@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.functions.frames import literal_frame
+from statlake.operators.decode import sized_broadcast
 from statlake.plans.reference import DESIGNATED_CITIES
 
 CUBE_ID = "0003000001"
@@ -520,7 +521,7 @@ def supplier_small_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas (HCODE 8154) or lack a city name, for the cleaning rules."""
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    s = s.join(F.broadcast(n), s["s_nationkey"] == n["n_nationkey"], "left")
+    s = s.join(sized_broadcast(n, 100_000), s["s_nationkey"] == n["n_nationkey"], "left")
     pref = F.lpad((F.col("s_nationkey") + 1).cast("string"), 2, "0")
     city = (F.floor((F.col("s_suppkey") % 10) / 2) + 101).cast("string")
     x = (F.col("s_suppkey") % 10).cast("double")

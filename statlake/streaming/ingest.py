@@ -37,24 +37,30 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 def merge_batch(batch: DataFrame, target: str, key: list[str] | None = None) -> None:
     """Append the rows of ``batch`` whose key is not yet in ``target``.
 
-    Only the key columns of the target are read, restricted to the tables
-    present in the batch (partition pruning on ``stats_data_id``)."""
+    A micro-batch holds at most ``maxFilesPerTrigger`` pages, so its page
+    keys are few: they are pushed into the target scan (partition pruning
+    on ``stats_data_id``, row-group pruning on ``page_offset``) and only the
+    matching key columns are read for the anti join."""
     key = key or ROW_KEY
     spark = batch.sparkSession
     rows = batch.dropDuplicates(key)
     if _table_exists(spark, target):
-        ids = [r[0] for r in rows.select("stats_data_id").distinct().collect()]
-        existing = read_observations(spark, target).where(F.col("stats_data_id").isin(ids)).select(*key)
+        pages = rows.select("stats_data_id", "page_offset").distinct().collect()
+        ids = sorted({r["stats_data_id"] for r in pages if r["stats_data_id"] is not None})
+        offsets = sorted({r["page_offset"] for r in pages if r["page_offset"] is not None})
+        existing = (read_observations(spark, target)
+                    .where(F.col("stats_data_id").isin(ids) & F.col("page_offset").isin(offsets))
+                    .select(*key))
         rows = rows.join(existing, key, "left_anti")
     rows.write.mode("append").partitionBy("stats_data_id").parquet(target)
 
 
 def start_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the ingestion query; returns the ``StreamingQuery``."""
-    reader = spark.readStream.format("text").option("wholetext", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+                 available_now: bool = True, max_files_per_trigger: int = 2000):
+    """Start the ingestion query; returns the ``StreamingQuery``.  Each
+    micro-batch takes at most ``max_files_per_trigger`` landed pages."""
+    reader = (spark.readStream.format("text").option("wholetext", True)
+              .option("maxFilesPerTrigger", int(max_files_per_trigger)))
     bodies = reader.load(landing).select(F.col("value").alias("body"))
     rows = value_rows(bodies)
     writer = (
