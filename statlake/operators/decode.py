@@ -31,19 +31,20 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 def axis_summary(classes: DataFrame) -> list[dict]:
     """Axes present in the code lists, in response order, with code-list
-    sizes.  At most one row per axis (18) reaches the driver."""
+    sizes.  One aggregate job; at most one row per axis (18) reaches the
+    driver, where it is sorted."""
     rows = (
         classes.groupBy("axis")
         .agg(
             F.min("axis_pos").alias("axis_pos"),
             F.count(F.lit(1)).alias("n_codes"),
             F.min("axis_name").alias("axis_name"),
-            F.countDistinct("axis_name").alias("n_names"),
+            (F.min("axis_name") == F.max("axis_name")).alias("one_name"),
         )
-        .orderBy("axis_pos", "axis")
         .collect()
     )
-    return [r.asDict() for r in rows if r["axis"] is not None]
+    out = [r.asDict() for r in rows if r["axis"] is not None]
+    return sorted(out, key=lambda r: (r["axis_pos"] is None, r["axis_pos"] or 0, r["axis"]))
 
 
 def decoded_column_order(columns: list[str], axis_ids: list[str]) -> list[str]:
@@ -75,22 +76,34 @@ def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = Non
         classes = classes.where(F.col("axis").isin(axes))
     summary = [s for s in axis_summary(classes) if s["axis"] in obs.columns]
     keys = [k for k in ("stats_data_id", "lang") if k in obs.columns and k in classes.columns]
-    decoded: list[str] = []
     out = obs
     for s in summary:
         axis = s["axis"]
-        code_col, label_tmp = f"{axis}_code", f"__label_{axis}"
         lookup = classes.where(F.col("axis") == axis).select(
-            *keys, F.col("code").alias(code_col), F.col("name").alias(label_tmp)
+            *[F.col(k).alias(f"__{axis}_{k}") for k in keys],
+            F.col("code").alias(f"__{axis}_code"),
+            F.col("name").alias(f"__{axis}_label"),
         )
         lookup = sized_broadcast(lookup, max_broadcast_rows, known_rows=s["n_codes"])
-        out = out.withColumnRenamed(axis, code_col).join(lookup, on=[*keys, code_col], how="left")
-        meta = {"label": s["axis_name"]} if s["n_names"] == 1 else {}
-        out = out.withColumn(axis, F.col(label_tmp).alias(axis, metadata=meta)).drop(label_tmp)
-        decoded.append(axis)
-    if drop_unused_axes:
-        out = out.drop(*[a for a in AXES if a not in decoded and a in out.columns])
-    return out.select(*decoded_column_order(out.columns, decoded))
+        cond = obs[axis] == lookup[f"__{axis}_code"]
+        for k in keys:
+            cond = cond & (obs[k] == lookup[f"__{axis}_{k}"])
+        out = out.join(lookup, cond, "left")
+    decoded = [s["axis"] for s in summary]
+    exprs: dict[str, object] = {}
+    for c in obs.columns:
+        if c in decoded:
+            continue
+        if drop_unused_axes and c in AXES:
+            continue
+        exprs[c] = obs[c]
+    for s in summary:
+        axis = s["axis"]
+        meta = {"label": s["axis_name"]} if s["one_name"] else {}
+        exprs[axis] = F.col(f"__{axis}_label").alias(axis, metadata=meta)
+        exprs[f"{axis}_code"] = obs[axis].alias(f"{axis}_code")
+    order = decoded_column_order(list(exprs), decoded)
+    return out.select(*[exprs[c].alias(c) if c not in decoded else exprs[c] for c in order])
 
 
 def filter_codes(df: DataFrame, **codes: str | list[str] | None) -> DataFrame:

@@ -66,13 +66,20 @@ ENVELOPE_ROOT = {
 # Scans
 # ---------------------------------------------------------------------------
 
-def read_bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_bodies(spark: SparkSession, path: str | list[str],
+                partitions: list[str] | None = None) -> DataFrame:
     """Landed response files -> ``(body, source_path, <partition columns>)``.
 
+    One file is one body (whole-text read, so pretty-printed JSON works).
     Hive-style folders such as ``stats_data_id=.../lang=E/`` become columns
-    through ordinary partition discovery, so callers can prune by them.
+    through partition discovery; name them in ``partitions`` to keep them as
+    strings (codes like ``0003217721`` keep their leading zeros) and to let
+    filters on them prune folders.
     """
-    df = spark.read.option("wholetext", True).text(path)
+    reader = spark.read
+    if partitions:
+        reader = reader.schema("value string, " + ", ".join(f"`{p}` string" for p in partitions))
+    df = reader.text(path, wholetext=True)
     return df.select(
         F.col("value").alias("body"),
         F.col("_metadata.file_path").alias("source_path"),

@@ -85,3 +85,12 @@ def bodies(spark):
         return spark.createDataFrame([(t,) for t in texts], "body string")
 
     return make
+
+
+SA_SCHEMA_DDL = ("KEY_CODE string, PREF string, CITY string, PREF_NAME string, CITY_NAME string, S_NAME string, "
+                 "polygons array<array<array<struct<x:double,y:double>>>>")
+
+
+def square(x0, y0, s=1.0):
+    x0, y0 = float(x0), float(y0)
+    return [[[(x0, y0), (x0 + s, y0), (x0 + s, y0 + s), (x0, y0 + s), (x0, y0)]]]

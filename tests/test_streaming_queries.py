@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def _write(path, name, text):
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, name), "w", encoding="utf-8") as f:
-        f.write(text)
+        f.write(text.replace(", ", ",\n"))  # landed bodies are often pretty-printed
 
 
 def test_stream_ingest_exactly_once_and_resume(spark):
