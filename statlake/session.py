@@ -40,21 +40,33 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _conf_get(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - some session types raise on unset keys
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
     (local tests) create a private one."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get(_CKPT_KEY, None)
-    if not current:
-        try:
-            current = spark.conf.get(_CKPT_KEY)
-        except Exception:  # noqa: BLE001 - unset key raises on some versions
-            current = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        sc = None
+    current = None
+    if sc is not None:
+        current = sc.getCheckpointDir() or sc.getConf().get(_CKPT_KEY, None)
+    current = current or _conf_get(spark, _CKPT_KEY)
     if not current:
         current = tempfile.mkdtemp(prefix="statlake-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        if sc is None:
+            spark.conf.set(_CKPT_KEY, current)
+    if sc is not None:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    return current
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

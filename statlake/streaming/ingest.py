@@ -28,10 +28,17 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
+        try:
+            read_observations(spark, path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001 - missing path
+            return False
 
 
 def merge_batch(batch: DataFrame, target: str, key: list[str] | None = None) -> None:

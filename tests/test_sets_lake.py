@@ -30,3 +30,32 @@ def test_land_and_read_lake(spark, bodies):
     # Predicates on codes reach the parquet scan.
     plan = lake["observations"].where(F.col("area") == "00000")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(area), EqualTo(area,00000)]" in plan
+
+
+def test_tidy_on_landed_lake_is_one_stage(spark, bodies):
+    """Decoding landed parquet: broadcast joins only, no shuffle exchange,
+    code filters pushed into the scan."""
+    base = scratch_path(spark, "t-lake-plan")
+    land_responses(bodies(sd_json([sd_value("1", cat01="00"), sd_value("2", cat01="12")], total=2)), base)
+    lake = read_lake(spark, base)
+    d = tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id="0003217721", lang="J",
+             codes={"cat01": ["12"]}).data
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert "In(cat01, [12])" in plan or "EqualTo(cat01,12)" in plan
+    assert [r.value for r in d.collect()] == [2.0]
+
+
+def test_three_pages_with_gap(spark, bodies):
+    from statlake.operators.paging import missing_pages, page_plan
+    from statlake.sources.responses import page_info
+
+    p1 = sd_json([sd_value(str(i)) for i in (1, 2, 3)], total=9, frm=1, next_key=4)
+    p3 = sd_json([sd_value(str(i)) for i in (7, 8, 9)], total=9, frm=7)
+    info = page_info(bodies(p1, p3))
+    first = info.where("from_number = 1")
+    plan = page_plan(first, page_size=3, keys=["stats_data_id", "lang", "query_fingerprint"])
+    landed = info.select("stats_data_id", "lang", "query_fingerprint", F.col("page_offset").alias("offset"))
+    todo = missing_pages(plan, landed)
+    assert [(r.offset, r.size) for r in todo.collect()] == [(4, 3)]
