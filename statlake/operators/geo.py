@@ -448,3 +448,20 @@ def join_geometry(data: DataFrame, bnd: DataFrame, key: str = "area_code",
         g = sized_broadcast(g, max_broadcast_rows)
     joined = data.join(g, key, "left")
     return joined, unmatched_codes(data, bnd, key)
+
+
+def attach_geometry(data: DataFrame, small_areas: DataFrame, level: str = "auto",
+                    designated: str = "both", year: int | None = None, datum: str = "2000",
+                    key: str = "area_code") -> tuple[DataFrame, DataFrame]:
+    """The whole geometry join: infer the level from the data's codes,
+    read only the prefectures those codes name (invalid prefixes such as the
+    national ``00`` are skipped, not fatal), dissolve, join every data row,
+    and return ``(joined, unmatched codes)``.  The prefecture list is at
+    most one row per distinct two-digit prefix."""
+    if key not in data.columns:
+        raise InvalidArgument(f"data has no {key} column to join geometry on")
+    if level == "auto":
+        level = infer_level(data, key)
+    prefs = [r["pref"] for r in resolve_prefectures(data, key).where("valid").collect()]
+    bnd = boundaries(small_areas, level, designated, areas=prefs, year=year, datum=datum)
+    return join_geometry(data, bnd, key)

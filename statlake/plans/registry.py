@@ -272,9 +272,10 @@ def dissolve_rings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def geometry_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Level inferred from the codes (municipality), prefectures resolved
+    from the data, designated-city parents added, every data row kept."""
     data = td.customer_municipalities(spark, sf)
-    bnd = geo.boundaries(_small_areas(spark, sf), "municipality", "both", with_geometry=True)
-    joined, _ = geo.join_geometry(data, bnd)
+    joined, _ = geo.attach_geometry(data, _small_areas(spark, sf), level="auto", designated="both")
     return joined.select("c_custkey", "area_code", F.col("polygons").isNotNull().alias("has_geometry"), "area")
 
 

@@ -49,3 +49,30 @@ def test_is_json_array_and_table_info(spark, bodies):
     ti = meta_table_info(bodies(meta_json()))
     flat = {r.path: r.value for r in flatten_json(ti.select(F.lit(1).alias("row_id"), F.col("table_inf").alias("record"))).collect()}
     assert flat == {"id": "0003217721", "STATISTICS_NAME": "労働力調査"}
+
+
+def test_attach_geometry_keeps_national_row(spark):
+    from conftest import SA_SCHEMA_DDL as DDL
+
+    sa = spark.createDataFrame([("132010001", "13", "201", "東京都", "八王子市", "a", square(0, 0)),
+                                ("132020001", "13", "202", "東京都", "立川市", "b", square(1, 0))], DDL)
+    d = spark.createDataFrame([("00000", 1.0), ("13201", 2.0), ("13202", 3.0), ("13000", 4.0)],
+                              "area_code string, value double")
+    joined, unmatched = geo.attach_geometry(d, sa)
+    rows = {r.area_code: r.polygons is not None for r in joined.collect()}
+    assert rows == {"00000": False, "13201": True, "13202": True, "13000": False}  # Q8, Q18
+    assert sorted(r.area_code for r in unmatched.collect()) == ["00000", "13000"]
+
+
+def test_language_choice_blocks_hard_errors(spark):
+    from statlake.operators.quality import classify_status, language_choice
+
+    pages = spark.createDataFrame([
+        ("t1", "E", "0"), ("t1", "J", "0"),          # English ok
+        ("t2", "E", "200"), ("t2", "J", "0"),        # no English release -> Japanese
+        ("t3", "E", "500"), ("t3", "J", "0"),        # server error: not masked
+        ("t4", "J", "0"),                            # English never landed -> Japanese
+    ], "stats_data_id string, lang string, status_raw string")
+    out = {r.stats_data_id: (r.lang_used, r.reason) for r in language_choice(classify_status(pages)).collect()}
+    assert out == {"t1": ("E", "preferred"), "t2": ("J", "fallback"),
+                   "t3": (None, "blocked: server"), "t4": ("J", "fallback")}
