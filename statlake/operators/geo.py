@@ -199,10 +199,21 @@ def _rounds(edges: DataFrame, key: str) -> int:
     return max(1, math.ceil(math.log2(max(m, 2)))) + 1
 
 
+def cut_lineage(df: DataFrame, name: str = "stitch") -> DataFrame:
+    """Materialise ``df`` as parquet in the shared checkpoint folder and
+    read it back: one computation (a reliable RDD checkpoint computes its
+    input twice), lineage cut, and it survives executor loss."""
+    from statlake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _ckpt(df: DataFrame, i: int, every: int = 1) -> DataFrame:
-    """Reliable checkpoint (to ``spark.checkpoint.dir``): each doubling
-    round self-joins its input, so without a cut the plan doubles per round."""
-    return df.checkpoint(eager=True) if (i + 1) % every == 0 else df
+    """Each doubling round self-joins its input, so without a cut the plan
+    doubles per round."""
+    return cut_lineage(df) if (i + 1) % every == 0 else df
 
 
 def stitch_rings(boundary: DataFrame, key: str = "area_code") -> DataFrame:
@@ -229,35 +240,29 @@ def stitch_rings(boundary: DataFrame, key: str = "area_code") -> DataFrame:
         F.struct(F.col("ex").alias("sx"), F.col("ey").alias("sy"),
                  F.col("n.x").alias("ex"), F.col("n.y").alias("ey")).alias("succ"),
     )
-    node = node.checkpoint(eager=True)
     rounds = _rounds(e, key)
-
-    # Phase 1: ring label = smallest edge id on the cycle.
-    lab = node.select(key, "id", "succ", F.col("succ").alias("nxt"), F.col("id").alias("lab"))
+    node = cut_lineage(node)
+
+    # One doubling phase.  After round k every edge knows, for the window of
+    # the next 2^k edges along its ring, the smallest edge id (``lab``) and
+    # how many steps ahead it lies (``d``).  Once 2^k exceeds the ring length
+    # ``lab`` is the ring id and ``d`` orders the ring: descending ``d`` walks
+    # forward from the edge after the label edge to the label edge itself.
+    st = node.select(key, "id", F.col("succ").alias("nxt"), F.col("id").alias("lab"),
+                     F.lit(0).cast("long").alias("d"))
     for i in range(rounds):
-        j = lab.select(F.col(key).alias("j_key"), F.col("id").alias("j_id"),
-                       F.col("nxt").alias("j_nxt"), F.col("lab").alias("j_lab"))
-        lab = lab.join(j, (F.col(key) == F.col("j_key")) & (F.col("nxt") == F.col("j_id")), "left").select(
-            key, "id", "succ",
-            F.coalesce("j_nxt", "nxt").alias("nxt"),
-            F.least(F.col("lab"), F.coalesce(F.col("j_lab"), F.col("lab"))).alias("lab"),
-        )
-        lab = _ckpt(lab, i)
-
-    # Phase 2: list ranking from the label edge (cycle cut before it).
-    cut = F.col("succ") == F.col("lab")
-    rank = lab.select(key, "id", "lab",
-                      F.when(cut, F.lit(None)).otherwise(F.col("succ")).alias("nxt"),
-                      F.when(cut, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("r"))
-    for i in range(rounds):
-        j = rank.select(F.col(key).alias("j_key"), F.col("id").alias("j_id"),
-                        F.col("nxt").alias("j_nxt"), F.col("r").alias("j_r"))
-        rank = rank.join(j, (F.col(key) == F.col("j_key")) & (F.col("nxt") == F.col("j_id")), "left").select(
-            key, "id", "lab",
+        span = 1 << i
+        j = st.select(F.col(key).alias("j_key"), F.col("id").alias("j_id"), F.col("nxt").alias("j_nxt"),
+                      F.col("lab").alias("j_lab"), F.col("d").alias("j_d"))
+        keep_own = F.col("lab") <= F.col("j_lab")
+        st = st.join(j, (F.col(key) == F.col("j_key")) & (F.col("nxt") == F.col("j_id"))).select(
+            key, "id",
             F.col("j_nxt").alias("nxt"),
-            (F.col("r") + F.coalesce(F.col("j_r"), F.lit(0))).alias("r"),
+            F.when(keep_own, F.col("lab")).otherwise(F.col("j_lab")).alias("lab"),
+            F.when(keep_own, F.col("d")).otherwise(F.col("j_d") + F.lit(span)).alias("d"),
         )
-        rank = _ckpt(rank, i)
+        st = _ckpt(st, i, every=2) if i + 1 < rounds else st
+    rank = st.select(key, "id", "lab", F.col("d").alias("r"))
 
     pts = rank.groupBy(key, "lab").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("o"),
@@ -314,9 +319,12 @@ def dissolve(features: DataFrame, key: str = "area_code", geom_col: str = "polyg
              with_geometry: bool = True) -> DataFrame:
     """Union the polygons of every key: ``(key, area, overlap, n_edges[, polygons])``."""
     boundary = cancel_edges(ring_edges(features, key, geom_col), key)
-    area = boundary_area(boundary, key)
     if not with_geometry:
-        return area
+        return boundary_area(boundary, key)
+    # The boundary feeds both the area aggregate and the iterative stitching:
+    # materialise it once (reliable checkpoint) instead of recomputing it.
+    boundary = cut_lineage(boundary, "boundary")
+    area = boundary_area(boundary, key)
     polys = assemble_polygons(stitch_rings(boundary, key), key)
     return area.join(polys, key, "left")
 
