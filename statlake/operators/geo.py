@@ -273,44 +273,56 @@ def stitch_rings(boundary: DataFrame, key: str = "area_code") -> DataFrame:
     return out.withColumn("area", ring_area2(F.col("ring")) / 2)
 
 
-def _point_in_ring(px: Column, py: Column, ring: Column) -> Column:
-    """Even-odd ray casting of a point against one closed ring."""
-    def crosses(i):
-        a, b = _pt(ring, i), _pt(ring, i + 1)
-        straddle = (a["y"] > py) != (b["y"] > py)
-        xint = (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"]
-        return F.when(straddle & (px < xint), F.lit(1)).otherwise(F.lit(0))
-
-    n = F.aggregate(F.sequence(F.lit(0), F.size(ring) - 2), F.lit(0), lambda acc, i: acc + crosses(i))
-    return (n % 2) == 1
+def _hole_owners(rings: DataFrame, key: str) -> DataFrame:
+    """``(h_key, hole_id, hole_ring, owner)``: each clockwise ring's owning
+    exterior = the smallest counter-clockwise ring (same key) containing
+    the hole's first vertex, by even-odd ray casting.
+
+    The ray test needs only edges whose y-range spans the point, so edges
+    and points are bucketed into horizontal bands (height ~ key extent /
+    sqrt(edges)) and equi-joined on ``(key, band)``: a point meets the edges
+    of its band, never every ring of its key."""
+    ext = rings.where(F.col("area") > 0).select(key, "ring_id", "ring", "area")
+    holes = rings.where(F.col("area") < 0).select(
+        key, F.col("ring_id").alias("hole_id"), F.col("ring").alias("hole_ring"),
+        F.get(F.col("ring"), 0)["x"].alias("px"), F.get(F.col("ring"), 0)["y"].alias("py"))
+    edges = ext.select(
+        key, F.col("ring_id").alias("ext_id"), F.col("area").alias("ext_area"),
+        F.explode(F.transform(F.sequence(F.lit(0), F.size("ring") - 2),
+                              lambda i: F.struct(_pt(F.col("ring"), i).alias("a"),
+                                                 _pt(F.col("ring"), i + 1).alias("b")))).alias("e"),
+    ).select(key, "ext_id", "ext_area", F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"),
+             F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by")).where(F.col("ay") != F.col("by"))
+    lo, hi = F.least("ay", "by"), F.greatest("ay", "by")
+    stats = edges.groupBy(key).agg(F.min(lo).alias("y0"), F.max(hi).alias("y1"), F.count(F.lit(1)).alias("n"))
+    stats = stats.select(key, "y0", F.greatest((F.col("y1") - F.col("y0")) / F.greatest(F.sqrt("n"), F.lit(1.0)),
+                                               F.lit(1e-12)).alias("h"))
+    banded = edges.join(stats, key).withColumn(
+        "band", F.explode(F.sequence(F.floor((lo - F.col("y0")) / F.col("h")),
+                                     F.floor((hi - F.col("y0")) / F.col("h")))))
+    pts = holes.join(stats, key).withColumn("band", F.floor((F.col("py") - F.col("y0")) / F.col("h")))
+    m = pts.join(banded.drop("y0", "h"), [key, "band"])
+    xint = (F.col("bx") - F.col("ax")) * (F.col("py") - F.col("ay")) / (F.col("by") - F.col("ay")) + F.col("ax")
+    cross = m.where(((F.col("ay") > F.col("py")) != (F.col("by") > F.col("py"))) & (F.col("px") < xint))
+    inside = (cross.groupBy(key, "hole_id", "ext_id", "ext_area").count()
+              .where(F.col("count") % 2 == 1))
+    owner = inside.groupBy(key, "hole_id").agg(F.min_by("ext_id", "ext_area").alias("owner"))
+    return holes.join(owner, [key, "hole_id"]).select(
+        F.col(key).alias("h_key"), "hole_id", "hole_ring", "owner")
 
 
 def assemble_polygons(rings: DataFrame, key: str = "area_code") -> DataFrame:
     """Rings -> ``polygons`` per key: each counter-clockwise ring is an
-    exterior; each clockwise ring is a hole of the smallest exterior (of the
-    same key) whose box and ring contain the hole's first vertex."""
-    bbox = [F.array_min(F.transform("ring", lambda p: p["x"])).alias("minx"),
-            F.array_max(F.transform("ring", lambda p: p["x"])).alias("maxx"),
-            F.array_min(F.transform("ring", lambda p: p["y"])).alias("miny"),
-            F.array_max(F.transform("ring", lambda p: p["y"])).alias("maxy")]
+    exterior; each clockwise ring becomes a hole of its owning exterior."""
     ext = rings.where(F.col("area") > 0).select(
-        key, F.col("ring_id").alias("ext_id"), F.col("ring").alias("ext_ring"),
-        F.col("area").alias("ext_area"), *bbox)
-    holes = rings.where(F.col("area") < 0).select(
-        F.col(key).alias("h_key"), F.col("ring_id").alias("hole_id"), F.col("ring").alias("hole_ring"),
-        F.get(F.col("ring"), 0)["x"].alias("px"), F.get(F.col("ring"), 0)["y"].alias("py"))
-    cand = holes.join(
-        ext.select(F.col(key).alias("e_key"), "ext_id", "ext_ring", "ext_area", "minx", "maxx", "miny", "maxy"),
-        (F.col("h_key") == F.col("e_key")) & F.col("px").between(F.col("minx"), F.col("maxx"))
-        & F.col("py").between(F.col("miny"), F.col("maxy")),
-    ).where(_point_in_ring(F.col("px"), F.col("py"), F.col("ext_ring")))
-    owner = cand.groupBy("h_key", "hole_id", "hole_ring").agg(F.min_by("ext_id", "ext_area").alias("owner"))
+        key, F.col("ring_id").alias("ext_id"), F.col("ring").alias("ext_ring"))
+    owner = _hole_owners(rings, key)
     hole_sets = owner.groupBy("h_key", "owner").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("hole_id", "hole_ring"))),
                     lambda h: h["hole_ring"]).alias("holes"))
     poly = ext.join(hole_sets, (F.col(key) == F.col("h_key")) & (F.col("ext_id") == F.col("owner")), "left")
-    poly = poly.select(key, "ext_id", F.concat(F.array("ext_ring"),
-                                               F.coalesce("holes", F.array().cast("array<array<struct<x:double,y:double>>>"))).alias("polygon"))
+    empty = F.array().cast("array<array<struct<x:double,y:double>>>")
+    poly = poly.select(key, "ext_id", F.concat(F.array("ext_ring"), F.coalesce("holes", empty)).alias("polygon"))
     return poly.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("ext_id", "polygon"))), lambda p: p["polygon"]).alias("polygons"))
 
