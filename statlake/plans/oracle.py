@@ -67,6 +67,32 @@ _CONTRACT = f"""SELECT o_orderkey,
   {' + '.join(f"(CASE WHEN {c} THEN 1 ELSE 0 END)" for _, c in _CONTRACT_RULES)} AS n_violations
 FROM ({td.ORDER_REQUESTS_SQL})"""
 
+_LANG_CHOICE = f"""WITH s AS ({td.STATUS_SQL}),
+p AS (SELECT CAST(e.user_id AS VARCHAR) AS stats_data_id,
+        CASE WHEN e.event_type IN ('view', 'click', 'error') THEN 'E' ELSE 'J' END AS lang,
+        s.ok, s.error_class
+      FROM s JOIN events e ON e.event_id = s.event_id),
+a AS (SELECT stats_data_id,
+        bool_or(lang = 'E' AND ok) AS pref_ok, bool_or(lang = 'J' AND ok) AS fb_ok,
+        bool_or(lang = 'E' AND NOT ok AND error_class NOT IN ('no_data', 'invalid_param')) AS pref_hard,
+        min(CASE WHEN lang = 'E' AND NOT ok THEN error_class END) AS pref_error
+      FROM p GROUP BY stats_data_id)
+SELECT stats_data_id,
+  CASE WHEN coalesce(pref_ok, false) THEN 'E' WHEN coalesce(pref_hard, false) THEN NULL
+       WHEN coalesce(fb_ok, false) THEN 'J' END AS lang_used,
+  CASE WHEN coalesce(pref_ok, false) THEN 'preferred' WHEN coalesce(pref_hard, false) THEN 'blocked: ' || pref_error
+       WHEN coalesce(fb_ok, false) THEN 'fallback' ELSE 'unavailable' END AS reason
+FROM a"""
+
+_MUNI_KEYED = f"""(SELECT KEY_CODE, PREF_NAME, CITY_NAME, PREF || CITY AS area_code FROM {CLEAN_SA})"""
+_WARD_ROWS = f"""(SELECT k.KEY_CODE, k.PREF_NAME, w.parent_name AS CITY_NAME, w.parent_code AS area_code
+  FROM {_MUNI_KEYED} k JOIN {WARDS} w ON TRY_CAST(k.area_code AS INTEGER) = w.ward)"""
+_CITY_MODE = f"""SELECT area_code, arg_min(PREF_NAME, KEY_CODE) AS PREF_NAME, arg_min(CITY_NAME, KEY_CODE) AS CITY_NAME,
+  CAST(count(*) AS DOUBLE) AS area
+FROM (SELECT * FROM {_MUNI_KEYED} WHERE KEY_CODE NOT IN (SELECT KEY_CODE FROM {_WARD_ROWS})
+      UNION ALL SELECT * FROM {_WARD_ROWS})
+GROUP BY area_code"""
+
 _EV_LANG = """(SELECT event_id, CAST(user_id AS VARCHAR) AS stats_data_id,
   CASE WHEN event_type = 'purchase' THEN 'E' WHEN event_type = 'view' THEN 'J' END AS lang FROM events)"""
 
@@ -122,6 +148,10 @@ GROUP BY t.area_code, p.code, p.name_en, p.name_ja, p.region_en""",
     "class_pages": _CLASS_PAGES,
     "note_pages": f"SELECT '{td.EVENTS_ID}' AS stats_data_id, 'J' AS lang, '***' AS char, '秘匿' AS note",
     "page_counters": _PAGE_COUNTERS,
+    "page_rows_window": f"""SELECT * FROM ({td.event_values_sql()}) WHERE page_offset + pos >= 1200
+ORDER BY page_offset, pos LIMIT 500""",
+    "incomplete_tables": f"""SELECT * FROM ({td.FIRST_PAGES_SQL})
+WHERE next_key IS NULL AND to_number < total_number""",
     "page_plan": f"SELECT * FROM {FIRST_PAGES_PLAN}",
     "page_gaps": f"SELECT * FROM {GAPS}",
     "page_batches": f"""SELECT *, CAST(floor((row_number() OVER (PARTITION BY stats_data_id ORDER BY "offset") - 1) / 5)
@@ -144,6 +174,7 @@ FROM events, json_each(props) AS j""",
 UNION ALL
 SELECT event_id, stats_data_id, lang FROM {_EV_LANG} j WHERE lang = 'J'
   AND NOT EXISTS (SELECT 1 FROM {_EV_LANG} x WHERE x.lang = 'E' AND x.stats_data_id = j.stats_data_id)""",
+    "language_choice": _LANG_CHOICE,
     "fresh_metadata": f"""SELECT stats_data_id, lang, event_id,
   ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 259200 SECOND AS fresh
 FROM (SELECT CAST(user_id AS VARCHAR) AS stats_data_id,
@@ -152,6 +183,10 @@ QUALIFY row_number() OVER (PARTITION BY stats_data_id, lang ORDER BY ts DESC, ev
     "boundary_keys": f"""SELECT KEY_CODE, substr(PREF, 1, 2) || '000' AS pref_code, PREF || CITY AS muni_code,
   KEY_CODE AS small_area_code FROM {CLEAN_SA}""",
     "dissolve_area": f"SELECT * FROM {MUNI_BND}",
+    "dissolve_city_mode": _CITY_MODE,
+    "dissolve_small_area": f"""SELECT KEY_CODE AS area_code, arg_min(PREF_NAME, KEY_CODE) AS PREF_NAME,
+  arg_min(CITY_NAME, KEY_CODE) AS CITY_NAME, arg_min(S_NAME, KEY_CODE) AS S_NAME, CAST(count(*) AS DOUBLE) AS area
+FROM {CLEAN_SA} GROUP BY KEY_CODE""",
     "dissolve_rings": f"""SELECT substr(PREF, 1, 2) || '000' AS area_code, CAST(count(*) AS DOUBLE) AS area,
   CAST(count(*) AS DOUBLE) AS polygon_area FROM {CLEAN_SA} GROUP BY 1""",
     "geometry_join": f"""SELECT d.c_custkey, d.area_code, b.area_code IS NOT NULL AS has_geometry, b.area

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from statlake.functions.values import split_value_annotation, year_of_time_code
 from statlake.operators import geo
 from statlake.operators.hierarchy import axis_hierarchy
-from statlake.operators.paging import missing_pages, page_plan, split_batches
+from statlake.operators.paging import incomplete_tables, missing_pages, page_plan, split_batches, take_rows
 from statlake.operators.pivot import pivot_wide
 from statlake.operators.quality import (
     contract_violations,
     fresh_metadata,
+    language_choice,
     prefer_language,
     response_status,
 )
@@ -136,6 +137,17 @@ def page_counters(spark: SparkSession, sf: str) -> DataFrame:
                        "from_number", "to_number", "next_key")
 
 
+def page_rows_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Start position + limit on landed pages: the start is a filter on the
+    absolute row number ``page_offset + pos`` (no window), the limit a top-k."""
+    rows = value_rows(td.event_pages(spark, sf))
+    return split_value_annotation(take_rows(rows, limit=500, start_position=1200).select(*PAGE_COLS))
+
+
+def incomplete_first_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return incomplete_tables(td.order_first_pages(spark, sf))
+
+
 def page_plan_query(spark: SparkSession, sf: str) -> DataFrame:
     return page_plan(td.order_first_pages(spark, sf), page_size=td.FIRST_PAGE_SIZE,
                      keys=["stats_data_id"])
@@ -229,6 +241,16 @@ def prefer_language_query(spark: SparkSession, sf: str) -> DataFrame:
     return prefer_language(df, keys=["stats_data_id"]).select("event_id", "stats_data_id", "lang_used")
 
 
+def language_choice_query(spark: SparkSession, sf: str) -> DataFrame:
+    st = response_status(td.status_bodies(spark, sf))
+    ev = td.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    pages = st.join(ev, "event_id").select(
+        F.col("user_id").cast("string").alias("stats_data_id"),
+        F.when(F.col("event_type").isin("view", "click", "error"), F.lit("E")).otherwise(F.lit("J")).alias("lang"),
+        "ok", "error_class")
+    return language_choice(pages)
+
+
 AS_OF = "2024-01-31 00:00:00"
 TTL = 3 * 24 * 3600
 
@@ -263,6 +285,16 @@ def dissolve_area(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("area_code", "PREF_NAME", "CITY_NAME", "area")
 
 
+def dissolve_city_mode(spark: SparkSession, sf: str) -> DataFrame:
+    b = geo.boundaries(_small_areas(spark, sf), "municipality", "city", with_geometry=False)
+    return b.select("area_code", "PREF_NAME", "CITY_NAME", "area")
+
+
+def dissolve_small_area(spark: SparkSession, sf: str) -> DataFrame:
+    b = geo.boundaries(_small_areas(spark, sf), "small_area", with_geometry=False)
+    return b.select("area_code", "PREF_NAME", "CITY_NAME", "S_NAME", "area")
+
+
 def dissolve_rings(spark: SparkSession, sf: str) -> DataFrame:
     """Stitched geometry; its own area must equal the edge-sum area."""
     b = geo.boundaries(_small_areas(spark, sf), "prefecture", with_geometry=True)
@@ -323,6 +355,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_pages": class_pages,
     "note_pages": note_pages,
     "page_counters": page_counters,
+    "page_rows_window": page_rows_window,
+    "incomplete_tables": incomplete_first_pages,
     "page_plan": page_plan_query,
     "page_gaps": page_gaps,
     "page_batches": page_batches,
@@ -335,9 +369,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_classes": status_classes,
     "contract_violations": contract_report,
     "prefer_language": prefer_language_query,
+    "language_choice": language_choice_query,
     "fresh_metadata": fresh_metadata_query,
     "boundary_keys": boundary_keys,
     "dissolve_area": dissolve_area,
+    "dissolve_city_mode": dissolve_city_mode,
+    "dissolve_small_area": dissolve_small_area,
     "dissolve_rings": dissolve_rings,
     "geometry_join": geometry_join,
     "unmatched_codes": unmatched_codes,
