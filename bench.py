@@ -23,6 +23,7 @@ from statlake.session import get_spark  # noqa: E402
 HEADLINE = [
     "tidy_decode",        # parse + value split + decode of the whole cube
     "value_pages",        # JSON page scan -> observations
+    "pages_tidy",         # landed JSON pages -> parquet lake -> tidy (the whole path)
     "filter_codes",
     "time_window",
     "limit_offset",

@@ -66,15 +66,19 @@ def decoded_column_order(columns: list[str], axis_ids: list[str]) -> list[str]:
 def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = None,
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 drop_unused_axes: bool = True) -> DataFrame:
-    """Decode every axis present in both ``obs`` and ``classes``.
-
-    For axis ``X`` the coded column becomes ``X_code`` and ``X`` holds the
-    label; ``X`` carries the axis display name as column metadata
-    (``label``) when the code lists agree on one.
+    """Decode every axis present in both the data and ``classes``.
+
+    ``axes`` names the axes the data carries (default: every axis column
+    of ``obs``); those without a code list stay as raw code columns, the
+    other declared-but-absent axis columns are dropped.  For axis ``X`` the
+    coded column becomes ``X_code`` and ``X`` holds the label; ``X`` carries
+    the axis display name as column metadata (``label``) when the code
+    lists agree on one.
     """
     if axes is not None:
         classes = classes.where(F.col("axis").isin(axes))
     summary = [s for s in axis_summary(classes) if s["axis"] in obs.columns]
+    keep_raw = set(axes or []) - {s["axis"] for s in summary}
     keys = [k for k in ("stats_data_id", "lang") if k in obs.columns and k in classes.columns]
     out = obs
     for s in summary:
@@ -94,7 +98,7 @@ def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = Non
     for c in obs.columns:
         if c in decoded:
             continue
-        if drop_unused_axes and c in AXES:
+        if drop_unused_axes and c in AXES and c not in keep_raw:
             continue
         exprs[c] = obs[c]
     for s in summary:

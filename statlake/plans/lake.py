@@ -69,15 +69,25 @@ def landed_cube(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def land_responses(bodies: DataFrame, base: str, mode: str = "append") -> None:
+def land_responses(bodies: DataFrame, base: str, mode: str = "append", classes: str = "first") -> None:
     """Sink for landed data pages: observations, code lists, notes and a
     page manifest as parquet under ``base``, partitioned by table id.
     Each write goes through Spark's file commit protocol, so a failed job
-    leaves no half-written output."""
+    leaves no half-written output.
+
+    ``classes="first"`` keeps the code lists of each table's first page (the
+    service repeats the full lists on every page); ``"union"`` takes the
+    distinct union over all pages, for pages that carry only the codes they
+    use."""
     from statlake.sources.responses import class_rows, note_rows, page_info, value_rows
 
+    if classes not in ("first", "union"):
+        raise ValueError('classes must be "first" or "union"')
     value_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/observations")
-    class_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/classes")
+    cl = class_rows(bodies, first_page_only=classes == "first")
+    if classes == "union":
+        cl = cl.distinct()
+    cl.write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/classes")
     note_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/notes")
     page_info(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/manifest")
 

@@ -148,6 +148,9 @@ GROUP BY t.area_code, p.code, p.name_en, p.name_ja, p.region_en""",
     "class_pages": _CLASS_PAGES,
     "note_pages": f"SELECT '{td.EVENTS_ID}' AS stats_data_id, 'J' AS lang, '***' AS char, '秘匿' AS note",
     "page_counters": _PAGE_COUNTERS,
+    "pages_tidy": f"""SELECT 'user ' || area AS area, area AS area_code, substr(time, 1, 8) AS time, time AS time_code,
+  upper(substr(cat01, 1, 1)) || substr(cat01, 2) AS cat01, cat01 AS cat01_code, tab, stats_data_id, unit, value, annotation
+FROM ({td.event_values_sql()})""",
     "page_rows_window": f"""SELECT * FROM ({td.event_values_sql()}) WHERE page_offset + pos >= 1200
 ORDER BY page_offset, pos LIMIT 500""",
     "incomplete_tables": f"""SELECT * FROM ({td.FIRST_PAGES_SQL})

@@ -137,6 +137,21 @@ def page_counters(spark: SparkSession, sf: str) -> DataFrame:
                        "from_number", "to_number", "next_key")
 
 
+def pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole path from landed JSON: land the pages (observations, code
+    lists, notes, manifest) as a parquet lake, read it back and decode with
+    the code lists the pages carried.  ``tab`` has no code list, so it stays
+    a raw code column."""
+    from statlake.plans.lake import land_responses, read_lake
+    from statlake.session import scratch_path
+
+    base = scratch_path(spark, "pages-lake")
+    land_responses(td.event_pages(spark, sf), base, classes="union")
+    lake = read_lake(spark, base)
+    return tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id=td.EVENTS_ID,
+                lang="J", axes=["tab", "cat01", "area", "time"]).data
+
+
 def page_rows_window(spark: SparkSession, sf: str) -> DataFrame:
     """Start position + limit on landed pages: the start is a filter on the
     absolute row number ``page_offset + pos`` (no window), the limit a top-k."""
@@ -355,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_pages": class_pages,
     "note_pages": note_pages,
     "page_counters": page_counters,
+    "pages_tidy": pages_tidy,
     "page_rows_window": page_rows_window,
     "incomplete_tables": incomplete_first_pages,
     "page_plan": page_plan_query,
