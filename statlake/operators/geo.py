@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from statlake.operators.decode import sized_broadcast
 from statlake.operators.quality import InvalidArgument
 from statlake.plans.reference import PREFECTURES, designated_wards
+from statlake.session import cut_lineage
 
 LEVELS = ("municipality", "prefecture", "small_area")
 WATER_AREA_CODE = "8154"
@@ -199,17 +200,6 @@ def _rounds(edges: DataFrame, key: str) -> int:
     return max(1, math.ceil(math.log2(max(m, 2)))) + 1
 
 
-def cut_lineage(df: DataFrame, name: str = "stitch") -> DataFrame:
-    """Materialise ``df`` as parquet in the shared checkpoint folder and
-    read it back: one computation (a reliable RDD checkpoint computes its
-    input twice), lineage cut, and it survives executor loss."""
-    from statlake.session import scratch_path
-
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _ckpt(df: DataFrame, i: int, every: int = 1) -> DataFrame:
     """Each doubling round self-joins its input, so without a cut the plan
     doubles per round."""

@@ -146,7 +146,10 @@ def pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
     from statlake.session import scratch_path
 
     base = scratch_path(spark, "pages-lake")
-    land_responses(td.event_pages(spark, sf), base, classes="union")
+    from statlake.session import cut_lineage
+
+    landed = cut_lineage(td.event_pages(spark, sf), "landed-pages")  # the landed page files
+    land_responses(landed, base, classes="union")
     lake = read_lake(spark, base)
     return tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id=td.EVENTS_ID,
                 lang="J", axes=["tab", "cat01", "area", "time"]).data

@@ -78,3 +78,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cut_lineage(df, name: str = "cut"):
+    """Materialise ``df`` as parquet in the shared checkpoint folder and read
+    it back: one computation (a reliable RDD checkpoint computes its input
+    twice), lineage cut, and the data survives executor loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -37,6 +37,20 @@ DATA_ENVELOPE = (
     "DATA_INF:struct<NOTE:string,VALUE:string>>>>"
 )
 
+# The same envelope without the VALUE records: page counters, code lists
+# and notes never materialise the (up to 100k-record) VALUE array; the JSON
+# parser skips it.
+DATA_META_ENVELOPE = (
+    "struct<GET_STATS_DATA:struct<"
+    "RESULT:struct<STATUS:string,ERROR_MSG:string>,"
+    "PARAMETER:struct<LANG:string,STATS_DATA_ID:string>,"
+    "STATISTICAL_DATA:struct<"
+    "RESULT_INF:struct<TOTAL_NUMBER:string,FROM_NUMBER:string,TO_NUMBER:string,NEXT_KEY:string>,"
+    "TABLE_INF:struct<`@id`:string>,"
+    "CLASS_INF:struct<CLASS_OBJ:string>,"
+    "DATA_INF:struct<NOTE:string>>>>"
+)
+
 META_ENVELOPE = (
     "struct<GET_META_INFO:struct<"
     "RESULT:struct<STATUS:string,ERROR_MSG:string>,"
@@ -56,6 +70,7 @@ CATALOG_ENVELOPE = (
 
 ENVELOPE_ROOT = {
     "data": "GET_STATS_DATA",
+    "data_meta": "GET_STATS_DATA",
     "meta": "GET_META_INFO",
     "list": "GET_STATS_LIST",
     "catalog": "GET_DATA_CATALOG",
@@ -121,6 +136,7 @@ def parse_envelope(bodies: DataFrame, kind: str = "data", body_col: str = "body"
     """Parse the body once into ``_env`` (struct) next to the input columns."""
     schema = {
         "data": DATA_ENVELOPE,
+        "data_meta": DATA_META_ENVELOPE,
         "meta": META_ENVELOPE,
         "list": LIST_ENVELOPE,
         "catalog": CATALOG_ENVELOPE,
@@ -158,7 +174,7 @@ def _data_identity(env: DataFrame) -> dict[str, Column]:
 
 def page_info(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     """One row per data page: identity, status and the paging counters."""
-    env = parse_envelope(bodies, "data", body_col)
+    env = parse_envelope(bodies, "data_meta", body_col)
     inf = F.col("_env.STATISTICAL_DATA.RESULT_INF")
     return env.select(
         *[c.alias(n) for n, c in _data_identity(env).items()],
@@ -232,7 +248,7 @@ def class_rows(bodies: DataFrame, body_col: str = "body", first_page_only: bool
     that page is a page-level aggregate (``min_by``), never an observation
     level one.
     """
-    env = parse_envelope(bodies, "data", body_col)
+    env = parse_envelope(bodies, "data_meta", body_col)
     env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
     ids = _data_identity(env)
     pages = env.select(
@@ -276,7 +292,7 @@ def meta_table_info(bodies: DataFrame, body_col: str = "body") -> DataFrame:
 
 def note_rows(bodies: DataFrame, body_col: str = "body", first_page_only: bool = True) -> DataFrame:
     """The annotation legend (``NOTE``: marker char -> meaning)."""
-    env = parse_envelope(bodies, "data", body_col)
+    env = parse_envelope(bodies, "data_meta", body_col)
     env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
     ids = _data_identity(env)
     pages = env.select(
