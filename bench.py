@@ -21,7 +21,8 @@ from statlake.plans.registry import QUERIES  # noqa: E402
 from statlake.session import get_spark  # noqa: E402
 
 HEADLINE = [
-    "tidy_decode",        # parse + value split + decode of the whole cube
+    "tidy_decode",        # value split + decode of the whole landed cube
+    "cube_pages_tidy",    # JSON parse + value split + decode of the whole cube (one job)
     "value_pages",        # JSON page scan -> observations
     "pages_tidy",         # landed JSON pages -> parquet lake -> tidy (the whole path)
     "filter_codes",

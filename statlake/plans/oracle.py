@@ -118,6 +118,7 @@ FROM p, t"""
 
 ORACLE: dict[str, str] = {
     "tidy_decode": td.tidy_cube_sql(),
+    "cube_pages_tidy": td.tidy_cube_sql(),
     "coded_only": f"SELECT area, time, cat01, cat02, unit, raw_value AS value FROM {OBS}",
     "tidy_codes_only": f"""SELECT stats_data_id, area, time, cat01, cat02, unit,
   {td.value_sql('raw_value')} AS value, {td.annotation_sql('raw_value')} AS annotation FROM {OBS}""",

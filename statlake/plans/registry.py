@@ -55,6 +55,17 @@ def tidy_decode(spark: SparkSession, sf: str) -> DataFrame:
     return _tidy_cube(spark, sf).data
 
 
+def cube_pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
+    """Parse + decode at full cube size: the cube is landed as JSON data
+    pages (once), then one job parses every page and decodes every axis."""
+    from statlake.session import cut_lineage
+
+    lake = landed_cube(spark, sf)
+    pages = cut_lineage(td.cube_pages(lake["observations"]), "cube-pages")
+    obs = value_rows(pages)
+    return tidy(obs, lake["classes"], lake["notes"], stats_data_id=td.CUBE_ID, lang="E").data
+
+
 def coded_only(spark: SparkSession, sf: str) -> DataFrame:
     obs = landed_cube(spark, sf)["observations"]
     return coded(obs, stats_data_id=td.CUBE_ID, axes=CUBE_AXES)
@@ -359,6 +370,7 @@ def axis_hierarchy_query(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tidy_decode": tidy_decode,
+    "cube_pages_tidy": cube_pages_tidy,
     "coded_only": coded_only,
     "tidy_codes_only": tidy_codes_only,
     "filter_codes": filter_codes,

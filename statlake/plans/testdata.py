@@ -639,3 +639,33 @@ UNION ALL
 SELECT 'D' || printf('%06d', ds),
   CASE WHEN n = 1 THEN 'RESOURCES_RESOURCE_URL' ELSE 'RESOURCES_RESOURCE_' || CAST(i AS VARCHAR) || '_URL' END,
   url FROM p"""
+
+
+# ---------------------------------------------------------------------------
+# The cube as landed data pages (parse + decode at full cube size)
+# ---------------------------------------------------------------------------
+
+ORDERS_PER_PAGE = 1000  # an order has at most seven lines: <= 7000 records per page
+
+
+def cube_pages(obs: DataFrame) -> DataFrame:
+    """Serialise cube observations as data-page bodies, one page per range
+    of ``ORDERS_PER_PAGE`` order keys (``page_offset`` is the order key in
+    the landed cube), records in order-key order."""
+    rec = F.to_json(F.struct(
+        F.col("cat01").alias("@cat01"), F.col("cat02").alias("@cat02"), F.col("area").alias("@area"),
+        F.col("time").alias("@time"), F.col("unit").alias("@unit"), F.col("value").alias("$")))
+    recs = obs.select(F.floor(F.col("page_offset") / ORDERS_PER_PAGE).alias("page_no"),
+                      F.struct("page_offset", "pos", "l_partkey", "l_suppkey", "l_extendedprice").alias("k"),
+                      rec.alias("rec"))
+    pages = recs.groupBy("page_no").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "rec"))), lambda x: x["rec"]).alias("recs"))
+    node = F.when(F.size("recs") == 1, F.get(F.col("recs"), 0)).otherwise(
+        F.concat(F.lit("["), F.array_join("recs", ","), F.lit("]")))
+    body = F.concat(
+        F.lit('{"GET_STATS_DATA":{"RESULT":{"STATUS":0,"ERROR_MSG":""},'
+              f'"PARAMETER":{{"LANG":"E","STATS_DATA_ID":"{CUBE_ID}"}},'
+              '"STATISTICAL_DATA":{"RESULT_INF":{"FROM_NUMBER":'),
+        (F.col("page_no") * ORDERS_PER_PAGE + 1).cast("string"),
+        F.lit('},"DATA_INF":{"VALUE":'), node, F.lit("}}}}"))
+    return pages.select("page_no", body.alias("body"))
