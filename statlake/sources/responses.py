@@ -24,6 +24,9 @@ from statlake.functions.values import as_count
 from statlake.model import AXES
 
 RECORD = "map<string,string>"
+# VALUE records parse straight into a struct of the known keys (no per-record
+# hash map); keys outside the cube axes are not part of the data model.
+VALUE_RECORD = "struct<" + ",".join(f"`@{a}`:string" for a in [*AXES, "unit"]) + ",`$`:string>"
 
 # Envelope of a data page.  Nested list nodes are kept as JSON text.
 DATA_ENVELOPE = (
@@ -204,7 +207,7 @@ def value_rows(bodies: DataFrame, body_col: str = "body", ok_only: bool = True)
     exploded = env.select(
         *[c.alias(n) for n, c in ids.items()],
         as_count(F.col("_env.STATISTICAL_DATA.RESULT_INF.FROM_NUMBER")).alias("page_offset"),
-        F.posexplode(wrap_records(node)).alias("pos", "r"),
+        F.posexplode(wrap_records(node, VALUE_RECORD)).alias("pos", "r"),
     )
     r = F.col("r")
     return exploded.select(
