@@ -5,7 +5,8 @@ Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 plan executes without pulling rows to the driver.  Each query runs
 ``$BENCH_RUNS`` times (default 2, the first warms JIT and codegen); the best
 run is reported in ``queries`` and the first in ``first_run``.  The one-time
-landing of the derived cube is timed as ``land_cube``.  Prints one JSON line.
+landing of the data derived from the test tables (the cube as parquet and as
+JSON pages, the event pages) is timed as ``land_cube``.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -52,10 +53,13 @@ def main() -> None:
     times: dict[str, float] = {}
     # One-time landing of the cube derived from lineitem/orders/customer
     # (parsed observations + code lists as parquet), timed on its own.
-    from statlake.plans.lake import landed_cube
+    from statlake.plans import testdata as td
+    from statlake.plans.lake import landed_cube, landed_derived
 
     t0 = time.perf_counter()
     landed_cube(spark, sf_dir)
+    landed_derived(spark, sf_dir, "cube-pages", lambda s, d: td.cube_pages(landed_cube(s, d)["observations"]))
+    landed_derived(spark, sf_dir, "event-pages", td.event_pages)
     times["land_cube"] = round(time.perf_counter() - t0, 3)
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     first: dict[str, float] = {}

@@ -18,7 +18,7 @@ from statlake.model import CLASSES_SCHEMA, NOTES_SCHEMA
 from statlake.plans import testdata as td
 from statlake.session import checkpoint_dir, scratch_path
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _LANDED: dict[tuple[str, str], str] = {}
 
 CUBE_SCHEMA = T.StructType(
@@ -54,6 +54,23 @@ def _land(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+_DERIVED: dict[tuple[str, str, str], str] = {}
+
+
+def landed_derived(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write ``build(spark, sf_dir)`` once per session and scale factor into
+    the shared checkpoint folder (e.g. the page bodies derived from a test
+    table, which stand for landed response files) and return a reader."""
+    key = (sf_dir, checkpoint_dir(spark), name)
+    with _LOCK:
+        if key not in _DERIVED:
+            path = scratch_path(spark, f"derived-{name}")
+            build(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _DERIVED[key] = path
+        path = _DERIVED[key]
+    return spark.read.parquet(path)
+
+
 def landed_cube(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """``{"observations", "classes", "notes"}`` read from the landed cube."""
     key = (sf_dir, checkpoint_dir(spark))

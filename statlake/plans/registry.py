@@ -27,7 +27,7 @@ from statlake.operators.quality import (
 )
 from statlake.operators.search import reorder_search_columns, search_catalog, search_tables
 from statlake.plans import testdata as td
-from statlake.plans.lake import landed_cube
+from statlake.plans.lake import landed_cube, landed_derived
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
 from statlake.sources.flatten import flatten_json, flatten_wide
@@ -58,10 +58,9 @@ def tidy_decode(spark: SparkSession, sf: str) -> DataFrame:
 def cube_pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
     """Parse + decode at full cube size: the cube is landed as JSON data
     pages (once), then one job parses every page and decodes every axis."""
-    from statlake.session import cut_lineage
-
     lake = landed_cube(spark, sf)
-    pages = cut_lineage(td.cube_pages(lake["observations"]), "cube-pages")
+    pages = landed_derived(spark, sf, "cube-pages",
+                           lambda s, d: td.cube_pages(landed_cube(s, d)["observations"]))
     obs = value_rows(pages)
     return tidy(obs, lake["classes"], lake["notes"], stats_data_id=td.CUBE_ID, lang="E").data
 
@@ -124,26 +123,31 @@ def prefecture_join(spark: SparkSession, sf: str) -> DataFrame:
 # Landed pages
 # ---------------------------------------------------------------------------
 
+def _event_pages(spark, sf):
+    """Data-page bodies derived from events, landed once per session."""
+    return landed_derived(spark, sf, "event-pages", td.event_pages)
+
+
 PAGE_COLS = ["stats_data_id", "page_offset", "pos", "tab", "cat01", "area", "time", "unit", "value"]
 
 
 def value_pages(spark: SparkSession, sf: str) -> DataFrame:
-    rows = value_rows(td.event_pages(spark, sf))
+    rows = value_rows(_event_pages(spark, sf))
     return split_value_annotation(rows.select(*PAGE_COLS))
 
 
 def class_pages(spark: SparkSession, sf: str) -> DataFrame:
-    cl = class_rows(td.event_pages(spark, sf), first_page_only=False)
+    cl = class_rows(_event_pages(spark, sf), first_page_only=False)
     return cl.select("stats_data_id", "lang", "axis", "axis_name", "axis_pos", "code", "name",
                      "level", "unit", "parent").distinct()
 
 
 def note_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return note_rows(td.event_pages(spark, sf))
+    return note_rows(_event_pages(spark, sf))
 
 
 def page_counters(spark: SparkSession, sf: str) -> DataFrame:
-    info = page_info(td.event_pages(spark, sf))
+    info = page_info(_event_pages(spark, sf))
     return info.select("stats_data_id", "lang", "page_offset", "status_raw", "total_number",
                        "from_number", "to_number", "next_key")
 
@@ -157,10 +161,7 @@ def pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
     from statlake.session import scratch_path
 
     base = scratch_path(spark, "pages-lake")
-    from statlake.session import cut_lineage
-
-    landed = cut_lineage(td.event_pages(spark, sf), "landed-pages")  # the landed page files
-    land_responses(landed, base, classes="union")
+    land_responses(_event_pages(spark, sf), base, classes="union")
     lake = read_lake(spark, base)
     return tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id=td.EVENTS_ID,
                 lang="J", axes=["tab", "cat01", "area", "time"]).data
@@ -169,7 +170,7 @@ def pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
 def page_rows_window(spark: SparkSession, sf: str) -> DataFrame:
     """Start position + limit on landed pages: the start is a filter on the
     absolute row number ``page_offset + pos`` (no window), the limit a top-k."""
-    rows = value_rows(td.event_pages(spark, sf))
+    rows = value_rows(_event_pages(spark, sf))
     return split_value_annotation(take_rows(rows, limit=500, start_position=1200).select(*PAGE_COLS))
 
 
@@ -197,7 +198,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
     base = scratch_path(spark, "stream-ingest")
     landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
-    land_pages(td.event_pages(spark, sf), landing)
+    land_pages(_event_pages(spark, sf), landing)
     q = start_ingest(spark, landing, target, ckpt, available_now=True)
     q.awaitTermination()
     rows = read_observations(spark, target)
