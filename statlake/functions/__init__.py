@@ -5,6 +5,7 @@ from statlake.functions.values import (
     annotation_of,
     as_count,
     boundary_srid,
+    dig,
     numeric_value,
     prefecture_area_code,
     redact_param,
@@ -17,6 +18,7 @@ __all__ = [
     "annotation_of",
     "as_count",
     "boundary_srid",
+    "dig",
     "numeric_value",
     "prefecture_area_code",
     "redact_param",

@@ -71,3 +71,10 @@ def prefecture_area_code(code: str | Column) -> Column:
 def boundary_srid(datum: str | Column) -> Column:
     """Datum choice -> spatial reference id (JGD2011 6668, else JGD2000 4612)."""
     return F.when(_col(datum) == "2011", F.lit(6668)).otherwise(F.lit(4612))
+
+
+def dig(json_text: str | Column, *keys: str) -> Column:
+    """Null-safe nested access into JSON text: ``dig(body, "A", "B")`` is
+    ``A.B`` or null when any level is missing (keys may contain ``@``)."""
+    path = "$" + "".join("['" + k.replace("'", "\\'") + "']" for k in keys)
+    return F.get_json_object(_col(json_text), path)

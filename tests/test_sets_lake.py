@@ -59,3 +59,13 @@ def test_three_pages_with_gap(spark, bodies):
     landed = info.select("stats_data_id", "lang", "query_fingerprint", F.col("page_offset").alias("offset"))
     todo = missing_pages(plan, landed)
     assert [(r.offset, r.size) for r in todo.collect()] == [(4, 3)]
+
+
+def test_dig_null_safe(spark):
+    from statlake.functions import dig
+
+    df = spark.createDataFrame([('{"A":{"B":1,"@id":"x"}}',), ("<html>",)], "j string")
+    rows = df.select(dig("j", "A", "B").alias("b"), dig("j", "A", "C").alias("c"),
+                     dig("j", "Z").alias("z"), dig("j", "A", "@id").alias("i")).collect()
+    assert (rows[0].b, rows[0].c, rows[0].z, rows[0].i) == ("1", None, None, "x")
+    assert (rows[1].b, rows[1].i) == (None, None)
