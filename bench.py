@@ -6,7 +6,8 @@ plan executes without pulling rows to the driver.  Each query runs
 ``$BENCH_RUNS`` times (default 2, the first warms JIT and codegen); the best
 run is reported in ``queries`` and the first in ``first_run``.  The one-time
 landing of the data derived from the test tables (the cube as parquet and as
-JSON pages, the event pages) is timed as ``land_cube``.  Prints one JSON line.
+JSON pages, the event pages) is reported under ``setup``, outside ``value``
+(the sum of the per-query times).  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def main() -> None:
     landed_cube(spark, sf_dir)
     landed_derived(spark, sf_dir, "cube-pages", lambda s, d: td.cube_pages(landed_cube(s, d)["observations"]))
     landed_derived(spark, sf_dir, "event-pages", td.event_pages)
-    times["land_cube"] = round(time.perf_counter() - t0, 3)
+    setup = {"land_derived": round(time.perf_counter() - t0, 3)}
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     first: dict[str, float] = {}
     for name in HEADLINE:
@@ -80,6 +81,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "first_run": first,
+        "setup": setup,
         "runs": runs,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
     }))
