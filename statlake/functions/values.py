@@ -45,7 +45,13 @@ def split_value_annotation(df: DataFrame, col: str = "value") -> DataFrame:
             {col: F.lit(None).cast("double"), "annotation": F.lit(None).cast("string")}
         )
     raw = F.col(col)
-    return df.withColumns({"annotation": annotation_of(raw), col: numeric_value(raw)})
+    # Both outputs lead with the same regex test, so whole-stage codegen's
+    # subexpression elimination evaluates it once per row.
+    is_num = raw.rlike(NUMERIC_PATTERN)
+    return df.withColumns({
+        "annotation": F.when(~is_num & (F.length(raw) > 0), raw),
+        col: F.when(is_num, F.regexp_replace(raw, _EDGE_SPACE, "").try_cast("double")),
+    })
 
 
 def redact_param(c: str | Column, name: str = "appId") -> Column:

@@ -65,7 +65,7 @@ def decoded_column_order(columns: list[str], axis_ids: list[str]) -> list[str]:
 
 def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = None,
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                drop_unused_axes: bool = True) -> DataFrame:
+                drop_unused_axes: bool = True, keys: list[str] | None = None) -> DataFrame:
     """Decode every axis present in both the data and ``classes``.
 
     ``axes`` names the axes the data carries (default: every axis column
@@ -79,7 +79,8 @@ def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = Non
         classes = classes.where(F.col("axis").isin(axes))
     summary = [s for s in axis_summary(classes) if s["axis"] in obs.columns]
     keep_raw = set(axes or []) - {s["axis"] for s in summary}
-    keys = [k for k in ("stats_data_id", "lang") if k in obs.columns and k in classes.columns]
+    if keys is None:  # lake-wide: codes are unique per (table, language)
+        keys = [k for k in ("stats_data_id", "lang") if k in obs.columns and k in classes.columns]
     out = obs
     for s in summary:
         axis = s["axis"]

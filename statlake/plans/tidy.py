@@ -77,9 +77,12 @@ def tidy(obs: DataFrame, classes: DataFrame | None = None, notes: DataFrame | No
     o = split_value_annotation(o)
     if decode_labels and classes is not None:
         cl = _restrict(classes, stats_data_id, None)
+        keys = None
         if lang is not None and not fallback_lang:
             cl = cl.where(F.col("lang") == normalise_lang(lang))
-        data = decode_axes(o, cl, axes=axes, max_broadcast_rows=max_broadcast_rows)
+            if isinstance(stats_data_id, str):
+                keys = []  # both sides hold one table in one language: join on the code alone
+        data = decode_axes(o, cl, axes=axes, max_broadcast_rows=max_broadcast_rows, keys=keys)
     else:
         data = coded_columns(o, axes=axes, keep=[c for c in o.columns if c not in AXES])
     if not keep_lineage:

@@ -136,7 +136,13 @@ def is_json_array(node: Column) -> Column:
 
 
 def parse_envelope(bodies: DataFrame, kind: str = "data", body_col: str = "body") -> DataFrame:
-    """Parse the body once into ``_env`` (struct) next to the input columns."""
+    """Parse the body once into ``_env`` (struct) next to the input columns.
+
+    The envelope is emitted by a generator (``explode`` of a one-element
+    array): filters on ``_env`` (status, table id, language) then stay above
+    it instead of being pushed down with ``from_json`` inlined into them,
+    which would parse every body a second time.
+    """
     schema = {
         "data": DATA_ENVELOPE,
         "data_meta": DATA_META_ENVELOPE,
@@ -144,7 +150,8 @@ def parse_envelope(bodies: DataFrame, kind: str = "data", body_col: str = "body"
         "list": LIST_ENVELOPE,
         "catalog": CATALOG_ENVELOPE,
     }[kind]
-    return bodies.withColumn("_env", F.from_json(F.col(body_col), schema)[ENVELOPE_ROOT[kind]])
+    env = F.from_json(F.col(body_col), schema)[ENVELOPE_ROOT[kind]]
+    return bodies.select("*", F.explode(F.array(env)).alias("_env"))
 
 
 def _identity(env: DataFrame, cols: dict[str, Column]) -> dict[str, Column]:
