@@ -1,8 +1,8 @@
 """Long -> wide reshaping of tidy results.
 
-Spark's ``pivot`` with an explicit value list becomes a single
-conditional aggregation with map-side partial aggregation, so even a very
-hot id group collapses before the shuffle.
+The wide form is one conditional aggregate per column label, grouped by the
+id columns: a single shuffle with map-side partial aggregation, so even a
+very hot id group collapses before the shuffle.
 """
 
 from __future__ import annotations
@@ -61,13 +61,20 @@ def pivot_wide(data: DataFrame, names_from: str, values_from: str = "value",
                 "several values share one cell; pass duplicates='first'|'sum'|'count' "
                 "or add id columns"
             )
-    agg = {
-        "raise": F.first(values_from),
-        "first": F.first(values_from),
-        "sum": F.sum(values_from),
-        "count": F.count(F.lit(1)),
-    }[duplicates]
-    out = data.groupBy(*id_cols).pivot(names_from, values).agg(agg)
-    if duplicates == "count":
-        out = out.fillna(0, subset=[str(v) for v in values])
-    return out
+    # One conditional aggregate per label: a single shuffle with map-side
+    # partial aggregation (Spark's own pivot aggregates twice).
+    name, val = F.col(names_from), F.col(values_from)
+    aggs = []
+    for v in values:
+        hit = name.isNull() if v is None else (name == F.lit(v))
+        label = "null" if v is None else str(v)
+        if duplicates == "sum":
+            expr = F.sum(F.when(hit, val))
+        elif duplicates == "count":
+            expr = F.count(F.when(hit, F.lit(1)))
+        else:  # raise (cells are unique) or first
+            expr = F.first(F.when(hit, val), ignorenulls=True)
+        aggs.append(expr.alias(label))
+    if not aggs:
+        return data.select(*id_cols).distinct()
+    return data.groupBy(*id_cols).agg(*aggs)
