@@ -335,19 +335,28 @@ def dissolve(features: DataFrame, key: str = "area_code", geom_col: str = "polyg
 # Levels, designated cities, boundaries
 # ---------------------------------------------------------------------------
 
-def _designated_rows(keyed: DataFrame, code_col: str = "area_code") -> DataFrame:
-    """Rows of designated-city wards re-keyed to their parent city.  The
-    ward table is ~200 rows of fixed size, so it is broadcast."""
+def _with_parent(keyed: DataFrame, code_col: str = "area_code") -> DataFrame:
+    """Left-join each row's designated-city parent (null for other codes).
+    The ward table is ~200 rows of fixed size, so it is broadcast."""
     wards = F.broadcast(designated_wards(keyed.sparkSession))
-    m = keyed.join(wards, F.col(code_col).try_cast("int") == F.col("ward_code_int"))
-    return m
+    return keyed.join(wards, F.col(code_col).try_cast("int") == F.col("ward_code_int"), "left")
+
+
+def _rollup_codes(mode: str, code_col: str = "area_code") -> Column:
+    """The codes a row counts towards: its own and/or its parent city's."""
+    own, parent = F.col(code_col), F.col("parent_code")
+    if mode == "both":
+        return F.array_compact(F.array(own, parent))
+    if mode == "city":
+        return F.array(F.coalesce(parent, own))
+    return F.array(own)
 
 
 def keyed_small_areas(small_areas: DataFrame, level: str = "municipality",
                       designated: str = "both") -> DataFrame:
     """Clean rows keyed by ``area_code`` at the level; at municipality level
-    add parent-city copies of designated wards ("both"), or replace the
-    wards by them ("city")."""
+    each designated-ward row also counts towards its parent city ("both"),
+    or only towards it ("city").  One pass: no second scan, no union."""
     if level not in LEVELS:
         raise InvalidArgument(f"level must be one of {LEVELS}")
     if designated not in ("both", "ward", "city"):
@@ -355,15 +364,14 @@ def keyed_small_areas(small_areas: DataFrame, level: str = "municipality",
     sa = clean_boundary_rows(small_areas).withColumn("area_code", boundary_key(level))
     if level != "municipality" or designated == "ward":
         return sa
-    m = _designated_rows(sa)
-    parents = m.withColumn("area_code", F.col("parent_code"))
-    if "CITY_NAME" in parents.columns:
-        parents = parents.withColumn("CITY_NAME", F.col("parent_name"))
-    parents = parents.drop("parent_code", "parent_name", "ward_code_int")
-    if designated == "city":
-        wards = m.select("KEY_CODE").distinct()
-        sa = sa.join(wards, "KEY_CODE", "left_anti")
-    return sa.unionByName(parents)
+    m = _with_parent(sa)
+    cols = [c for c in sa.columns if c != "area_code"]
+    out = m.select(*cols, "parent_code", "parent_name",
+                   F.explode(_rollup_codes(designated)).alias("area_code"))
+    if "CITY_NAME" in cols:
+        out = out.withColumn("CITY_NAME", F.when(F.col("area_code") == F.col("parent_code"), F.col("parent_name"))
+                             .otherwise(F.col("CITY_NAME")))
+    return out.drop("parent_code", "parent_name")
 
 
 def boundaries(small_areas: DataFrame, level: str = "municipality", designated: str = "both",
@@ -411,18 +419,21 @@ def boundaries(small_areas: DataFrame, level: str = "municipality", designated:
 def rollup_measure(df: DataFrame, aggs: list[Column], code_col: str = "area_code",
                    mode: str = "both") -> DataFrame:
     """Aggregate a measure per area code and add designated-city parent rows
-    (``both``), or replace ward rows by parents (``city``), or leave wards
-    alone (``ward``).  The ward -> parent match is an equi-join on the
-    expanded ward list (fixed ~200 rows, broadcast)."""
-    base = df.groupBy(code_col).agg(*aggs)
+    (``both``), or count wards only towards their parent (``city``), or leave
+    wards alone (``ward``).  One scan and one partial-aggregated shuffle: each
+    row is exploded into the codes it counts towards (the ward -> parent
+    match is an equi-join on the expanded ward list, fixed ~200 rows)."""
+    if mode not in ("both", "ward", "city"):
+        raise InvalidArgument('mode must be "both", "ward" or "city"')
     if mode == "ward":
-        return base
-    m = _designated_rows(df, code_col)
-    parents = m.groupBy(F.col("parent_code").alias(code_col)).agg(*aggs)
-    if mode == "city":
-        wards = m.select(code_col).distinct()
-        base = base.join(wards, code_col, "left_anti")
-    return base.unionByName(parents)
+        return df.groupBy(code_col).agg(*aggs)
+    m = _with_parent(df, code_col)
+    # Parent rows are appended, not merged: a parent code that also occurs as
+    # an ordinary code in the data keeps two rows (the reference appends them).
+    exploded = m.withColumn("__rollup_code", F.explode(_rollup_codes(mode, code_col)))
+    is_parent = F.coalesce(F.col("__rollup_code") == F.col("parent_code"), F.lit(False))
+    out = exploded.groupBy(F.col("__rollup_code").alias(code_col), is_parent.alias("__is_parent")).agg(*aggs)
+    return out.drop("__is_parent")
 
 
 def unmatched_codes(data: DataFrame, bnd: DataFrame, key: str = "area_code") -> DataFrame:
