@@ -74,4 +74,7 @@ def flatten_wide(long: DataFrame, columns: list[str] | None = None) -> DataFrame
     paths are null (union with fill)."""
     if columns is None:
         columns = [r["path"] for r in long.select("path").distinct().orderBy("path").collect()]
-    return long.groupBy("row_id").pivot("path", columns).agg(F.first("value"))
+    # One conditional aggregate per path: a single shuffle on row_id.
+    aggs = [F.first(F.when(F.col("path") == F.lit(c), F.col("value")), ignorenulls=True).alias(c)
+            for c in columns]
+    return long.groupBy("row_id").agg(*aggs)
