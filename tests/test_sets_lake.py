@@ -69,3 +69,23 @@ def test_dig_null_safe(spark):
                      dig("j", "Z").alias("z"), dig("j", "A", "@id").alias("i")).collect()
     assert (rows[0].b, rows[0].c, rows[0].z, rows[0].i) == ("1", None, None, "x")
     assert (rows[1].b, rows[1].i) == (None, None)
+
+
+def test_axis_label_metadata_survives_parquet(spark, bodies):
+    from statlake.sources.responses import class_rows, value_rows
+
+    b = bodies(sd_json([sd_value("1")], total=1))
+    d = tidy(value_rows(b), class_rows(b)).data
+    path = scratch_path(spark, "t-label")
+    d.write.parquet(path)
+    back = spark.read.parquet(path)
+    assert back.schema["cat01"].metadata.get("label") == "就業状態"
+    assert back.schema["area"].metadata.get("label") == "地域"
+
+
+def test_each_body_parsed_once(spark, bodies):
+    from statlake.sources.responses import value_rows
+
+    rows = value_rows(bodies(sd_json([sd_value("1")], total=1)))
+    plan = rows.where(F.col("stats_data_id") == "0003217721")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField(GET_STATS_DATA") == 1
