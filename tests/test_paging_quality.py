@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from statlake.functions.values import redact_param
 from statlake.operators.paging import incomplete_tables, missing_pages, page_plan, split_batches, take_rows
