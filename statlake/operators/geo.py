@@ -207,12 +207,36 @@ def _ckpt(df: DataFrame, i: int, every: int = 1) -> DataFrame:
 
 
 def stitch_rings(boundary: DataFrame, key: str = "area_code") -> DataFrame:
-    """Directed boundary edges -> closed rings ``(key, ring_id, ring, area)``.
+    """Directed boundary edges -> closed rings ``(key, ring_id, ring, area)``
+    (one array row per ring; see ``ring_vertices`` for the long form)."""
+    rank = _ring_ranks(boundary, key)
+    pts = rank.groupBy(key, "lab").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("o"),
+                                             F.col("id.sx").alias("x"), F.col("id.sy").alias("y")))).alias("p"))
+    ring = F.transform("p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    out = pts.select(key, F.col("lab").alias("ring_id"), ring.alias("ring"))
+    out = out.withColumn("ring", F.concat("ring", F.array(F.get(F.col("ring"), 0))))
+    return out.withColumn("area", ring_area2(F.col("ring")) / 2)
+
+
+def ring_vertices(boundary: DataFrame, key: str = "area_code") -> DataFrame:
+    """Directed boundary edges -> ring vertices in long form
+    ``(key, ring_id, seq, x, y)``: ``seq`` orders each ring (closing point
+    implied).  Nothing is gathered per ring, so an area of any size stays
+    spread over partitions."""
+    rank = _ring_ranks(boundary, key)
+    return rank.select(key, F.col("lab").alias("ring_id"), (-F.col("r")).alias("seq"),
+                       F.col("id.sx").alias("x"), F.col("id.sy").alias("y"))
+
+
+def _ring_ranks(boundary: DataFrame, key: str) -> DataFrame:
+    """Per directed edge: ring label ``lab`` and ``r`` (descending ``r``
+    walks the ring forward).
 
     Successor of an edge: the edge leaving its end vertex with the sharpest
-    left turn (keeps rings that touch at a point apart).  Ring ids come from
-    min-label propagation and vertex order from list ranking, both by
-    pointer doubling; lineage is cut with reliable checkpoints.
+    left turn (keeps rings that touch at a point apart).  Ring id and vertex
+    order come from one pointer-doubling phase; lineage is cut by writing the
+    state to the shared checkpoint folder every second round.
     """
     e = boundary.select(key, "sx", "sy", "ex", "ey")
     a, b = e.alias("a"), e.alias("b")
@@ -252,15 +276,7 @@ def stitch_rings(boundary: DataFrame, key: str = "area_code") -> DataFrame:
             F.when(keep_own, F.col("d")).otherwise(F.col("j_d") + F.lit(span)).alias("d"),
         )
         st = _ckpt(st, i, every=2) if i + 1 < rounds else st
-    rank = st.select(key, "id", "lab", F.col("d").alias("r"))
-
-    pts = rank.groupBy(key, "lab").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("o"),
-                                             F.col("id.sx").alias("x"), F.col("id.sy").alias("y")))).alias("p"))
-    ring = F.transform("p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    out = pts.select(key, F.col("lab").alias("ring_id"), ring.alias("ring"))
-    out = out.withColumn("ring", F.concat("ring", F.array(F.get(F.col("ring"), 0))))
-    return out.withColumn("area", ring_area2(F.col("ring")) / 2)
+    return st.select(key, "id", "lab", F.col("d").alias("r"))
 
 
 def _hole_owners(rings: DataFrame, key: str) -> DataFrame:
