@@ -21,23 +21,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_LEVEL = """
-SELECT row_id, path, v FROM (
-  SELECT n.row_id,
-         CASE WHEN n.is_container THEN
-           concat_ws('_', nullif(n.path, ''),
-                     CASE WHEN e.key IS NULL THEN CAST(e.pos + 1 AS STRING)
-                          WHEN e.key = '$' THEN NULL
-                          ELSE regexp_replace(e.key, '^@', '') END)
-         ELSE n.path END AS path,
-         CASE WHEN n.is_container THEN e.value ELSE n.v END AS v,
-         (n.is_container AND e.pos IS NULL) AS empty_container
-  FROM (SELECT row_id, path, v,
-               (try_variant_get(v, '$', 'map<string,variant>') IS NOT NULL
-                OR try_variant_get(v, '$', 'array<variant>') IS NOT NULL) AS is_container
-        FROM {nodes}) AS n,
-  LATERAL variant_explode_outer(n.v) AS e
-) WHERE NOT empty_container
+_IS_CONTAINER = ("(try_variant_get(n.v, '$', 'map<string,variant>') IS NOT NULL "
+                 "OR try_variant_get(n.v, '$', 'array<variant>') IS NOT NULL)")
+
+# A non-null ``pos`` means the node was a container with children (expand
+# it); a null ``pos`` means a leaf (keep) or an empty container (drop).  The
+# type test runs only for those null-``pos`` rows.
+_LEVEL = f"""
+SELECT n.row_id,
+       CASE WHEN e.pos IS NOT NULL THEN
+         concat_ws('_', nullif(n.path, ''),
+                   CASE WHEN e.key IS NULL THEN CAST(e.pos + 1 AS STRING)
+                        WHEN e.key = '$' THEN NULL
+                        ELSE regexp_replace(e.key, '^@', '') END)
+       ELSE n.path END AS path,
+       CASE WHEN e.pos IS NOT NULL THEN e.value ELSE n.v END AS v
+FROM {{nodes}} AS n, LATERAL variant_explode_outer(n.v) AS e
+WHERE e.pos IS NOT NULL OR NOT {_IS_CONTAINER}
 """
 
 
