@@ -62,3 +62,49 @@ def test_dissolve_area_and_rings_match_cell_count(spark, cells3):
             for ring in poly:
                 total += sum(ring[i].x * ring[i + 1].y - ring[i + 1].x * ring[i].y for i in range(len(ring) - 1)) / 2
         assert abs(total - r.area) < 1e-9
+
+
+# ---------------------------------------------------------------------------
+# flatten_json against a direct implementation of the five shape rules
+# ---------------------------------------------------------------------------
+
+import json  # noqa: E402
+
+from statlake.sources.flatten import flatten_json  # noqa: E402
+
+
+def rules_flatten(node, path=""):
+    """Leaves as (path, text): keys joined by "_", leading "@" dropped, "$"
+    takes the parent's name, array items numbered from 1, null kept, empty
+    containers dropped; the root "$" is "value"."""
+    out = []
+    if isinstance(node, dict):
+        for k, v in node.items():
+            seg = None if k == "$" else (k[1:] if k.startswith("@") else k)
+            out += rules_flatten(v, "_".join(p for p in (path, seg) if p))
+    elif isinstance(node, list):
+        for i, v in enumerate(node, start=1):
+            out += rules_flatten(v, "_".join(p for p in (path, str(i)) if p))
+    else:
+        text = None if node is None else (("true" if node else "false") if isinstance(node, bool) else str(node))
+        out.append((path or "value", text))
+    return out
+
+
+leaf = st.one_of(st.none(), st.booleans(), st.integers(-1000, 1000), st.text(alphabet="abcxyz", max_size=4))
+tree = st.recursive(
+    leaf,
+    lambda kids: st.one_of(st.lists(kids, max_size=3),
+                           st.dictionaries(st.sampled_from(["@id", "name", "$", "v"]), kids, max_size=3)),
+    max_leaves=8,
+)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.dictionaries(st.sampled_from(["@id", "name", "$", "v"]), tree, min_size=1, max_size=3),
+                min_size=1, max_size=8))
+def test_flatten_json_matches_rules(spark, records):
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "row_id int, record string")
+    got = sorted((r.row_id, r.path, r.value) for r in flatten_json(df, max_depth=12).collect())
+    want = sorted((i, p, v) for i, r in enumerate(records) for p, v in rules_flatten(r))
+    assert got == want
