@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(spaced, " "), lambda w: w != "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` has it
+    inside a lambda."""
+    return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front until no column has that name."""
     taken = {c.lower() for c in df.columns}

@@ -20,11 +20,13 @@ never learned from; repeated rows get equal results; extra columns stay.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,15 +53,26 @@ def script_of(letter: str) -> str:
     return SCRIPTS[int(np.searchsorted(_STARTS, ord(letter), "right")) - 1][1]
 
 
-def grams(word: str) -> list[str]:
-    """The n-grams of a lower-case word: two and three letters with the word's
-    ends marked, and the whole word."""
-    marked = f"^{word}$"
-    return [marked, *(marked[i:i + 2] for i in range(len(marked) - 1)), *(marked[i:i + 3] for i in range(len(marked) - 2))]
+def letters_of(word: str) -> str:
+    """The letters of a word, in lower case."""
+    return word.lower() if word.isalpha() else "".join(filter(str.isalpha, word.lower()))
 
 
-def bucket(gram: str) -> int:
-    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+def features(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the n-grams of lower-case words, and the word of each:
+    two and three letters with the word's ends marked, and the whole word."""
+    text = "".join([f"^{w}$" for w in found])
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    word = np.repeat(np.arange(len(found)), [len(w) + 2 for w in found])
+    out = [np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in found), np.int64, len(found))]
+    place = [np.arange(len(found))]
+    mixed = points
+    for n in (2, 3):
+        mixed = mixed[:-1] * np.uint64(0x9E3779B97F4A7C15) + points[n - 1:]
+        inside = word[:-(n - 1)] == word[n - 1:]
+        out.append(((mixed[inside] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.int64) % BUCKETS)
+        place.append(word[:-(n - 1)][inside])
+    return np.concatenate(out), np.concatenate(place)
 
 
 @dataclass
@@ -70,47 +83,56 @@ class Model:
     #: script -> mask of the languages written in it
     scripts: dict[str, np.ndarray]
     penalty: float = 12.0
+    #: caches of a worker: place of a word as written and of its letters, scores and letter counts by place
     index: dict[str, int] = field(default_factory=dict)
-    scores: list[np.ndarray] = field(default_factory=list)
-    letters: list[int] = field(default_factory=list)
-
-    def word(self, word: str) -> tuple[np.ndarray, int]:
-        """Scores by language and the number of letters."""
-        kept = "".join(c for c in word.lower() if c.isalpha())
-        score = np.zeros(len(self.languages), np.float32)
-        if not kept:
-            return score, 0
-        mask = self.scripts.get(script_of(kept[0]))
-        if mask is None:
-            return score, len(kept)
-        score += self.weight[[bucket(g) for g in grams(kept)]].sum(axis=0)
-        score[~mask] = -1e4
-        return score, len(kept)
-
-    def lookup(self, found: list[str]) -> list[int]:
-        out = []
-        for w in found:
-            k = self.index.get(w)
+    bare: dict[str, int] = field(default_factory=dict)
+    scores: np.ndarray | None = None
+    letters: np.ndarray | None = None
+
+    def learn_words(self, found: list[str]) -> None:
+        """Enter new words and their scores into the caches."""
+        if self.scores is None or len(self.index) > CACHE_WORDS:
+            self.index, self.bare = {}, {}
+            self.scores, self.letters = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.int64)
+        new: list[str] = []
+        for w in dict.fromkeys(found):
+            if w in self.index:
+                continue
+            kept = letters_of(w)
+            k = self.bare.get(kept)
             if k is None:
-                score, letters = self.word(w)
-                k = self.index[w] = len(self.scores)
-                self.scores.append(score)
-                self.letters.append(letters)
-            out.append(k)
-        return out
+                k = self.bare[kept] = len(self.letters) + len(new)
+                new.append(kept)
+            self.index[w] = k
+        if not new:
+            return
+        scores = np.zeros((len(new), len(self.languages)), np.float32)
+        where, place = features(new)
+        for j in range(len(self.languages)):
+            scores[:, j] = np.bincount(place, self.weight[where, j], len(new))
+        for k, kept in enumerate(new):
+            mask = self.scripts.get(script_of(kept[0])) if kept else None
+            if mask is None:
+                scores[k] = 0
+            elif not mask.all():
+                scores[k, ~mask] = -1e4
+        self.scores = np.concatenate([self.scores, scores])
+        self.letters = np.concatenate([self.letters, [len(w) for w in new]])
 
     def spans(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For each text its words' languages (positions) and letter counts."""
-        if len(self.index) > CACHE_WORDS:
-            self.index, self.scores, self.letters = {}, [], []
-        rows = [self.lookup((t or "").split()) for t in texts]
-        sizes = np.array([len(r) for r in rows], np.int64)
+        found = [(t or "").split() for t in texts]
+        sizes = np.array([len(w) for w in found], np.int64)
         edges = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.array([k for r in rows for k in r], np.int64)
-        if not len(flat) or not self.languages:
+        every = list(chain.from_iterable(found))
+        if not every or not self.languages:
             return [np.zeros(n, np.int64) for n in sizes], [np.zeros(n, np.int64) for n in sizes]
-        path = viterbi(np.array(self.scores, np.float32), flat, edges, self.penalty)
-        letters = np.array(self.letters, np.int64)[flat]
+        places = list(map(self.index.get, every))
+        if None in places:
+            self.learn_words(every)
+            places = list(map(self.index.__getitem__, every))
+        flat = np.array(places, np.int64)
+        path, letters = viterbi(self.scores, flat, edges, self.penalty), self.letters[flat]
         return [path[a:b] for a, b in pairwise(edges)], [letters[a:b] for a, b in pairwise(edges)]
 
     def predict(self, texts: list[str | None]) -> pa.StructArray:
@@ -161,6 +183,17 @@ def viterbi(scores: np.ndarray, flat: np.ndarray, edges: np.ndarray, penalty: fl
     return path
 
 
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by language and bucket of rows (lang, word, count)."""
+    for batch in batches:
+        for lang in batch["lang"].unique():
+            rows = batch.filter(pc.equal(batch["lang"], lang))
+            where, place = features(rows["word"].to_pylist())
+            n = np.bincount(where, rows["count"].to_numpy()[place], BUCKETS)
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(some), pa.string()), pa.array(some), pa.array(n[some])], ["lang", "bucket", "n"])
+
+
 def fold(id_col: Column) -> Column:
     """CRC-32 of the id as text, mod 3; fold 1 is held out."""
     return F.crc32(id_col.cast("string").cast("binary")) % 3
@@ -177,10 +210,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     letters = F.regexp_replace(F.lower("word"), r"[^\p{L}]+", "")
     counted = (labelled.select(F.col(lang_col).alias("lang"), F.explode(words(F.col(text_col))).alias("word"))
                .select("lang", letters.alias("word")).filter("word <> ''").groupBy("lang", "word").count())
-    marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    pieces = [F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n))) for n in (2, 3)]
-    by_bucket = (counted.select("lang", "count", F.explode(F.concat(F.array(marked), *pieces)).alias("gram"))
-                 .groupBy("lang", (F.crc32(F.col("gram").cast("binary")) % BUCKETS).alias("bucket")).agg(F.sum("count").alias("n")))
+    by_bucket = counted.mapInArrow(_bucket_counts, "lang string, bucket long, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     by_script = counted.groupBy("lang", F.ascii("word").alias("point")).agg(F.sum(F.col("count") * F.length("word")).alias("n"))
     starts = F.array(*[F.lit(s) for s, _ in SCRIPTS])
     by_script = by_script.groupBy("lang", F.size(F.filter(starts, lambda s: s <= F.col("point"))).alias("script")).agg(F.sum("n").alias("n"))
@@ -195,14 +225,14 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     counts[learned["bucket"].to_numpy(), np.array(columns, np.int64)] = learned["n"].to_numpy()
     weight = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * BUCKETS)
     weight -= weight.mean(axis=1, keepdims=True) if languages else 0
-    letters_of = np.zeros(len(languages))
+    in_all = np.zeros(len(languages))
     for r in scripts:
-        letters_of[place[r["lang"]]] += r["n"]
+        in_all[place[r["lang"]]] += r["n"]
     masks: dict[str, np.ndarray] = {}
     shares: dict[tuple[str, str], float] = {}
     for r in scripts:
         key = (SCRIPTS[r["script"] - 1][1], r["lang"])
-        shares[key] = shares.get(key, 0) + r["n"] / letters_of[place[r["lang"]]]
+        shares[key] = shares.get(key, 0) + r["n"] / in_all[place[r["lang"]]]
     for (script, lang), share in shares.items():
         if share >= least_share:
             masks.setdefault(script, np.zeros(len(languages), bool))[place[lang]] = True

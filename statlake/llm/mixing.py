@@ -11,9 +11,10 @@ with one multiplier a source from the convex dual.  Newton steps (kept inside a
 bracket that is known to hold the root) run on Spark over a histogram of the
 documents by source, size and hash slot, so a step's cost does not grow with the
 documents' lengths and a source with a third of all rows is pre-aggregated.
-Rates are rounded to whole copies by error diffusion along falling sizes: a
-document takes the floor or the ceiling of its rate, and a source's words end
-within about half of its smallest documents' size of the target.
+Rates are rounded to whole copies by error diffusion along falling sizes, and
+once more for what is left: a document takes the floor or the ceiling of its
+rate, and a source's words end within about half of its smallest documents' size
+of the target.
 
 Defined results: null text: size 0, no copies needed (rate 1, nothing taken);
 null sources are one source, last; an empty table gives an empty table; equal
@@ -105,13 +106,16 @@ def _multipliers(classes: DataFrame, targets: DataFrame, most: int) -> DataFrame
 def _round_source(rows: pd.DataFrame) -> pd.DataFrame:
     """Whole copies of each class of one source (size, slot, n, rate)."""
     rows = rows.sort_values(["size", "slot"], ascending=[False, True], kind="stable")
+    sizes, counts, rates = (rows[c].tolist() for c in ("size", "n", "rate"))
     wanted, taken, out = 0.0, 0, []
-    for size, n, rate in zip(rows["size"].tolist(), rows["n"].tolist(), rows["rate"].tolist(), strict=True):
+    for size, n, rate in zip(sizes, counts, rates, strict=True):
         wanted += size * n * rate
-        low, high = math.floor(rate) * n, math.ceil(rate) * n
-        copies = min(high, max(low, round((wanted - taken) / size)))
-        taken += copies * size
-        out.append(copies)
+        out.append(min(math.ceil(rate) * n, max(math.floor(rate) * n, round((wanted - taken) / size))))
+        taken += out[-1] * size
+    for k, (size, n, rate) in enumerate(zip(sizes, counts, rates, strict=True)):  # what is left, by documents that can still go the other way
+        step = min(math.ceil(rate) * n - out[k], max(math.floor(rate) * n - out[k], int((wanted - taken) / size + (0.5 if wanted > taken else -0.5))))
+        out[k] += step
+        taken += step * size
     return rows.assign(copies=out)[["key", "size", "slot", "n", "rate", "copies"]]
 
 
@@ -120,12 +124,12 @@ def mix(df: DataFrame, weights: Sequence[float] = WEIGHTS, total: float = TOTAL,
     """``df`` (or its columns ``carry``) with size, source_size, target, rate
     and copies."""
     carry = list(df.columns if carry is None else carry)
-    names = {k: free_name(df, k) for k in ("key", "slot")}
-    key, slot = names["key"], names["slot"]
+    key, slot, place = (free_name(df, k) for k in ("key", "slot", "place"))
     marked = df.select(*carry, F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias(key), word_count(F.col(text_col)).alias("size"),
                        F.coalesce(F.pmod(F.xxhash64(id_col), F.lit(SLOTS)), F.lit(0)).cast("int").alias(slot),
-                       *([] if source_col in carry else [F.col(source_col)]))
-    classes = marked.groupBy(F.col(key).alias("key"), "size", F.col(slot).alias("slot")).agg(F.first(source_col).alias("source"), F.count("*").alias("n"))
+                       F.col(id_col).alias(place))
+    classes = marked.groupBy(F.col(key).alias("key"), "size", F.col(slot).alias("slot")).agg(F.count("*").alias("n"))
+    classes = classes.withColumn("source", F.when(F.col("key") != "", F.expr("substring(key, 2)")))
     classes = cut_lineage(classes, "classes")
     targets = cut_lineage(source_targets(classes.select("key", "source", (F.col("n") * F.col("size")).alias("size")), weights, total, most), "targets")
     dual = _multipliers(classes, targets, most)
@@ -136,7 +140,7 @@ def mix(df: DataFrame, weights: Sequence[float] = WEIGHTS, total: float = TOTAL,
     counted = counted.unionAll(rated.filter("size = 0").withColumn("copies", F.col("n")))
     counted = cut_lineage(counted.join(targets.select("key", "source_size", "target"), "key"), "copies")
     counted = counted.select(F.col("key").alias(key), "size", F.col("slot").alias(slot), "n", "rate", F.col("copies").alias("class_copies"), "source_size", "target")
-    rank = F.row_number().over(Window.partitionBy(key, "size", slot).orderBy(F.xxhash64(id_col, F.lit(1)), id_col))
+    rank = F.row_number().over(Window.partitionBy(key, "size", slot).orderBy(F.xxhash64(place, F.lit(1)), place))
     joined = marked.join(counted.hint("merge"), [key, "size", slot])
     floor = F.floor("rate")
     copies = floor + F.when(rank <= F.col("class_copies") - floor * F.col("n"), 1).otherwise(0)

@@ -24,11 +24,13 @@ null id is allowed; an empty table gives an empty table; extra columns stay.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import free_name, words
+from statlake.llm.common import free_name, let, words
 from statlake.session import cut_lineage
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -64,20 +66,29 @@ def _sums(values: Column, chunk: int = 256) -> Column:
     def scan(x):
         return F.aggregate(x, F.array(F.lit(0)), lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)))
 
-    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / chunk).cast("int")),
-                        lambda c: F.slice(values, c * chunk + 1, F.lit(chunk)))
-    bases = scan(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, v: a + v)))
-    sums = F.transform(parts, lambda p, i: F.transform(F.slice(scan(p), F.lit(1), F.size(p)), lambda v: v + F.get(bases, i)))
-    return F.when(F.size(values) > 0, F.flatten(sums)).otherwise(F.array().cast("array<int>"))
+    def of_parts(parts):
+        bases = scan(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, v: a + v)))
+        return let(bases, lambda b: F.flatten(F.transform(parts, lambda p, i: let(F.get(b, i), lambda base: F.transform(
+            F.slice(scan(p), F.lit(1), F.size(p)), lambda v: v + base)))))
+
+    def of_values(x):
+        cuts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / chunk).cast("int"))
+        parts = F.transform(cuts, lambda c: F.slice(x, c * chunk + 1, F.lit(chunk)))
+        return F.when(F.size(x) > 0, let(parts, of_parts)).otherwise(F.array().cast("array<int>"))
+
+    return let(values, of_values)
 
 
 def _located(text: Column, pattern: str) -> Column:
     """Matches with their places: array of (start, value), starts in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
-    return F.zip_with(_sums(steps), F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("value"))),
-                      lambda s, x: F.struct((s + x["gap"]).alias("start"), x["value"].alias("value")))
+    def placed(found):
+        def after(gaps):
+            steps = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
+            return F.zip_with(_sums(steps), F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("value"))),
+                              lambda s, x: F.struct((s + x["gap"]).alias("start"), x["value"].alias("value")))
+        return let(F.split(text, pattern, -1), after)
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _luhn(value: Column) -> Column:
@@ -103,15 +114,20 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _may_have(text: Column, hint: str) -> Column:
+    return F.contains(text, F.lit(hint)) if hint == "@" else F.rlike(text, F.lit(hint))
+
+
 def base_spans(text: Column) -> Column:
     """All valid matches of the four kinds, by start and kind."""
+    def found(order, kind, pattern):
+        def span(m):
+            return F.struct(m["start"].alias("start"), F.lit(order).alias("ord"), (m["start"] + F.length(m["value"])).alias("stop"), F.lit(kind).alias("kind"))
+        return F.transform(F.filter(_located(text, pattern), lambda m: _valid(kind, m["value"])), span)
+
     none = F.array().cast(_SPAN)
-    each = []
-    for order, (kind, (pattern, hint)) in enumerate(KINDS.items()):
-        spans = F.transform(F.filter(_located(text, pattern), lambda m, kind=kind: _valid(kind, m["value"])),
-                            lambda m, order=order, kind=kind: F.struct(m["start"].alias("start"), F.lit(order).alias("ord"),
-                                                                       (m["start"] + F.length(m["value"])).alias("stop"), F.lit(kind).alias("kind")))
-        each.append(F.when(F.contains(text, F.lit(hint)) if hint == "@" else F.rlike(text, F.lit(hint)), spans).otherwise(none).cast(_SPAN))
+    each = [F.when(_may_have(text, hint), found(order, kind, pattern)).otherwise(none).cast(_SPAN)
+            for order, (kind, (pattern, hint)) in enumerate(KINDS.items())]
     return F.sort_array(F.concat(*each))
 
 
@@ -135,17 +151,14 @@ def disclosing_terms(texts: DataFrame, limits: Disclosure = Disclosure(), text_c
 
     ``texts`` needs one text column."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    any_hint = None
-    for _, hint in KINDS.values():
-        has = F.contains(text, F.lit(hint)) if hint == "@" else F.rlike(text, F.lit(hint))
-        any_hint = has if any_hint is None else any_hint | has
+    any_hint = reduce(or_, [_may_have(text, hint) for _, hint in KINDS.values()])
     lines = texts.filter(any_hint).select(F.explode(F.split(text, "\n")).alias("line"))
-    blank = F.col("line")
-    found = []
-    for kind, (pattern, _) in KINDS.items():
-        values = F.filter(F.regexp_extract_all(F.col("line"), F.lit(pattern), F.lit(0)), lambda v, kind=kind: _valid(kind, v))
-        found.append(F.transform(values, lambda v, kind=kind: F.xxhash64(F.lit(kind), F.lower(v))))
-        blank = F.regexp_replace(blank, pattern, " ")
+    def entities(kind, pattern):
+        values = F.filter(F.regexp_extract_all(F.col("line"), F.lit(pattern), F.lit(0)), lambda v: _valid(kind, v))
+        return F.transform(values, lambda v: F.xxhash64(F.lit(kind), F.lower(v)))
+
+    found = [entities(kind, pattern) for kind, (pattern, _) in KINDS.items()]
+    blank = reduce(lambda line, pattern: F.regexp_replace(line, pattern, " "), [p for p, _ in KINDS.values()], F.col("line"))
     marked = (lines.select("line", F.array_distinct(F.concat(*found)).alias("entities")).filter(F.size("entities") > 0)
               .select(F.xxhash64("line").alias("copy"), F.explode("entities").alias("entity"), _terms(blank).alias("terms")))
     marked = cut_lineage(marked, "entity-lines")
@@ -188,13 +201,13 @@ def find_spans(df: DataFrame, limits: Disclosure = Disclosure(), text_col: str =
     def of_term(m):
         core = F.btrim(m["value"], F.lit(EDGES))
         at = m["start"] + F.length(m["value"]) - F.length(F.ltrim(m["value"], F.lit(EDGES)))
-        known = F.element_at(F.filter(F.col(mine), lambda t: t["term"] == F.lower(core)), 1)
+        known = F.get(F.filter(F.col(mine), lambda t: t["term"] == F.lower(core)), F.lit(0))
         kind = F.when(known["disclosure"] >= limits.remove_at, F.lit(TERM)).otherwise(F.lit(TERM + "_general"))
         return F.struct(at.alias("start"), F.lit(len(KINDS)).alias("ord"), (at + F.length(core)).alias("stop"),
                         F.when(known.isNotNull(), kind).alias("kind"))
 
     found = F.filter(F.transform(_located(text, WORD), of_term), lambda s: s["kind"].isNotNull())
-    free = F.filter(found, lambda s: ~F.exists(F.col(base_col), lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    free = let(F.col(base_col), lambda taken: F.filter(found, lambda s: ~F.exists(taken, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))))
     extra = F.when(F.col(mine).isNotNull(), free).otherwise(F.array().cast(_SPAN)).cast(_SPAN)
     return base.withColumn(out_col, F.sort_array(F.concat(F.col(base_col), extra))).drop(mine)
 
@@ -221,7 +234,7 @@ def sanitised(text: Column, spans: Column) -> Column:
         last = F.element_at(regions, -1)["stop"]
         return F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))
 
-    return F.when(F.size(spans) > 0, F.element_at(F.transform(F.array(merged), rebuilt), 1)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(merged, rebuilt)).otherwise(text)
 
 
 def sanitise(df: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:

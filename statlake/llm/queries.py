@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import bpe_heap, bpe_tree, langid, mixing, pii, simhash_trie
+from statlake.llm import bpe_heap, bpe_tree, cws, html_paths, langid, mixing, pii, quality_sketch, simhash_trie, substr
 from statlake.llm.common import hex_digest, table
 
 
@@ -49,12 +49,31 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_paths.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substr.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixed.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                         (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_sketch.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def bpe_digests(found: DataFrame, *more: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hex_digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
                         hex_digest(F.col("decoded")).alias("decoded_sha256"), *more)
@@ -65,6 +84,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(bpe_tree.bpe_encode(docs, vocab_path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_langid, op4_token_count, op8_mixing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_langid, op4_token_count, op5_html, op6_substring, op7_fingerprint, op8_mixing, op9_quality, op10_bpe)}
 
 ORACLE: dict[str, str] = {}
