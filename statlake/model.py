@@ -30,6 +30,7 @@ OBSERVATION_SCHEMA = T.StructType(
         *[T.StructField(a, T.StringType()) for a in AXES],
         T.StructField("unit", T.StringType()),
         T.StructField("value", T.StringType()),
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -45,6 +46,7 @@ CLASSES_SCHEMA = T.StructType(
         T.StructField("level", T.StringType()),
         T.StructField("unit", T.StringType()),
         T.StructField("parent", T.StringType()),
+        T.StructField("extra", T.StringType()),
     ]
 )
 

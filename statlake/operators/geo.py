@@ -362,7 +362,8 @@ def _rollup_codes(mode: str, code_col: str = "area_code") -> Column:
     """The codes a row counts towards: its own and/or its parent city's."""
     own, parent = F.col(code_col), F.col("parent_code")
     if mode == "both":
-        return F.array_compact(F.array(own, parent))
+        # the row's own code always counts, a null one too; the parent where there is one
+        return F.when(parent.isNull(), F.array(own)).otherwise(F.array(own, parent))
     if mode == "city":
         return F.array(F.coalesce(parent, own))
     return F.array(own)

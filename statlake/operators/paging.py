@@ -1,9 +1,10 @@
 """Paging: row limits, start positions, page planning and resume.
 
-Row order in a landed cube is ``(page_offset, pos)``; ``page_offset + pos``
-is the absolute 1-based row number, so a start position is a plain filter
-and a limit is a distributed top-k (``TakeOrderedAndProject``).  No global
-window (single partition) is ever used.
+Row order in a landed cube is ``(page_offset, pos)``.  Start position and limit
+count the rows that are left after all filters, within each pull (table,
+language, filter fingerprint).  Rows are counted per range of the order first and
+numbered inside ranges, so no global window and no offset over everything is
+planned; a small limit is cut in every task before the shuffle.
 """
 
 from __future__ import annotations
@@ -11,8 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statlake.session import cut_lineage
+
 PAGE_KEYS = ["stats_data_id", "lang", "query_fingerprint"]
 MAX_RECORDS_PER_PAGE = 100_000  # the service's per-response cap
+#: Larger top-k selections are numbered by ranges instead of merged in one task.
+MAX_TOP_ROWS = 100_000
 
 
 def row_number_col(page_offset: str = "page_offset", pos: str = "pos") -> Column:
@@ -20,28 +25,50 @@ def row_number_col(page_offset: str = "page_offset", pos: str = "pos") -> Column
 
 
 def take_rows(df: DataFrame, limit: int | None = None, start_position: int = 1,
-              order_by: list[str] | None = None, row_index: Column | None = None) -> DataFrame:
-    """First ``limit`` rows in source order, starting at 1-based
-    ``start_position``.
+              order_by: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Rows ``start_position`` (1-based) to ``start_position + limit - 1`` in
+    source order of each pull.
 
-    With a row index (landed pages: ``page_offset + pos``) the start is a
-    filter; otherwise the start is an ``offset`` on the ordered rows.
-    """
+    ``keys`` name a pull (default: those of ``PAGE_KEYS`` that are columns; an
+    empty list numbers all rows together)."""
     if start_position < 1:
         raise ValueError("start_position is 1-based; use 1 for the first row")
     if limit is not None and limit < 0:
         raise ValueError("limit must be a non-negative whole number")
     order = order_by or ["page_offset", "pos"]
-    if row_index is None and order == ["page_offset", "pos"] and "page_offset" in df.columns:
-        row_index = row_number_col()
-    if row_index is not None:
-        if start_position > 1:
-            df = df.where(row_index >= F.lit(start_position))
-        return df.orderBy(*order).limit(limit) if limit is not None else df
-    out = df.orderBy(*order)
-    if start_position > 1:
-        out = out.offset(start_position - 1)
-    return out.limit(limit) if limit is not None else out
+    keys = [k for k in PAGE_KEYS if k in df.columns] if keys is None else keys
+    if limit is None and start_position == 1:
+        return df
+    if limit is not None and start_position + limit <= MAX_TOP_ROWS:
+        last = start_position + limit - 1
+        if keys:  # each task keeps the first rows of a pull before the shuffle
+            number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+            return df.withColumn("__row", number).where((F.col("__row") <= last) & (F.col("__row") >= start_position)).drop("__row")
+        top = df.orderBy(*order).limit(last)  # distributed top-k
+        return top.offset(start_position - 1) if start_position > 1 else top
+    return _numbered(df, order, keys, start_position, limit)
+
+
+def _numbered(df: DataFrame, order: list[str], keys: list[str], start: int, limit: int | None) -> DataFrame:
+    """Rows by number: rows go to ranges of (keys, order); a range's first
+    numbers follow from the counts of the ranges before it (one row a range
+    and pull), the rest is a row number inside the range."""
+    spread = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)]).withColumn("__range", F.spark_partition_id())
+    spread = cut_lineage(spread, "ranges")  # the ranges must not change between the two uses
+    counts = spread.groupBy("__range", *keys).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    last = F.lit(None) if limit is None else F.lit(start + limit - 1)
+    wanted = counts.where(F.col("__before") + F.col("__n") >= start)
+    if limit is not None:
+        wanted = wanted.where(F.col("__before") < last)
+    renamed = wanted.select(F.col("__range").alias("__r"), F.col("__before"), *[F.col(k).alias(f"__{k}") for k in keys])
+    match = [F.col("__range") == F.col("__r"), *[F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]]
+    number = F.row_number().over(Window.partitionBy("__range", *keys).orderBy(*order))
+    rows = spread.join(renamed, match).withColumn("__row", F.col("__before") + number).where(F.col("__row") >= start)
+    if limit is not None:
+        rows = rows.where(F.col("__row") <= last)
+    return rows.select(*df.columns)
 
 
 def page_plan(first_pages: DataFrame, page_size: int = MAX_RECORDS_PER_PAGE,
@@ -88,8 +115,13 @@ def incomplete_tables(first_pages: DataFrame) -> DataFrame:
 
 def missing_pages(plan: DataFrame, manifest: DataFrame, keys: list[str] | None = None,
                   offset_col: str = "offset") -> DataFrame:
-    """Resume: planned pages not yet landed (left anti join on the page key)."""
+    """Resume: planned pages not yet landed (left anti join on the page key).
+    A page whose status says that it failed does not count as landed."""
     keys = keys or [k for k in PAGE_KEYS if k in plan.columns and k in manifest.columns]
+    if "ok" in manifest.columns:
+        manifest = manifest.where(F.col("ok"))
+    elif "status_raw" in manifest.columns:
+        manifest = manifest.where(F.col("status_raw").try_cast("int") == 0)
     landed = manifest.select(*keys, F.col(offset_col).alias("offset")).distinct()
     return plan.join(landed, on=[*keys, "offset"], how="left_anti")
 

@@ -8,11 +8,14 @@ columns push down to the parquet scan.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.operators.quality import validate_search_args
+from statlake.operators.paging import take_rows
+from statlake.operators.quality import InvalidArgument, validate_search_args
 
 # Friendly search column -> raw catalogue column, in the
 # order the friendly columns are placed at the front of a search result.
@@ -31,34 +34,22 @@ SEARCH_COLUMNS = {
 TEXT_COLUMNS = ["STAT_NAME", "STATISTICS_NAME", "TITLE", "GOV_ORG"]
 
 
-def parse_keyword(keyword: str) -> tuple[str, list[str]]:
-    """``"a AND b"`` / ``"a OR b"`` / ``"a b"`` (AND) -> (op, terms)."""
-    if re.search(r"\sOR\s", keyword):
-        return "or", [t.strip() for t in re.split(r"\sOR\s", keyword) if t.strip()]
-    parts = re.split(r"\sAND\s", keyword)
-    terms = [t for p in parts for t in p.split() if t]
-    return "and", terms
+def parse_keyword(keyword: str) -> list[list[str]]:
+    """``"a AND b OR c d"`` -> [[a, b], [c, d]]: alternatives, each a list of
+    terms that must all occur; AND binds tighter, a space means AND."""
+    parts = (re.split(r"\s+AND\s+|\s+", p.strip()) for p in re.split(r"\sOR\s", keyword))
+    return [terms for p in parts if (terms := [t for t in p if t])]
 
 
 def keyword_predicate(df: DataFrame, keyword: str, text_cols: list[str] | None = None) -> Column:
-    """Case-insensitive substring match of every (AND) / any (OR) term in
-    any of the text columns."""
+    """Case-insensitive substring match: some alternative of the keyword has
+    all its terms in the text columns."""
     cols = [c for c in (text_cols or TEXT_COLUMNS) if c in df.columns]
-    op, terms = parse_keyword(keyword)
-    preds = []
-    for term in terms:
-        t = F.lit(term.lower())
-        hit = None
-        for c in cols:
-            m = F.coalesce(F.lower(F.col(c)).contains(t), F.lit(False))
-            hit = m if hit is None else hit | m
-        preds.append(hit if hit is not None else F.lit(False))
-    if not preds:
-        return F.lit(True)
-    out = preds[0]
-    for p in preds[1:]:
-        out = (out | p) if op == "or" else (out & p)
-    return out
+    def hit(term):
+        return reduce(or_, [F.coalesce(F.lower(F.col(c)).contains(F.lit(term.lower())), F.lit(False)) for c in cols], F.lit(False))
+
+    ways = [reduce(and_, map(hit, terms)) for terms in parse_keyword(keyword)]
+    return reduce(or_, ways) if ways else F.lit(True)
 
 
 def collapse_date_range(date_from: str | None, date_to: str | None) -> str | None:
@@ -79,7 +70,7 @@ def _digits(c: Column) -> Column:
 def period_predicate(col: Column, spec: str, width: int) -> Column:
     """``spec`` is a single period (prefix match) or ``lo-hi`` (inclusive,
     zero-padded low bound, nine-padded high bound) over digit strings."""
-    value = _digits(col)
+    value = F.rpad(_digits(col), width, "0")
     if "-" in spec:
         lo, hi = spec.split("-", 1)
         lo_p = lo.ljust(width, "0")
@@ -89,6 +80,13 @@ def period_predicate(col: Column, spec: str, width: int) -> Column:
     return value.startswith(F.lit(spec))
 
 
+def _need(df: DataFrame, column: str, argument: str) -> Column:
+    """The column a filter works on; a filter is never skipped in silence."""
+    if column not in df.columns:
+        raise InvalidArgument(f"{argument} needs the catalogue column {column}")
+    return F.col(column)
+
+
 def search_catalog(catalog: DataFrame, keyword: str | None = None, stats_code: str | None = None,
                    gov_org: str | None = None, survey_years: str | None = None,
                    stats_field: str | None = None, search_kind: str | None = None,
@@ -114,21 +112,18 @@ def search_catalog(catalog: DataFrame, keyword: str | None = None, stats_code: s
     if stats_field is not None:
         sf = str(stats_field)
         col = "MAIN_CATEGORY_code" if len(sf) == 2 else "SUB_CATEGORY_code"
-        if col in df.columns:
-            df = df.where(F.col(col) == F.lit(sf))
-    if search_kind is not None and "SEARCH_KIND" in df.columns:
+        df = df.where(_need(df, col, "stats_field") == F.lit(sf))
+    if search_kind is not None:
+        _need(df, "SEARCH_KIND", "search_kind")
         df = df.where(F.col("SEARCH_KIND") == F.lit(str(search_kind)))
     updated = collapse_date_range(updated_from, updated_to)
     if updated is not None:
         df = df.where(period_predicate(F.col("UPDATED_DATE"), updated, 8))
-    if open_years is not None and "OPEN_DATE" in df.columns:
+    if open_years is not None:
+        _need(df, "OPEN_DATE", "open_years")
         df = df.where(period_predicate(F.col("OPEN_DATE"), str(open_years), 8))
     if start_position is not None or limit is not None:
-        df = df.orderBy(*(order_by or ["id"]))
-        if start_position is not None and start_position > 1:
-            df = df.offset(int(start_position) - 1)
-        if limit is not None:
-            df = df.limit(int(limit))
+        df = take_rows(df, limit, start_position or 1, order_by=order_by or ["id"], keys=[])
     return df
 
 

@@ -10,13 +10,17 @@ factor) into the shared checkpoint folder and returns readers for it.
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlake.model import CLASSES_SCHEMA, NOTES_SCHEMA
 from statlake.plans import testdata as td
-from statlake.session import checkpoint_dir, scratch_path
+from statlake.session import checkpoint_dir, cut_lineage, scratch_path
+
+PAGE_KEY = ["stats_data_id", "lang", "query_fingerprint", "page_offset"]
 
 _LOCK = threading.RLock()
 _LANDED: dict[tuple[str, str], str] = {}
@@ -86,36 +90,59 @@ def landed_cube(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def land_responses(bodies: DataFrame, base: str, mode: str = "append", classes: str = "first") -> None:
-    """Sink for landed data pages: observations, code lists, notes and a
-    page manifest as parquet under ``base``, partitioned by table id.
-    Each write goes through Spark's file commit protocol, so a failed job
-    leaves no half-written output.
-
-    ``classes="first"`` keeps the code lists of each table's first page (the
-    service repeats the full lists on every page); ``"union"`` takes the
-    distinct union over all pages, for pages that carry only the codes they
-    use."""
-    from statlake.sources.responses import class_rows, note_rows, page_info, value_rows
-
-    if classes not in ("first", "union"):
-        raise ValueError('classes must be "first" or "union"')
-    value_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/observations")
-    cl = class_rows(bodies, first_page_only=classes == "first")
-    if classes == "union":
-        cl = cl.distinct()
-    cl.write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/classes")
-    note_rows(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/notes")
-    page_info(bodies).write.mode(mode).partitionBy("stats_data_id").parquet(f"{base}/manifest")
+def land_responses(bodies: DataFrame, base: str) -> None:
+    """Sink for landed data pages: observations, code lists, notes, failed pages
+    and a page manifest as parquet under ``base``.
+
+    Bodies are read once into a staging table; a page that the manifest has
+    already (same table, language, fingerprint, offset, ok) is left out, so a
+    rerun adds nothing, and the manifest is written last, so after a crash the
+    same call completes the lake (``read_lake`` shows only what the manifest
+    names).  Rows are clustered by table before the partitioned write."""
+    from statlake.sources.responses import class_rows, failed_pages, note_rows, page_info, value_rows
+    from statlake.streaming.ingest import _table_exists
+
+    spark = bodies.sparkSession
+    load = uuid.uuid4().hex
+    staged = cut_lineage(bodies, "staged-pages")
+    info = page_info(staged, keep=["body"]).withColumn("ok", F.col("status_raw").try_cast("int") == 0)
+    if _table_exists(spark, f"{base}/manifest"):
+        seen = spark.read.parquet(f"{base}/manifest").select(*[F.col(k).alias(f"seen_{k}") for k in PAGE_KEY])
+        info = info.join(seen, [F.col(k).eqNullSafe(F.col(f"seen_{k}")) for k in PAGE_KEY], "left_anti")
+    info = cut_lineage(info, "new-pages")
+    # identity is settled: the readers take it from the columns
+    new = info.where("ok").select("body", "stats_data_id", "lang", "query_fingerprint")
+
+    def write(df, name):
+        df = df.withColumn("load", F.lit(load))
+        (df.repartition("stats_data_id").write.mode("append").partitionBy("stats_data_id", "load").parquet(f"{base}/{name}"))
+
+    write_by_page = value_rows(new).withColumn("load", F.lit(load))
+    (write_by_page.repartition("stats_data_id", "page_offset").write.mode("append")
+     .partitionBy("stats_data_id", "load").parquet(f"{base}/observations"))
+    write(class_rows(new), "classes")
+    write(note_rows(new), "notes")
+    failed_pages(staged).write.mode("append").parquet(f"{base}/failed")
+    info.where("ok").drop("body").withColumn("load", F.lit(load)).write.mode("append").parquet(f"{base}/manifest")
 
 
 def read_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Readers for a lake written by ``land_responses``."""
+    """Readers for a lake written by ``land_responses``: only loads whose
+    manifest was written count; code lists and notes are the distinct union of
+    the loads."""
     from statlake.model import OBSERVATION_SCHEMA
 
+    manifest = spark.read.parquet(f"{base}/manifest")
+    loads = [r[0] for r in manifest.select("load").distinct().collect()]  # one a landing run; prunes folders
+
+    def table(name, schema):
+        wide = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
+        return spark.read.schema(wide).parquet(f"{base}/{name}").where(F.col("load").isin(loads)).drop("load")
+
     return {
-        "observations": spark.read.schema(OBSERVATION_SCHEMA).parquet(f"{base}/observations"),
-        "classes": spark.read.schema(CLASSES_SCHEMA).parquet(f"{base}/classes"),
-        "notes": spark.read.schema(NOTES_SCHEMA).parquet(f"{base}/notes"),
-        "manifest": spark.read.option("basePath", f"{base}/manifest").parquet(f"{base}/manifest"),
+        "observations": table("observations", OBSERVATION_SCHEMA),
+        "classes": table("classes", CLASSES_SCHEMA).distinct(),
+        "notes": table("notes", NOTES_SCHEMA).distinct(),
+        "failed": spark.read.parquet(f"{base}/failed"),
+        "manifest": manifest.drop("load"),
     }

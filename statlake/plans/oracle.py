@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from statlake.operators.search import TEXT_COLUMNS
 from statlake.plans import testdata as td
+from statlake.plans.manytables import ORACLE as MANY_TABLE_ORACLE
 from statlake.plans.reference import PREFECTURES
 
 TIDY = f"({td.tidy_cube_sql()})"
@@ -94,7 +95,7 @@ FROM (SELECT * FROM {_MUNI_KEYED} WHERE KEY_CODE NOT IN (SELECT KEY_CODE FROM {_
 GROUP BY area_code"""
 
 _EV_LANG = """(SELECT event_id, CAST(user_id AS VARCHAR) AS stats_data_id,
-  CASE WHEN event_type = 'purchase' THEN 'E' WHEN event_type = 'view' THEN 'J' END AS lang FROM events)"""
+  CASE WHEN event_type = 'purchase' THEN 'E' ELSE 'J' END AS lang FROM events)"""
 
 _CLASS_PAGES = f"""SELECT DISTINCT * FROM (
   SELECT '{td.EVENTS_ID}' AS stats_data_id, 'J' AS lang, 'cat01' AS axis, 'イベント種別' AS axis_name,
@@ -138,16 +139,19 @@ FROM {TIDY} GROUP BY area_code, time_code, cat02_code""",
     "pivot_duplicates_count": f"""SELECT area, area_code, time, time_code, cat02, cat02_code, stats_data_id, unit,
   {', '.join(f'count(*) FILTER (WHERE cat01 = {td._lit(v)}) AS "{v}"' for v in _L)}
 FROM {TIDY} GROUP BY area, area_code, time, time_code, cat02, cat02_code, stats_data_id, unit""",
-    "annotation_counts": f"""SELECT t.annotation, count(*) AS n, n.note FROM {TIDY} t
+    "annotation_counts": f"""SELECT t.stats_data_id, t.annotation, count(*) AS n, n.note FROM {TIDY} t
   LEFT JOIN {td.CUBE_NOTES_SQL} n ON n.char = t.annotation
-  WHERE t.annotation IS NOT NULL GROUP BY t.annotation, n.note""",
+  WHERE t.annotation IS NOT NULL GROUP BY t.stats_data_id, t.annotation, n.note""",
     "prefecture_join": f"""SELECT t.area_code, p.code, p.name_en, p.name_ja, p.region_en,
   count(*) AS n, sum(t.value) AS total
 FROM {TIDY} t LEFT JOIN {PREFS_SQL} p ON p.code || '000' = t.area_code
 GROUP BY t.area_code, p.code, p.name_en, p.name_ja, p.region_en""",
     "value_pages": td.event_values_sql(),
     "class_pages": _CLASS_PAGES,
-    "note_pages": f"SELECT '{td.EVENTS_ID}' AS stats_data_id, 'J' AS lang, '***' AS char, '秘匿' AS note",
+    "note_pages": f"""SELECT DISTINCT '{td.EVENTS_ID}' AS stats_data_id, 'J' AS lang, char, note FROM (
+  SELECT '***' AS char, '秘匿' AS note FROM events
+  UNION ALL
+  SELECT min(lpad(CAST(user_id AS VARCHAR), 5, '0')), 'first area of a page' FROM events GROUP BY floor(event_id / {td.PAGE_SIZE}))""",
     "page_counters": _PAGE_COUNTERS,
     "pages_tidy": f"""SELECT 'user ' || area AS area, area AS area_code, substr(time, 1, 8) AS time, time AS time_code,
   upper(substr(cat01, 1, 1)) || substr(cat01, 2) AS cat01, cat01 AS cat01_code, tab, stats_data_id, unit, value, annotation
@@ -212,3 +216,9 @@ SELECT 'customers', CASE WHEN coalesce(bool_and(ends_with(area_code, '000')), fa
   THEN 'prefecture' ELSE 'municipality' END FROM {CUST}""",
     "axis_hierarchy": _HIER,
 }
+ORACLE |= MANY_TABLE_ORACLE
+ORACLE["fallback_blocked"] = f"""SELECT CAST(e.user_id AS VARCHAR) AS stats_data_id, c.lang_used AS lang, e.event_type AS cat01, e.event_id
+FROM events e JOIN ({ORACLE['language_choice']}) c ON c.stats_data_id = CAST(e.user_id AS VARCHAR)
+WHERE c.lang_used = CASE WHEN e.event_type IN ('view', 'click', 'error') THEN 'E' ELSE 'J' END"""
+ORACLE["ingest_errors"] = f"""SELECT reason, count(DISTINCT CASE WHEN is_json THEN event_id ELSE -1 END) AS n
+FROM (SELECT *, CASE WHEN status = 0 THEN 'no_page_key' ELSE error_class END AS reason FROM ({td.STATUS_SQL})) GROUP BY reason"""

@@ -28,6 +28,7 @@ from statlake.operators.quality import (
 from statlake.operators.search import reorder_search_columns, search_catalog, search_tables
 from statlake.plans import testdata as td
 from statlake.plans.lake import landed_cube, landed_derived
+from statlake.plans.manytables import QUERIES as MANY_TABLE_QUERIES
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
 from statlake.sources.flatten import flatten_json, flatten_wide
@@ -137,7 +138,7 @@ def value_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_pages(spark: SparkSession, sf: str) -> DataFrame:
-    cl = class_rows(_event_pages(spark, sf), first_page_only=False)
+    cl = class_rows(_event_pages(spark, sf))
     return cl.select("stats_data_id", "lang", "axis", "axis_name", "axis_pos", "code", "name",
                      "level", "unit", "parent").distinct()
 
@@ -161,7 +162,7 @@ def pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
     from statlake.session import scratch_path
 
     base = scratch_path(spark, "pages-lake")
-    land_responses(_event_pages(spark, sf), base, classes="union")
+    land_responses(_event_pages(spark, sf), base)
     lake = read_lake(spark, base)
     return tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id=td.EVENTS_ID,
                 lang="J", axes=["tab", "cat01", "area", "time"]).data
@@ -261,14 +262,12 @@ def contract_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def _event_lang(spark, sf):
     ev = td.table(spark, sf, "events")
-    lang = (F.when(F.col("event_type") == "purchase", F.lit("E"))
-            .when(F.col("event_type") == "view", F.lit("J")))
+    lang = F.when(F.col("event_type") == "purchase", F.lit("E")).otherwise(F.lit("J"))
     return ev.select("event_id", F.col("user_id").cast("string").alias("stats_data_id"), lang.alias("lang"))
 
 
 def prefer_language_query(spark: SparkSession, sf: str) -> DataFrame:
-    df = _event_lang(spark, sf).where(F.col("lang").isNotNull())
-    return prefer_language(df, keys=["stats_data_id"]).select("event_id", "stats_data_id", "lang_used")
+    return prefer_language(_event_lang(spark, sf), keys=["stats_data_id"]).select("event_id", "stats_data_id", "lang_used")
 
 
 def language_choice_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,6 +368,34 @@ def axis_hierarchy_query(spark: SparkSession, sf: str) -> DataFrame:
     return axis_hierarchy(td.customer_hierarchy_classes(spark, sf)).select("code", "ancestor", "depth")
 
 
+def language_fallback_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every table in the language its page statuses allow: an error of
+    the service in the first language is not hidden by the other."""
+    ev = td.table(spark, sf, "events")
+    lang = F.when(F.col("event_type").isin("view", "click", "error"), F.lit("E")).otherwise(F.lit("J"))
+    obs = ev.select(F.col("user_id").cast("string").alias("stats_data_id"), lang.alias("lang"),
+                    F.col("user_id").cast("string").alias("query_fingerprint"), F.col("event_id").alias("page_offset"),
+                    F.lit(0).alias("pos"), F.col("event_type").alias("cat01"), F.lit(td.UNIT).alias("unit"),
+                    F.col("event_id").cast("string").alias("value"))
+    st = response_status(td.status_bodies(spark, sf)).join(ev.select("event_id", "user_id", "event_type"), "event_id")
+    pages = st.select(F.col("user_id").cast("string").alias("stats_data_id"), lang.alias("lang"), "ok", "error_class")
+    r = tidy(obs, lang="E", fallback_lang="J", pages=pages, decode_labels=False, axes=["cat01"], keep_lineage=True)
+    return r.data.select("stats_data_id", "lang", "cat01", F.col("page_offset").alias("event_id"))
+
+
+def ingest_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream pages of every status into the lake: what is left out is reported
+    in the quarantine table, once for each different body."""
+    from statlake.session import scratch_path
+    from statlake.streaming.ingest import ingest_batch, read_quarantine
+
+    base = scratch_path(spark, "ingest-errors")
+    bodies = td.status_bodies(spark, sf).select("body")
+    for _ in range(2):  # a replayed batch adds nothing
+        ingest_batch(bodies, f"{base}/target", f"{base}/quarantine")
+    return read_quarantine(spark, f"{base}/quarantine").groupBy("reason").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tidy_decode": tidy_decode,
     "cube_pages_tidy": cube_pages_tidy,
@@ -414,4 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prefecture_prefixes": prefecture_prefixes,
     "area_levels": area_levels,
     "axis_hierarchy": axis_hierarchy_query,
+    "fallback_blocked": language_fallback_rows,
+    "ingest_errors": ingest_errors,
+    **MANY_TABLE_QUERIES,
 }

@@ -265,7 +265,7 @@ pg AS (
          transform(array_sort(collect_list(named_struct('k', event_id, 'r', rec))), x -> x.r) AS recs,
          array_sort(collect_set(event_type)) AS types,
          array_sort(collect_set(area)) AS areas,
-         array_sort(collect_set(time)) AS times
+         array_sort(collect_set(time)) AS times, min(area) AS least_area
   FROM ev GROUP BY page_no
 )
 SELECT page_no,
@@ -281,14 +281,14 @@ SELECT page_no,
   CASE WHEN size(types) = 1 THEN types_json[0] ELSE '[' || array_join(types_json, ',') || ']' END || '},' ||
   '{"@id":"area","@name":"地域","CLASS":[' || array_join(areas_json, ',') || ']},' ||
   '{"@id":"time","@name":"時間軸","CLASS":[' || array_join(times_json, ',') || ']}]},' ||
-  '"DATA_INF":{"NOTE":{"@char":"***","$":"秘匿"},"VALUE":' ||
+  '"DATA_INF":{"NOTE":[{"@char":"***","$":"秘匿"},{"@char":"' || least_area || '","$":"first area of a page"}],"VALUE":' ||
   CASE WHEN size(recs) = 1 THEN recs[0] ELSE '[' || array_join(recs, ',') || ']' END ||
   '}}}}' AS body
 FROM (
   SELECT page_no, recs,
     transform(types, x -> to_json(named_struct('@code', x, '@name', upper(substr(x, 1, 1)) || substr(x, 2), '@level', '1'))) AS types_json,
     transform(areas, x -> to_json(named_struct('@code', x, '@name', 'user ' || x, '@level', '1'))) AS areas_json,
-    transform(times, x -> to_json(named_struct('@code', x, '@name', substr(x, 1, 8), '@level', '1'))) AS times_json,
+    least_area, transform(times, x -> to_json(named_struct('@code', x, '@name', substr(x, 1, 8), '@level', '1'))) AS times_json,
     types
   FROM pg
 ) p

@@ -24,12 +24,14 @@ from statlake.operators.paging import take_rows
 from statlake.operators.quality import (
     InvalidArgument,
     check_count,
+    language_choice,
     normalise_lang,
     prefer_language,
 )
 from statlake.plans.reference import lookup_curated_id
 
-LINEAGE = ["lang", "query_fingerprint", "page_offset", "pos"]
+#: Columns that tell where a row comes from; ``extra`` holds further keys of its record.
+LINEAGE = ["lang", "query_fingerprint", "page_offset", "pos", "extra"]
 
 
 def _restrict(df: DataFrame, stats_data_id, lang) -> DataFrame:
@@ -42,16 +44,21 @@ def _restrict(df: DataFrame, stats_data_id, lang) -> DataFrame:
 
 
 def _prepare(obs, stats_data_id, lang, fallback_lang, codes, time_from, time_to,
-             limit, start_position, order_by) -> DataFrame:
+             limit, start_position, order_by, pages=None) -> DataFrame:
     check_count(limit, "limit")
     check_count(start_position, "start_position")
     if int(start_position) == 0:
         raise InvalidArgument("start_position is 1-based; use 1 for the first row")
     if fallback_lang:
+        first, second = normalise_lang(lang or "E"), normalise_lang(fallback_lang)
         o = _restrict(obs, stats_data_id, None)
-        o = o.where(F.col("lang").isin(normalise_lang(lang or "E"), normalise_lang(fallback_lang)))
-        o = prefer_language(o, keys=["stats_data_id"], preferred=normalise_lang(lang or "E"),
-                            fallback=normalise_lang(fallback_lang)).drop("lang_used")
+        o = o.where(F.col("lang").isin(first, second))
+        if pages is None:
+            o = prefer_language(o, keys=["stats_data_id"], preferred=first, fallback=second).drop("lang_used")
+        else:  # page statuses decide: an error of the service is not masked by the other language
+            choice = language_choice(pages, preferred=first, fallback=second).where("lang_used is not null")
+            choice = choice.select("stats_data_id", F.col("lang_used").alias("lang"))
+            o = o.join(choice, ["stats_data_id", "lang"], "left_semi")
     else:
         o = _restrict(obs, stats_data_id, lang)
     o = filter_codes(o, **(codes or {}))
@@ -67,13 +74,18 @@ def tidy(obs: DataFrame, classes: DataFrame | None = None, notes: DataFrame | No
          decode_labels: bool = True, limit: int | None = None, start_position: int = 1,
          order_by: list[str] | None = None, axes: list[str] | None = None,
          keep_lineage: bool = False, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-         geometry: DataFrame | None = None) -> Result:
+         geometry: DataFrame | None = None, pages: DataFrame | None = None) -> Result:
     """Tidy, labelled observations (+ notes legend, + unmatched codes when
-    ``geometry`` boundaries are given)."""
+    ``geometry`` boundaries are given).
+
+    ``limit`` and ``start_position`` count the matches of each pull.  ``pages``
+    (classified page statuses: ``stats_data_id``, ``lang``, ``ok``,
+    ``error_class``) makes a language fallback stop at errors that the other
+    language must not hide."""
     if geometry is not None and not decode_labels:
         raise InvalidArgument("geometry requires decode_labels=True (it joins on area_code)")
     o = _prepare(obs, stats_data_id, lang, fallback_lang, codes, time_from, time_to,
-                 limit, start_position, order_by)
+                 limit, start_position, order_by, pages)
     o = split_value_annotation(o)
     if decode_labels and classes is not None:
         cl = _restrict(classes, stats_data_id, None)
@@ -130,14 +142,19 @@ def economic_census(obs, classes=None, notes=None, **kwargs) -> Result:
 
 
 def annotation_counts(data: DataFrame, notes: DataFrame | None = None) -> DataFrame:
-    """Frequency of each annotation marker, with its legend text."""
+    """Frequency of each annotation marker of each table, with its legend text.
+
+    Counts are kept by those of ``stats_data_id`` and ``lang`` that ``data``
+    has; a legend counts only for its own table and language."""
+    keys = [k for k in ("stats_data_id", "lang") if k in data.columns]
     counts = (
         data.where(F.col("annotation").isNotNull())
-        .groupBy("annotation").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*keys, "annotation").agg(F.count(F.lit(1)).alias("n"))
     )
     if notes is None:
         return counts
-    from statlake.operators.decode import sized_broadcast
-
-    legend = notes.select(F.col("char").alias("annotation"), "note").dropDuplicates(["annotation"])
-    return counts.join(sized_broadcast(legend, 100_000), "annotation", "left")
+    on = [*[k for k in keys if k in notes.columns], "annotation"]
+    legend = notes.withColumn("annotation", F.col("char")).groupBy(*on).agg(F.min("note").alias("note"))
+    renamed = legend.select(*[F.col(k).alias(f"legend_{k}") for k in on], "note")
+    match = [counts[k].eqNullSafe(renamed[f"legend_{k}"]) for k in on]
+    return counts.join(renamed, match, "left").select(*counts.columns, "note")

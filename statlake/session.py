@@ -1,7 +1,8 @@
 """Session helpers.
 
-Nothing here hand-tunes execution: AQE stays on so Spark re-plans joins,
-coalesces shuffle partitions and splits skewed partitions at runtime.
+AQE stays on, so Spark re-plans joins, coalesces shuffle partitions and splits
+skewed partitions at runtime; ``get_spark`` starts local sessions with a small
+number of shuffle partitions, a cluster's own setting is left alone.
 """
 
 from __future__ import annotations
@@ -48,8 +49,9 @@ def _conf_get(spark: SparkSession, key: str) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private one."""
+    """Use the cluster's ``spark.checkpoint.dir``; only a local master without
+    one gets a private folder.  On a cluster each machine would write to its own
+    disk, so an unset folder is an error there."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
@@ -59,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir() or sc.getConf().get(_CKPT_KEY, None)
     current = current or _conf_get(spark, _CKPT_KEY)
     if not current:
+        master = sc.master if sc is not None else _conf_get(spark, "spark.master") or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="statlake-ckpt-")
         if sc is None:
             spark.conf.set(_CKPT_KEY, current)

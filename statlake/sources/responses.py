@@ -25,9 +25,14 @@ from statlake.model import AXES
 
 RECORD = "map<string,string>"
 # VALUE records parse straight into a struct of the known keys (no per-record
-# hash map); keys outside the cube axes are not part of the data model.
+# hash map).  Only pages that name another key are parsed to maps as well, and
+# their further keys are kept in ``extra``.
 VALUE_RECORD = "struct<" + ",".join(f"`@{a}`:string" for a in [*AXES, "unit"]) + ",`$`:string>"
 
+_VALUE_KEYS = [*(f"@{a}" for a in [*AXES, "unit"]), "$"]
+UNKNOWN_VALUE_KEY = r'"(?!(?:' + "|".join(k.replace("$", r"\$") for k in _VALUE_KEYS) + r')")[^"\\]*"\s*:'
+CLASS_KEYS = ["@code", "@name", "@level", "@unit", "@parentCode"]
+
 # Envelope of a data page.  Nested list nodes are kept as JSON text.
 DATA_ENVELOPE = (
     "struct<GET_STATS_DATA:struct<"
@@ -182,8 +187,9 @@ def _data_identity(env: DataFrame) -> dict[str, Column]:
 # Data pages
 # ---------------------------------------------------------------------------
 
-def page_info(bodies: DataFrame, body_col: str = "body") -> DataFrame:
-    """One row per data page: identity, status and the paging counters."""
+def page_info(bodies: DataFrame, body_col: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """One row per data page: identity, status and the paging counters (and
+    the input's columns ``keep``)."""
     env = parse_envelope(bodies, "data_meta", body_col)
     inf = F.col("_env.STATISTICAL_DATA.RESULT_INF")
     return env.select(
@@ -195,6 +201,7 @@ def page_info(bodies: DataFrame, body_col: str = "body") -> DataFrame:
         as_count(inf["FROM_NUMBER"]).alias("from_number"),
         as_count(inf["TO_NUMBER"]).alias("to_number"),
         as_count(inf["NEXT_KEY"]).alias("next_key"),
+        *(keep or []),
     )
 
 
@@ -211,17 +218,23 @@ def value_rows(bodies: DataFrame, body_col: str = "body", ok_only: bool = True)
         env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
     node = F.col("_env.STATISTICAL_DATA.DATA_INF.VALUE")
     ids = _data_identity(env)
+    # below the explode: once a page, not once a record
+    env = env.withColumn("more", F.when(F.rlike(node, F.lit(UNKNOWN_VALUE_KEY)), wrap_records(node)))
     exploded = env.select(
         *[c.alias(n) for n, c in ids.items()],
         as_count(F.col("_env.STATISTICAL_DATA.RESULT_INF.FROM_NUMBER")).alias("page_offset"),
+        "more",
         F.posexplode(wrap_records(node, VALUE_RECORD)).alias("pos", "r"),
     )
     r = F.col("r")
+    extra = F.map_filter(F.get("more", F.col("pos")), lambda k, v: ~k.isin(*_VALUE_KEYS))
+    extra = F.transform_keys(extra, lambda k, v: F.ltrim(k, F.lit("@")))
     return exploded.select(
         "stats_data_id", "lang", "query_fingerprint", "page_offset", "pos",
         *[r[f"@{a}"].alias(a) for a in AXES],
         r["@unit"].alias("unit"),
         r["$"].alias("value"),
+        F.when(F.size(extra) > 0, extra).alias("extra"),
     )
 
 
@@ -235,11 +248,10 @@ def _class_rows(env: DataFrame, class_obj: Column, ids: dict[str, Column]) -> Da
         F.col("o")["@id"].alias("axis"),
         F.col("o")["@name"].alias("axis_name"),
         (F.col("axis_idx") + 1).cast("int").alias("axis_pos"),
-        # An axis with an empty code list keeps one null-code row, so the
-        # axis is still decoded (all labels null) instead of vanishing.
-        F.explode_outer(wrap_records(F.col("o")["CLASS"])).alias("c"),
+        F.explode(wrap_records(F.col("o")["CLASS"])).alias("c"),
     )
     c = F.col("c")
+    more = F.transform_keys(F.map_filter(c, lambda k, v: ~k.isin(*CLASS_KEYS)), lambda k, v: F.ltrim(k, F.lit("@")))
     return codes.select(
         *ids.keys(), "axis", "axis_name", "axis_pos",
         c["@code"].alias("code"),
@@ -247,32 +259,39 @@ def _class_rows(env: DataFrame, class_obj: Column, ids: dict[str, Column]) -> Da
         c["@level"].alias("level"),
         c["@unit"].alias("unit"),
         c["@parentCode"].alias("parent"),
+        F.when(F.size(more) > 0, F.to_json(F.map_from_entries(F.array_sort(F.map_entries(more))))).alias("extra"),
     )
 
 
-def class_rows(bodies: DataFrame, body_col: str = "body", first_page_only: bool = True) -> DataFrame:
-    """Code lists bundled in data pages -> long ``classes`` table.
-
-    Every page of a table repeats the same code lists; by default only the
-    first landed page of each (table, language) is parsed.  The choice of
-    that page is a page-level aggregate (``min_by``), never an observation
-    level one.
-    """
+def _class_objects(bodies: DataFrame, body_col: str) -> DataFrame:
+    """The distinct code-list nodes of all ok pages of each table."""
     env = parse_envelope(bodies, "data_meta", body_col)
     env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
     ids = _data_identity(env)
-    pages = env.select(
+    return env.select(
         ids["stats_data_id"].alias("stats_data_id"),
         ids["lang"].alias("lang"),
-        as_count(F.col("_env.STATISTICAL_DATA.RESULT_INF.FROM_NUMBER")).alias("page_offset"),
         F.col("_env.STATISTICAL_DATA.CLASS_INF.CLASS_OBJ").alias("class_obj"),
-    ).where(F.col("class_obj").isNotNull())
-    if first_page_only:
-        pages = pages.groupBy("stats_data_id", "lang").agg(
-            F.min_by("class_obj", "page_offset").alias("class_obj")
-        )
-    return _class_rows(pages, F.col("class_obj"), {"stats_data_id": F.col("stats_data_id"),
-                                                   "lang": F.col("lang")})
+    ).where(F.col("class_obj").isNotNull()).distinct()
+
+
+def class_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
+    """Code lists bundled in data pages -> long ``classes`` table.
+
+    The distinct union over all pages of a table: pages (and pulls with
+    different filters) that repeat the same lists are parsed once, pages that
+    carry only the codes they use add theirs.  ``extra`` holds further keys of
+    an entry as JSON."""
+    objects = _class_objects(bodies, body_col)
+    return _class_rows(objects, F.col("class_obj"), {k: F.col(k) for k in ("stats_data_id", "lang")}).distinct()
+
+
+def axis_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
+    """Axes that the pages name, also those with an empty code list."""
+    objects = _class_objects(bodies, body_col)
+    axes = objects.select("stats_data_id", "lang", F.posexplode(wrap_records(F.col("class_obj"))).alias("i", "o"))
+    return axes.select("stats_data_id", "lang", F.col("o")["@id"].alias("axis"), F.col("o")["@name"].alias("axis_name"),
+                       (F.col("i") + 1).cast("int").alias("axis_pos")).distinct()
 
 
 def meta_class_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
@@ -300,25 +319,30 @@ def meta_table_info(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     )
 
 
-def note_rows(bodies: DataFrame, body_col: str = "body", first_page_only: bool = True) -> DataFrame:
-    """The annotation legend (``NOTE``: marker char -> meaning)."""
+def note_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
+    """The annotation legend (``NOTE``: marker char -> meaning), the distinct
+    union over all pages of a table."""
     env = parse_envelope(bodies, "data_meta", body_col)
     env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
     ids = _data_identity(env)
-    pages = env.select(
+    nodes = env.select(
         ids["stats_data_id"].alias("stats_data_id"),
         ids["lang"].alias("lang"),
-        as_count(F.col("_env.STATISTICAL_DATA.RESULT_INF.FROM_NUMBER")).alias("page_offset"),
         F.col("_env.STATISTICAL_DATA.DATA_INF.NOTE").alias("note_node"),
-    ).where(F.col("note_node").isNotNull())
-    if first_page_only:
-        pages = pages.groupBy("stats_data_id", "lang").agg(
-            F.min_by("note_node", "page_offset").alias("note_node")
-        )
-    rows = pages.select("stats_data_id", "lang", F.explode(wrap_records(F.col("note_node"))).alias("n"))
+    ).where(F.col("note_node").isNotNull()).distinct()
+    rows = nodes.select("stats_data_id", "lang", F.explode(wrap_records(F.col("note_node"))).alias("n"))
     return rows.select(
         "stats_data_id", "lang", F.col("n")["@char"].alias("char"), F.col("n")["$"].alias("note")
-    )
+    ).distinct()
+
+
+def failed_pages(bodies: DataFrame, body_col: str = "body") -> DataFrame:
+    """Quarantine: the pages that the readers above skip, with the reason
+    (not JSON, no status, or an error class), next to their other columns."""
+    from statlake.operators.quality import response_status
+
+    status = response_status(bodies, body_col=body_col)
+    return status.where(~F.col("ok"))
 
 
 # ---------------------------------------------------------------------------
@@ -326,8 +350,9 @@ def note_rows(bodies: DataFrame, body_col: str = "body", first_page_only: bool =
 # ---------------------------------------------------------------------------
 
 def catalog_records(bodies: DataFrame, kind: str = "list", body_col: str = "body") -> DataFrame:
-    """Catalogue listings -> one JSON record per entry (``record`` text) with
-    a stable ``row_id`` (page body hash + position).  Flatten with
+    """Catalogue listings -> one JSON record per entry (``record`` text) with a
+    ``row_id`` of its page and position: the page's ``source_path`` or
+    ``page_no`` where it has one, else a digest of its body.  Flatten with
     ``sources.flatten``."""
     env = parse_envelope(bodies, kind, body_col)
     env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
@@ -336,11 +361,7 @@ def catalog_records(bodies: DataFrame, kind: str = "list", body_col: str = "body
         if kind == "list"
         else F.col("_env.DATA_CATALOG_LIST_INF.DATA_CATALOG_INF")
     )
-    rows = env.select(
-        F.xxhash64(F.col(body_col)).alias("page_hash"),
-        F.posexplode(wrap_texts(node)).alias("pos", "record"),
-    )
-    return rows.select(
-        F.concat_ws(":", F.col("page_hash").cast("string"), F.col("pos").cast("string")).alias("row_id"),
-        "record",
-    )
+    named = [c for c in ("source_path", "page_no") if c in env.columns]
+    page = F.col(named[0]).cast("string") if named else F.sha2(F.col(body_col).cast("binary"), 256)
+    rows = env.select(page.alias("page"), F.posexplode(wrap_texts(node)).alias("pos", "record"))
+    return rows.select(F.concat_ws(":", "page", F.col("pos").cast("string")).alias("row_id"), "record")

@@ -67,8 +67,10 @@ def read_shp(data: bytes) -> list[list[list[tuple[float, float]]] | None]:
     return out
 
 
-def read_dbf(data: bytes, encoding: str = "cp932") -> list[dict[str, str | None]]:
-    """dBASE records as dicts of stripped strings (None when blank)."""
+def read_dbf(data: bytes, encoding: str = "cp932") -> list[dict[str, str | None] | None]:
+    """dBASE records as dicts of stripped strings (None when blank), in the
+    order of the shapes; a deleted record is None.  Text that is not in the
+    encoding is an error."""
     n_rec, header_len, rec_len = struct.unpack("<IHH", data[4:12])
     fields = []
     pos = 32
@@ -81,11 +83,12 @@ def read_dbf(data: bytes, encoding: str = "cp932") -> list[dict[str, str | None]
     for i in range(n_rec):
         rec = data[header_len + i * rec_len: header_len + (i + 1) * rec_len]
         if rec[:1] == b"*":
+            rows.append(None)  # its shape is still in the other file
             continue
         off = 1
         row = {}
         for name, length in fields:
-            txt = rec[off:off + length].decode(encoding, errors="replace").strip()
+            txt = rec[off:off + length].decode(encoding).strip()
             row[name] = txt or None
             off += length
         rows.append(row)
@@ -101,7 +104,9 @@ def _archive_rows(path: str, content: bytes, encoding: str) -> list[dict]:
         dbf = next((n for n in names if n.lower() == f"{stem.lower()}.dbf"), None)
         geoms = read_shp(zf.read(shp))
         attrs = read_dbf(zf.read(dbf), encoding) if dbf else [{} for _ in geoms]
-        for i, (g, a) in enumerate(zip(geoms, attrs, strict=False)):
+        for i, (g, a) in enumerate(zip(geoms, attrs, strict=True)):
+            if a is None:
+                continue
             polys = None if g is None else [[[{"x": x, "y": y} for x, y in ring] for ring in poly] for poly in g]
             row = {"source_path": path, "record": i, "attrs": {k: v for k, v in a.items() if v is not None},
                    "polygons": polys}
@@ -117,12 +122,10 @@ def read_boundary_archives(spark: SparkSession, path: str, datum: str = "2000",
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["source_path", "record", *ATTRS, "attrs", "polygons"]
         for b in batches:
-            out = []
             for p, c in zip(b["path"], b["content"], strict=True):
-                out.extend(_archive_rows(p, bytes(c), encoding))
-            cols = ["source_path", "record", *ATTRS, "attrs", "polygons"]
-            yield pd.DataFrame(out, columns=cols)
+                yield pd.DataFrame(_archive_rows(p, bytes(c), encoding), columns=cols)
 
     feats = files.select("path", "content").mapInPandas(parse, SCHEMA)
     srid = 6668 if str(datum) == "2011" else 4612

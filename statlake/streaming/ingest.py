@@ -1,22 +1,23 @@
 """Exactly-once ingestion of newly landed response pages.
 
-``readStream`` over the landing folder (one file = one page body, read as
-whole text) -> the same page parser as the batch path -> ``foreachBatch``
-that merges rows into a parquet table keyed by
-``(query_fingerprint, page_offset, pos)``.  A replayed micro-batch (after
-an executor or driver failure) finds its keys already present and adds
-nothing; the source and sink progress live in the checkpoint location, so a
-restart resumes with the files not yet processed.  No watermark is needed:
-deduplication is against the target table, not against unbounded state.
+``readStream`` over the landing folder (one file = one page body, read as whole
+text) -> ``foreachBatch``, which parses the batch once and merges its rows into a
+parquet table keyed by ``ROW_KEY``.  Nulls are values of a key: a replayed
+micro-batch finds its keys present and adds nothing, whether or not its pages
+name a language.  Pages that failed, rows without a table id and pages without a
+position go to the quarantine table beside the target, once each.  Source and
+sink progress live in the checkpoint location.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.model import OBSERVATION_SCHEMA
-from statlake.sources.responses import value_rows
+from statlake.session import cut_lineage
+from statlake.sources.responses import failed_pages, page_info, value_rows
 
 ROW_KEY = ["stats_data_id", "lang", "query_fingerprint", "page_offset", "pos"]
 
@@ -28,50 +29,77 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
+    """False only if there is nothing under ``path``; other errors come out."""
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
-        try:
-            read_observations(spark, path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001 - missing path
+        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return False
+        raise
 
 
 def merge_batch(batch: DataFrame, target: str, key: list[str] | None = None) -> None:
     """Append the rows of ``batch`` whose key is not yet in ``target``.
 
-    A micro-batch holds at most ``maxFilesPerTrigger`` pages, so its page
-    keys are few: they are pushed into the target scan (partition pruning
-    on ``stats_data_id``, row-group pruning on ``page_offset``) and only the
-    matching key columns are read for the anti join."""
+    A micro-batch holds at most ``maxFilesPerTrigger`` pages, so its tables are
+    few: they are pushed into the target scan (partition pruning)."""
     key = key or ROW_KEY
     spark = batch.sparkSession
     rows = batch.dropDuplicates(key)
     if _table_exists(spark, target):
-        pages = rows.select("stats_data_id", "page_offset").distinct().collect()
-        ids = sorted({r["stats_data_id"] for r in pages if r["stats_data_id"] is not None})
-        offsets = sorted({r["page_offset"] for r in pages if r["page_offset"] is not None})
-        existing = (read_observations(spark, target)
-                    .where(F.col("stats_data_id").isin(ids) & F.col("page_offset").isin(offsets))
-                    .select(*key))
-        rows = rows.join(existing, key, "left_anti")
+        ids = [r[0] for r in rows.select("stats_data_id").distinct().collect()]
+        existing = read_observations(spark, target).where(F.col("stats_data_id").isin(ids)).select(*[F.col(k).alias(f"old_{k}") for k in key])
+        rows = rows.join(existing, [F.col(k).eqNullSafe(F.col(f"old_{k}")) for k in key], "left_anti")
     rows.write.mode("append").partitionBy("stats_data_id").parquet(target)
 
 
+def _append_new(rows: DataFrame, path: str, key: str) -> None:
+    spark = rows.sparkSession
+    rows = rows.dropDuplicates([key])
+    if _table_exists(spark, path):
+        rows = rows.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+    rows.write.mode("append").parquet(path)
+
+
+def ingest_batch(bodies: DataFrame, target: str, quarantine: str) -> None:
+    """Parse one batch of page bodies, merge its rows, report what is left out.
+
+    Columns ``stats_data_id``, ``lang`` and ``query_fingerprint`` of ``bodies``
+    (from the landing layout) win over what the body says."""
+    bodies = cut_lineage(bodies, "batch")
+    rows = cut_lineage(value_rows(bodies), "rows")
+    keyed = F.col("stats_data_id").isNotNull() & F.col("page_offset").isNotNull()
+    merge_batch(rows.where(keyed), target)
+    digest = F.sha2(F.col("body").cast("binary"), 256).alias("body_sha256")
+    failed = failed_pages(bodies).select(digest, F.coalesce("error_class", F.lit("parse_error")).alias("reason"), "error_msg", "body")
+    info = page_info(bodies, keep=["body"])
+    ok = F.col("status_raw").try_cast("int") == 0
+    lost = info.where(ok & (F.col("stats_data_id").isNull() | F.col("page_offset").isNull())).select(
+        digest, F.lit("no_page_key").alias("reason"), F.lit(None).cast("string").alias("error_msg"), "body")
+    _append_new(failed.unionByName(lost), quarantine, "body_sha256")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Pages that were left out: digest, reason, redacted message, body."""
+    return spark.read.parquet(path)
+
+
 def start_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int = 2000):
+                 available_now: bool = True, max_files_per_trigger: int = 2000,
+                 identity: list[str] | None = None, quarantine: str | None = None):
     """Start the ingestion query; returns the ``StreamingQuery``.  Each
-    micro-batch takes at most ``max_files_per_trigger`` landed pages."""
+    micro-batch takes at most ``max_files_per_trigger`` landed pages.
+
+    ``identity`` names the folder columns of the landing layout, such as
+    ``stats_data_id=.../lang=E/``, for pages that do not name their table."""
+    quarantine = quarantine or f"{target.rstrip('/')}-quarantine"
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("maxFilesPerTrigger", int(max_files_per_trigger)))
-    bodies = reader.load(landing).select(F.col("value").alias("body"))
-    rows = value_rows(bodies)
+    if identity:
+        reader = reader.schema("value string, " + ", ".join(f"`{c}` string" for c in identity))
+    bodies = reader.load(landing).select(F.col("value").alias("body"), *(identity or []))
     writer = (
-        rows.writeStream.foreachBatch(lambda df, _epoch: merge_batch(df, target))
+        bodies.writeStream.foreachBatch(lambda df, _epoch: ingest_batch(df, target, quarantine))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -2,66 +2,57 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SA_SCHEMA_DDL, meta_json, sd_json, sd_value, square
+import pages as P
+from pages import page, rows, tons
 from statlake.operators import geo
 from statlake.plans.tidy import tidy
 from statlake.session import scratch_path
 from statlake.sources.flatten import flatten_json
 from statlake.sources.responses import class_rows, is_json_array, meta_table_info, read_bodies, value_rows
+from test_areas import plots
 
 
-def test_language_fallback_per_table(spark, bodies):
-    e = sd_json([sd_value("1")], total=1, sid="0000000001", lang="E")
-    j1 = sd_json([sd_value("2")], total=1, sid="0000000001", lang="J")
-    j2 = sd_json([sd_value("3")], total=1, sid="0000000002", lang="J")
-    b = bodies(e, j1, j2)
-    r = tidy(value_rows(b), class_rows(b), lang="E", fallback_lang="J", keep_lineage=True).data
-    got = sorted((x.stats_data_id, x.lang, x.value) for x in r.collect())
-    assert got == [("0000000001", "E", 1.0), ("0000000002", "J", 3.0)]
+def test_language_fallback_per_table(landed):
+    bodies = landed(page(tons(1)), page(tons(2), lang="J"), page(tons(3), table="0009100009", lang="J"))
+    got = tidy(value_rows(bodies), class_rows(bodies), lang="E", fallback_lang="J", keep_lineage=True).data
+    assert sorted((r["stats_data_id"], r["lang"], r["value"]) for r in rows(got)) == [(P.HARBOUR, "E", 1.0), ("0009100009", "J", 3.0)]
 
 
-def test_tidy_with_geometry(spark, bodies):
-    b = bodies(sd_json([sd_value("5")], total=1))
-    sa = spark.createDataFrame([("000000001", "00", "000", "全国", "全国", "x", square(0, 0))], SA_SCHEMA_DDL)
-    bnd = geo.boundaries(sa, "municipality", "ward")
-    res = tidy(value_rows(b), class_rows(b), geometry=bnd)
+def test_tidy_with_geometry(spark, landed):
+    bodies = landed(page(tons(5, quay="46370")))
+    bounds = geo.boundaries(plots(spark, {(0, 0): ("46", "370")}), "municipality", "ward")
+    res = tidy(value_rows(bodies), class_rows(bodies), geometry=bounds)
     row = res.data.collect()[0]
-    assert row.area_code == "00000" and row.polygons is not None
+    assert row.area_code == "46370" and row.polygons is not None
     assert res.unmatched.count() == 0
 
 
 def test_read_bodies_hive_layout(spark):
     base = scratch_path(spark, "t-landing").replace("file:", "")
-    d = os.path.join(base, "stats_data_id=0003217721", "lang=J")
-    os.makedirs(d, exist_ok=True)
-    with open(os.path.join(d, "page-1.json"), "w", encoding="utf-8") as f:
-        f.write(sd_json([sd_value("11077"), sd_value("-")], total=2).replace("{", "{\n", 3))
+    folder = os.path.join(base, f"stats_data_id={P.HARBOUR}", "lang=E")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "one.json"), "w", encoding="utf-8") as f:
+        f.write(page(tons(4, "#"), named=False).replace("{", "{\n", 3))
     b = read_bodies(spark, base, partitions=["stats_data_id", "lang"])
     assert {"body", "source_path", "stats_data_id", "lang"} <= set(b.columns)
-    rows = value_rows(b).collect()
-    assert len(rows) == 2 and {r.stats_data_id for r in rows} == {"0003217721"}
+    assert [(r["stats_data_id"], r["lang"]) for r in rows(value_rows(b))] == [(P.HARBOUR, "E")] * 2
 
 
-def test_is_json_array_and_table_info(spark, bodies):
-    df = spark.createDataFrame([("[1,2]",), ("{}",), ("[]",), ("x",)], "t string")
+def test_is_json_array_and_table_info(spark, landed):
+    df = spark.createDataFrame([("[3]",), ('{"a":[1]}',), ("[ ]",), ("?",)], "t string")
     got = [r.a for r in df.select(F.coalesce(is_json_array(F.col("t")), F.lit(False)).alias("a")).collect()]
-    assert got == [True, False, False, False]
-    ti = meta_table_info(bodies(meta_json()))
-    flat = {r.path: r.value for r in flatten_json(ti.select(F.lit(1).alias("row_id"), F.col("table_inf").alias("record"))).collect()}
-    assert flat == {"id": "0003217721", "STATISTICS_NAME": "労働力調査"}
+    assert got[:2] == [True, False] and got[3] is False
+    info = meta_table_info(landed(P.describe()))
+    flat = flatten_json(info.select(F.lit(1).alias("row_id"), F.col("table_inf").alias("record")))
+    assert {r["path"]: r["value"] for r in rows(flat)} == {"id": P.HARBOUR, "TITLE_no": "7", "TITLE": "Tonnage"}
 
 
 def test_attach_geometry_keeps_national_row(spark):
-    from conftest import SA_SCHEMA_DDL as DDL
-
-    sa = spark.createDataFrame([("132010001", "13", "201", "東京都", "八王子市", "a", square(0, 0)),
-                                ("132020001", "13", "202", "東京都", "立川市", "b", square(1, 0))], DDL)
-    d = spark.createDataFrame([("00000", 1.0), ("13201", 2.0), ("13202", 3.0), ("13000", 4.0)],
-                              "area_code string, value double")
-    joined, unmatched = geo.attach_geometry(d, sa)
-    rows = {r.area_code: r.polygons is not None for r in joined.collect()}
-    assert rows == {"00000": False, "13201": True, "13202": True, "13000": False}  # Q8, Q18
-    assert sorted(r.area_code for r in unmatched.collect()) == ["00000", "13000"]
+    areas = plots(spark, {(0, 0): ("46", "380"), (1, 0): ("46", "381")})
+    d = spark.createDataFrame([("00000",), ("46380",), ("46381",), ("46000",)], "area_code string")
+    joined, unmatched = geo.attach_geometry(d, areas)
+    assert {r["area_code"]: r["polygons"] is not None for r in rows(joined)} == {"00000": False, "46380": True, "46381": True, "46000": False}
+    assert sorted(r["area_code"] for r in rows(unmatched)) == ["00000", "46000"]
 
 
 def test_language_choice_blocks_hard_errors(spark):

@@ -6,12 +6,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_mod
+from statlake.plans.oracle import ORACLE
+from statlake.plans.registry import QUERIES
 from tools.oracle_check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
 
 
 @pytest.fixture(scope="module")

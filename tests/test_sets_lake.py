@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from conftest import sd_json, sd_value
+import pages as P
+from pages import cell, page, rows, tons
 from statlake.operators.sets import codes_except, codes_intersect, comma_list, union_fill
 from statlake.plans.lake import land_responses, read_lake
 from statlake.plans.tidy import tidy
@@ -20,45 +21,49 @@ def test_union_fill_and_code_sets(spark):
     assert arr == "01000,02000"
 
 
-def test_land_and_read_lake(spark, bodies):
+def harbour_lake(spark, landed, *bodies):
     base = scratch_path(spark, "t-lake")
-    land_responses(bodies(sd_json([sd_value("11077", cat01="00"), sd_value("500", cat01="12")], total=2)), base)
-    lake = read_lake(spark, base)
-    r = tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id="0003217721", lang="J")
-    assert sorted(x.value for x in r.data.collect()) == [500.0, 11077.0]
-    assert lake["manifest"].count() == 1
-    # Predicates on codes reach the parquet scan.
-    plan = lake["observations"].where(F.col("area") == "00000")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(area), EqualTo(area,00000)]" in plan
-
-
-def test_tidy_on_landed_lake_is_one_stage(spark, bodies):
-    """Decoding landed parquet: broadcast joins only, no shuffle exchange,
-    code filters pushed into the scan."""
-    base = scratch_path(spark, "t-lake-plan")
-    land_responses(bodies(sd_json([sd_value("1", cat01="00"), sd_value("2", cat01="12")], total=2)), base)
+    land_responses(landed(*bodies), base)
+    return base, read_lake(spark, base)
+
+
+def test_landing_again_adds_nothing_and_completes(spark, landed):
+    first, second = page(tons(1, 2), total=3, go_on=True), page(tons(3), start=3, total=3, lists=P.code_lists(cargo={"g9": ("Salt", None)}))
+    base, _ = harbour_lake(spark, landed, first, page([], status=200))
+    for batch in ((first,), (first, second), (first, second)):
+        land_responses(landed(*batch), base)
     lake = read_lake(spark, base)
-    d = tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id="0003217721", lang="J",
-             codes={"cat01": ["12"]}).data
+    assert sorted(r["value"] for r in rows(lake["observations"])) == ["1", "2", "3"]
+    assert lake["manifest"].count() == 2 and {r["error_class"] for r in rows(lake["failed"])} == {"no_data"}
+    assert {r["code"] for r in rows(lake["classes"].where("axis = 'cat01'"))} == {*P.CARGO, "g9"}
+
+
+def test_rows_of_an_unfinished_landing_do_not_count(spark, landed):
+    base, lake = harbour_lake(spark, landed, page(tons(1)))
+    stray = lake["observations"].withColumn("load", F.lit("unfinished"))
+    stray.write.mode("append").partitionBy("stats_data_id", "load").parquet(f"{base}/observations")
+    assert read_lake(spark, base)["observations"].count() == 1
+
+
+def test_decoding_a_landed_lake_needs_no_shuffle_of_its_rows(spark, landed):
+    _, lake = harbour_lake(spark, landed, page([cell(text="1"), cell(cargo="g2", text="2")]))
+    d = tidy(lake["observations"], lake["classes"], lake["notes"], stats_data_id=P.HARBOUR, lang="E", codes={"cat01": ["g2"]}).data
     plan = d._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
-    assert "In(cat01, [12])" in plan or "EqualTo(cat01,12)" in plan
-    assert [r.value for r in d.collect()] == [2.0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "In(cat01, [g2])" in plan or "EqualTo(cat01,g2)" in plan
+    assert [r["value"] for r in rows(d)] == [2.0]
 
 
-def test_three_pages_with_gap(spark, bodies):
+def test_missing_pages_are_planned_again(spark, landed):
     from statlake.operators.paging import missing_pages, page_plan
     from statlake.sources.responses import page_info
 
-    p1 = sd_json([sd_value(str(i)) for i in (1, 2, 3)], total=9, frm=1, next_key=4)
-    p3 = sd_json([sd_value(str(i)) for i in (7, 8, 9)], total=9, frm=7)
-    info = page_info(bodies(p1, p3))
-    first = info.where("from_number = 1")
-    plan = page_plan(first, page_size=3, keys=["stats_data_id", "lang", "query_fingerprint"])
-    landed = info.select("stats_data_id", "lang", "query_fingerprint", F.col("page_offset").alias("offset"))
-    todo = missing_pages(plan, landed)
-    assert [(r.offset, r.size) for r in todo.collect()] == [(4, 3)]
+    info = page_info(landed(page(tons(1, 2, 3), total=12, go_on=True), page([], start=4, status=500), page(tons(7, 8, 9), start=7, total=12)))
+    keys = ["stats_data_id", "lang", "query_fingerprint"]
+    plan = page_plan(info.where("from_number = 1"), page_size=3, keys=keys)
+    todo = missing_pages(plan, info.withColumnRenamed("page_offset", "offset"), keys=keys)
+    assert sorted(r["offset"] for r in rows(todo)) == [4, 10]  # the failed page counts as missing
+
 
 
 def test_dig_null_safe(spark):
@@ -71,21 +76,21 @@ def test_dig_null_safe(spark):
     assert (rows[1].b, rows[1].i) == (None, None)
 
 
-def test_axis_label_metadata_survives_parquet(spark, bodies):
+def test_axis_label_metadata_survives_parquet(spark, landed):
     from statlake.sources.responses import class_rows, value_rows
 
-    b = bodies(sd_json([sd_value("1")], total=1))
+    b = landed(page(tons(1)))
     d = tidy(value_rows(b), class_rows(b)).data
     path = scratch_path(spark, "t-label")
     d.write.parquet(path)
     back = spark.read.parquet(path)
-    assert back.schema["cat01"].metadata.get("label") == "就業状態"
-    assert back.schema["area"].metadata.get("label") == "地域"
+    assert back.schema["cat01"].metadata.get("label") == "Cargo"
+    assert back.schema["area"].metadata.get("label") == "Quay"
 
 
-def test_each_body_parsed_once(spark, bodies):
+def test_each_body_parsed_once(landed):
     from statlake.sources.responses import value_rows
 
-    rows = value_rows(bodies(sd_json([sd_value("1")], total=1)))
-    plan = rows.where(F.col("stats_data_id") == "0003217721")._jdf.queryExecution().executedPlan().toString()
+    found = value_rows(landed(page(tons(1))))
+    plan = found.where(F.col("stats_data_id") == P.HARBOUR)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(StructField(GET_STATS_DATA") == 1
