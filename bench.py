@@ -40,6 +40,9 @@ HEADLINE = [
     "prefer_language",
     "range_rollup",
     "dissolve_area",
+    "dissolve_rings",     # iterative ring stitching
+    "geometry_join",
+    "lake_tidy",          # decode of many tables in two languages
     "axis_hierarchy",
     "stream_ingest",
 ]
