@@ -115,13 +115,13 @@ def judge(df: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_co
     keyed = measured.withColumns({"lang_key": lang, "source_key": source})
     fine = cut_lineage(sketches(keyed, ["lang_key", "source_key"]), "sketches")
     coarse = fine.groupBy("lang_key", "ratio", "cell").agg(F.sum("n").alias("n"))  # sketches merge by addition
-    whole = coarse.groupBy("ratio", "cell").agg(F.sum("n").alias("n")).withColumn("one", F.lit(1))
+    whole = coarse.groupBy("ratio", "cell").agg(F.sum("n").alias("n"))
     names = [f"{k}_{side}" for k in RATIOS for side in ("low", "high")]
     a = fences(fine, ["lang_key", "source_key"], rules)
     b = fences(coarse, ["lang_key"], rules).select("lang_key", F.col("n").alias("n_b"), *[F.col(x).alias(f"b_{x}") for x in names])
-    c = fences(whole, ["one"], rules).select("one", *[F.col(x).alias(f"c_{x}") for x in names])
-    levels = a.withColumn("one", F.lit(1)).join(b, "lang_key").join(c, "one")
-    chosen = [F.when(F.col("n") >= rules.min_group, F.col(x)).when(F.col("n_b") >= rules.min_group, F.col(f"b_{x}")).otherwise(F.col(f"c_{x}")).alias(x) for x in names]
+    c = fences(whole, [], rules).first()  # one row of numbers
+    levels = a.join(b, "lang_key")
+    chosen = [F.when(F.col("n") >= rules.min_group, F.col(x)).when(F.col("n_b") >= rules.min_group, F.col(f"b_{x}")).otherwise(F.lit(c[x])).alias(x) for x in names]
     limits = cut_lineage(levels.select("lang_key", "source_key", *chosen), "limits")
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.most_repeats * F.col("n_words"))
     good = [_grid(k) <= F.col(f"{k}_high") for k in RATIOS] + [_grid(k) >= F.col(f"{k}_low") for k in rules.two_sided]
