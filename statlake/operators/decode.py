@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from statlake.model import AXES
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+#: Code-list rows that one decode may broadcast, over all its axes.
+DEFAULT_BROADCAST_ROWS = 200_000
 TAIL = ["unit", "value", "annotation"]
 
 
@@ -82,6 +84,12 @@ def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = Non
     if keys is None:  # lake-wide: codes are unique per (table, language)
         keys = [k for k in ("stats_data_id", "lang") if k in obs.columns and k in classes.columns]
     out = obs
+    # the bound holds for all axes together: the smallest lists are broadcast first
+    left, small = max_broadcast_rows, set()
+    for s in sorted(summary, key=lambda s: s["n_codes"]):
+        if s["n_codes"] <= left:
+            small.add(s["axis"])
+            left -= s["n_codes"]
     for s in summary:
         axis = s["axis"]
         lookup = classes.where(F.col("axis") == axis).select(
@@ -89,8 +97,13 @@ def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = Non
             F.col("code").alias(f"__{axis}_code"),
             F.col("name").alias(f"__{axis}_label"),
         )
-        lookup = sized_broadcast(lookup, max_broadcast_rows, known_rows=s["n_codes"])
-        cond = obs[axis] == lookup[f"__{axis}_code"]
+        code = obs[axis]
+        if axis in small:
+            lookup = F.broadcast(lookup)
+        else:  # rows without a code would all meet in one task; no code has such a name
+            spread = F.pmod(F.xxhash64(*[obs[c] for c in obs.columns if not isinstance(obs.schema[c].dataType, MapType)]), F.lit(4096))
+            code = F.coalesce(code, F.concat(F.lit("\u0000none-"), spread.cast("string")))
+        cond = code == lookup[f"__{axis}_code"]
         for k in keys:
             cond = cond & (obs[k] == lookup[f"__{axis}_{k}"])
         out = out.join(lookup, cond, "left")
