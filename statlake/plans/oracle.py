@@ -124,7 +124,7 @@ ORACLE: dict[str, str] = {
     "tidy_codes_only": f"""SELECT stats_data_id, area, time, cat01, cat02, unit,
   {td.value_sql('raw_value')} AS value, {td.annotation_sql('raw_value')} AS annotation FROM {OBS}""",
     "filter_codes": f"""SELECT * FROM {TIDY}
-  WHERE area_code IN ('01000', '02000', '03000', '25000') AND cat01_code IN ('A', 'R')""",
+  WHERE area_code IN ('01000', '02000', '03000', '99000') AND cat01_code IN ('A', 'R')""",
     "time_window": f"SELECT * FROM {TIDY} WHERE time_code BETWEEN '1996000000' AND '1998000000'",
     "limit_offset": f"""SELECT area_code, time_code, cat01_code, cat02_code, value, annotation,
   page_offset, pos, l_partkey, l_suppkey, l_extendedprice

@@ -76,7 +76,7 @@ def tidy_codes_only(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filter_codes(spark: SparkSession, sf: str) -> DataFrame:
-    return _tidy_cube(spark, sf, codes={"area": ["01000", "02000", "03000", "25000"],
+    return _tidy_cube(spark, sf, codes={"area": ["01000", "02000", "03000", "99000"],
                                         "cat01": ["A", "R"]}).data
 
 

@@ -7,8 +7,8 @@ by the oracle.  The mapping:
 * cube observations: lineitem -> orders -> customer;  area = customer
   nation as a prefecture-style code, time = order year, cat01/cat02 =
   return flag / line status, value = quantity with markers mixed in;
-* code lists: nation/region for ``area`` (one nation left out so some labels
-  are null), years for ``time``, fixed lists for ``cat01``/``cat02``;
+* code lists: nation/region for ``area`` (customers of one nation carry a
+  code that is in no list, so some labels are null), years for ``time``, fixed lists for ``cat01``/``cat02``;
 * landed data pages: events grouped into pages of ``PAGE_SIZE`` records;
 * catalogue pages: part rows as table entries;
 * request log: orders as data requests (for contract checks and paging);
@@ -45,7 +45,7 @@ AXIS_NAMES = {
     "time": ("Time", "時間軸", 4),
 }
 YEARS = (1990, 2031)  # time code list covers [1990, 2031)
-LEFT_OUT_NATION = 24  # its code has no label
+UNLISTED_NATION, UNLISTED_AREA = 24, "99000"  # its customers carry a code that no list has
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,16 +90,17 @@ def cube_observations(spark: SparkSession, sf_dir: str, with_order_key: bool = F
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     oc = od.join(cu, od["o_custkey"] == cu["c_custkey"])
-    # lineitem and orders both grow with the data: never broadcast either
-    # side; hash-partition both on the order key (AQE still splits skew).
-    j = li.join(oc.hint("shuffle_hash"), li["l_orderkey"] == oc["o_orderkey"])
+    # lineitem and orders both grow with the data: the planner's sort-merge
+    # join can spill, and AQE splits a skewed order key.
+    j = li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
     cols = [
         F.lit(CUBE_ID).alias("stats_data_id"),
         F.lit("E").alias("lang"),
         F.lit(CUBE_ID).alias("query_fingerprint"),
         F.col("l_orderkey").cast("bigint").alias("page_offset"),
         F.col("l_linenumber").cast("int").alias("pos"),
-        F.concat(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), F.lit("000")).alias("area"),
+        F.when(F.col("c_nationkey") == UNLISTED_NATION, F.lit(UNLISTED_AREA))
+        .otherwise(F.concat(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), F.lit("000"))).alias("area"),
         F.concat(F.year("o_orderdate").cast("string"), F.lit("000000")).alias("time"),
         F.col("l_returnflag").alias("cat01"),
         F.col("l_linestatus").alias("cat02"),
@@ -113,7 +114,8 @@ def cube_observations(spark: SparkSession, sf_dir: str, with_order_key: bool = F
 
 CUBE_OBS_SQL = f"""SELECT '{CUBE_ID}' AS stats_data_id, 'E' AS lang,
   l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_shipdate,
-  lpad(CAST(c.c_nationkey + 1 AS VARCHAR), 2, '0') || '000' AS area,
+  CASE WHEN c.c_nationkey = {UNLISTED_NATION} THEN '{UNLISTED_AREA}'
+    ELSE lpad(CAST(c.c_nationkey + 1 AS VARCHAR), 2, '0') || '000' END AS area,
   CAST(year(o.o_orderdate) AS VARCHAR) || '000000' AS time,
   l.l_returnflag AS cat01, l.l_linestatus AS cat02, '{UNIT}' AS unit,
   {CELL_SQL} AS raw_value
@@ -153,7 +155,7 @@ def cube_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         region, F.concat(F.lit("9"), (F.col("r_regionkey") + 1).cast("string"), F.lit("000")),
         F.col("r_name"), F.concat(F.col("r_name"), F.lit("地方")), "2", F.lit("00000"))
     nations = area_rows(
-        nation.where(F.col("n_nationkey") != LEFT_OUT_NATION),
+        nation,
         F.concat(F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0"), F.lit("000")),
         F.col("n_name"), F.concat(F.col("n_name"), F.lit("国")), "3",
         F.concat(F.lit("9"), (F.col("n_regionkey") + 1).cast("string"), F.lit("000")))
@@ -200,7 +202,7 @@ def cube_classes_sql(lang: str = "E") -> str:
     parts.append(head + "lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') || '000' AS code, "
                  f"{nat_name} AS name, '3' AS level, CAST(NULL AS VARCHAR) AS unit, "
                  "'9' || CAST(n_regionkey + 1 AS VARCHAR) || '000' AS parent "
-                 f"FROM nation WHERE n_nationkey <> {LEFT_OUT_NATION}")
+                 "FROM nation")
     an, aj, pos = AXIS_NAMES["time"]
     yname = "CAST(range AS VARCHAR)" if lang == "E" else "CAST(range AS VARCHAR) || '年'"
     parts.append(
