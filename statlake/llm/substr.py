@@ -129,10 +129,11 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, seed: int) -> Itera
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Rows (text, doc, rid, hashes) to (key, doc, rid, pos, h): for each shared
-    anchor the windows that belong to it, with their places and hashes; for each
-    document the places already known to repeat an earlier one (h null)."""
-    kind = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("rid", pa.int32()), ("pos", pa.list_(pa.int32())), ("h", pa.list_(pa.int64()))])
+    """Rows (text, doc, rid, hashes) to (key, doc, rid, pos, n, h): runs of n
+    windows from word pos on.  A run belongs to one shared anchor (key) and has
+    its windows' hashes, or is already known to repeat an earlier document (h
+    null, dealt out by document)."""
+    kind = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("rid", pa.int32()), ("pos", pa.int32()), ("n", pa.int32()), ("h", pa.list_(pa.int64()))])
     for part in _slices(batches):
         grid = Grid(part["text"].to_pylist(), length, seed)
         lists = part["hashes"].combine_chunks()
@@ -163,12 +164,13 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int, seed: int) -> Itera
             if not len(pick):
                 continue
             unit = row[pick] if settled else anchor[pick]  # both rise with the place
-            edge = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
-            offsets = pa.array(np.concatenate([edge, [len(pick)]]), pa.int32())
+            edge = np.flatnonzero(np.concatenate([[True], (unit[1:] != unit[:-1]) | (np.diff(start[pick]) != 1)]))
+            ends = np.concatenate([edge, [len(pick)]])
+            offsets = pa.array(ends, pa.int32())
             head = pick[edge]
             hashes = pa.nulls(len(head), pa.list_(pa.int64())) if settled else pa.ListArray.from_arrays(offsets, pa.array(h[pick]))
             yield pa.RecordBatch.from_arrays([pa.array(doc[head] if settled else key[head]), pa.array(doc[head]), pa.array(rid[head]),
-                                              pa.ListArray.from_arrays(offsets, pa.array(pos[pick])), hashes], schema=kind)
+                                              pa.array(pos[head]), pa.array(np.diff(ends).astype(np.int32)), hashes], schema=kind)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -204,12 +206,13 @@ def remove_repeats(df: DataFrame, length: int = 13, seed: int = 5, id_col: str =
     shared = (compared.filter("lone > 0 or before is not null or behind is not null")
               .groupBy("doc").agg(F.collect_list("hash").alias("hashes")))  # at most a document's own anchors
     texts = docs.repartition("doc")
-    seeds = texts.select("text", "doc", "rid").join(shared, "doc").select("text", "doc", "rid", "hashes")
-    windows = seeds.mapInArrow(lambda it: _windows(it, length, seed), "key long, doc long, rid int, pos array<int>, h array<long>")
-    spread = windows.repartition("key").select("key", "doc", "rid", F.explode(F.arrays_zip("pos", F.coalesce("h", F.expr("transform(pos, p -> cast(null as bigint))")).alias("h"))).alias("w"))
-    each = spread.select("key", "doc", "rid", F.col("w.pos").alias("pos"), F.col("w.h").alias("h"))
+    # both joins ask for the same columns, so the exchange of the texts is reused
+    seeds = texts.join(shared, "doc").select("doc_id", "text", "rid", "doc", "hashes")
+    windows = seeds.mapInArrow(lambda it: _windows(it, length, seed), "key long, doc long, rid int, pos int, n int, h array<long>")
+    of_run = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct((F.col("pos") + k).alias("pos"), F.get("h", k).alias("h")))
+    each = windows.repartition("key").select("key", "doc", "rid", F.explode(of_run).alias("w")).select("key", "doc", "rid", "w.pos", "w.h")
     earliest = F.min("doc").over(Window.partitionBy("key", "h").orderBy("doc"))
     gone = (each.withColumn("earliest", earliest).filter("h is null or doc > earliest")
             .groupBy("doc").agg(F.collect_list(F.struct("rid", "pos")).alias("gone")))  # at most a document's own windows
-    joined = texts.join(gone, "doc", "left").select("doc_id", "text", "rid", "gone")
+    joined = texts.join(gone, "doc", "left").select("doc_id", "text", "rid", "doc", "gone")
     return joined.mapInArrow(lambda it: _kept(it, length), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
