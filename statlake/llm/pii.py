@@ -55,8 +55,9 @@ class Disclosure:
     generalise_at: float = 0.90
     remove_at: float = 0.97
     min_support: int = 5
-    #: Tables of at most so many rows are broadcast, larger ones joined by shuffle.
+    #: Tables of at most so many rows and bytes are broadcast, larger ones joined by shuffle.
     broadcast_rows: int = 50_000
+    broadcast_bytes: int = 16 << 20
 
 
 # ---- matches and their places ---------------------------------------------------
@@ -180,9 +181,12 @@ def disclosing_terms(texts: DataFrame, limits: Disclosure = Disclosure(), text_c
 
 
 def _small(df: DataFrame, limits: Disclosure) -> DataFrame:
-    """``df``, written; broadcast if its counted rows are within the bound."""
+    """``df``, written; broadcast if its rows and bytes, counted, are within the
+    bounds."""
     df = cut_lineage(df, "small")
-    return F.broadcast(df) if df.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows else df
+    width = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))
+    rows, size = df.limit(limits.broadcast_rows + 1).agg(F.count("*"), width).first()
+    return F.broadcast(df) if rows <= limits.broadcast_rows and size <= limits.broadcast_bytes else df
 
 
 def find_spans(df: DataFrame, limits: Disclosure = Disclosure(), text_col: str = "text", id_col: str = "doc_id",
