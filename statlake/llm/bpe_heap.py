@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.bpe_tree import CACHE_WORDS, _in_slices, read_vocab
+from statlake.llm.common import arrow_rows
 
 #: The mark that stands for a space inside pieces (fixed value).
 MARK = "▁"
@@ -95,13 +96,14 @@ class PieceCounter:
         return total
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _counter(data: bytes) -> PieceCounter:
     return PieceCounter(data)
 
 
 def token_counts(df: DataFrame, model_path: str, text_col: str = "text", out_col: str = "n_tokens") -> DataFrame:
     """``df`` with the number of tokens of each text."""
+    arrow_rows(df)
     shared = df.sparkSession.sparkContext.broadcast(read_vocab(model_path))
 
     @F.arrow_udf("long")

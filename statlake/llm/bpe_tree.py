@@ -30,12 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import free_name
+from statlake.llm.common import arrow_rows, free_name
 
 #: A vocabulary file larger than this is refused rather than broadcast.
 MAX_VOCAB_BYTES = 64 << 20
-#: Words a worker remembers before it starts afresh.
-CACHE_WORDS = 1 << 19
+#: Words a worker remembers before it starts afresh: some 60 MB.
+CACHE_WORDS = 1 << 18
 
 #: White space as the normalizer's pattern engine sees it (fixed value).
 SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -183,7 +183,7 @@ class WordBpe:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _codec(data: bytes) -> WordBpe:
     return WordBpe(data)
 
@@ -200,7 +200,7 @@ def encode_batch(codec: WordBpe, texts: list[str | None]) -> pa.StructArray:
     return pa.StructArray.from_arrays([ids, pa.array(decoded, pa.string())], ["ids", "decoded"])
 
 
-def _in_slices(texts: pa.Array, work: Callable[[list], pa.Array], most_bytes: int = 8 << 20) -> pa.Array:
+def _in_slices(texts: pa.Array, work: Callable[[list], pa.Array], most_bytes: int = 2 << 20) -> pa.Array:
     """``work`` over slices of about ``most_bytes``, so that memory follows the
     slice and not the Arrow batch."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -220,6 +220,7 @@ def read_vocab(path: str) -> bytes:
 def bpe_encode(df: DataFrame, vocab_path: str, text_col: str = "text",
                ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """``df`` with each text's token ids and the text they decode to."""
+    arrow_rows(df)
     shared = df.sparkSession.sparkContext.broadcast(read_vocab(vocab_path))
 
     @F.arrow_udf("ids array<int>, decoded string")
@@ -234,6 +235,7 @@ def bpe_encode(df: DataFrame, vocab_path: str, text_col: str = "text",
 
 def bpe_decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text its id lists stand for (null list: "")."""
+    arrow_rows(df)
     shared = df.sparkSession.sparkContext.broadcast(read_vocab(vocab_path))
 
     @F.arrow_udf("string")

@@ -28,6 +28,12 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
 
 
+def arrow_rows(df: DataFrame, rows: int = 1000) -> None:
+    """Bound the Arrow batches of the session, and so what the Python workers and
+    the executors' Arrow buffers hold at once; texts are kilobytes, not numbers."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front until no column has that name."""
     taken = {c.lower() for c in df.columns}

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.bpe_tree import _in_slices
+from statlake.llm.common import arrow_rows
 
 #: Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -167,6 +168,7 @@ def extract(page: str | None, least: float = 0.02) -> str:
 
 def extract_main_text(df: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``df`` with the main text of each page."""
+    arrow_rows(df)
 
     @F.arrow_udf("string")
     def main_text(pages: pa.Array) -> pa.Array:

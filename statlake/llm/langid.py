@@ -19,6 +19,7 @@ never learned from; repeated rows get equal results; extra columns stay.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,13 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.bpe_tree import _in_slices
-from statlake.llm.common import free_name, words
+from statlake.llm.common import arrow_rows, free_name, words
 
 BUCKETS = 1 << 15
 #: A classifier for more languages than this is refused (the labels are collected).
 MAX_LANGUAGES = 1000
 #: Words a worker remembers.
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 #: First code point of each script's ranges (fixed values); "Latin" holds what is before the second.
 SCRIPTS = ((0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"),
            (0x0600, "Arabic"), (0x0900, "Devanagari"), (0x0980, "Bengali"), (0x0A00, "Gurmukhi"), (0x0A80, "Gujarati"),
@@ -75,23 +76,50 @@ def features(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(place)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Model:
+    """What is learned; it is broadcast and never changes."""
+
     languages: list[str]
     #: log-likelihood by bucket and language, less the mean over languages
     weight: np.ndarray
     #: script -> mask of the languages written in it
     scripts: dict[str, np.ndarray]
     penalty: float = 12.0
-    #: caches of a worker: place of a word as written and of its letters, scores and letter counts by place
-    index: dict[str, int] = field(default_factory=dict)
-    bare: dict[str, int] = field(default_factory=dict)
-    scores: np.ndarray | None = None
-    letters: np.ndarray | None = None
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def spans(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        return reader(self).spans(texts)
+
+    def predict(self, texts: list[str | None]) -> pa.StructArray:
+        return reader(self).predict(texts)
+
+
+_READER: list[Reader] = []
+
+
+def reader(model: Model) -> Reader:
+    """The worker's reader; a new model drops the last one's caches."""
+    if not _READER or _READER[0].model.name != model.name:
+        _READER[:] = [Reader(model)]
+    return _READER[0]
+
+
+class Reader:
+    """Labels texts by a model, with bounded caches: place of a word as written
+    and of its letters, scores and letter counts by place."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.languages, self.weight, self.scripts, self.penalty = model.languages, model.weight, model.scripts, model.penalty
+        self.index: dict[str, int] = {}
+        self.bare: dict[str, int] = {}
+        self.scores = np.zeros((0, len(self.languages)), np.float32)
+        self.letters = np.zeros(0, np.int64)
 
     def learn_words(self, found: list[str]) -> None:
         """Enter new words and their scores into the caches."""
-        if self.scores is None or len(self.index) > CACHE_WORDS:
+        if len(self.index) > CACHE_WORDS:
             self.index, self.bare = {}, {}
             self.scores, self.letters = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.int64)
         new: list[str] = []
@@ -241,6 +269,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``df`` with the language of each text and its score."""
+    arrow_rows(df)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang string, score double")

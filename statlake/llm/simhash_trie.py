@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from statlake.llm.bpe_tree import _in_slices
 from statlake.llm.components import connected
-from statlake.llm.common import free_name
+from statlake.llm.common import arrow_rows, free_name
 from statlake.session import cut_lineage
 
 #: Bits that a hot node goes deeper at a time.
@@ -272,6 +272,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, max_node: int = 1024) -
 def near_duplicates(df: DataFrame, shingle: int = 4, max_bits: int = 4, text_col: str = "text", id_col: str = "doc_id",
                     max_node: int = 1024, fp_col: str = "fp", component_col: str = "component_id") -> DataFrame:
     """``df`` with its long fingerprint and the smallest id that its links reach."""
+    arrow_rows(df)
     marked = df.withColumn(fp_col, simhash(F.col(text_col), shingle))
     ids = cut_lineage(marked.groupBy(F.col(fp_col).alias("fp")).agg(F.min(id_col).alias("least")), "fingerprints")
     links = fingerprint_links(ids.select("fp"), max_bits, max_node)

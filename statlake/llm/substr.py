@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.llm.bpe_tree import CACHE_WORDS
+from statlake.llm.common import arrow_rows
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
@@ -195,6 +196,7 @@ def _kept(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
 
 def remove_repeats(df: DataFrame, length: int = 13, seed: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256, kept)`` for each row."""
+    arrow_rows(df, 10_000)  # what repeats inside a batch is settled there
     blank = F.coalesce(F.col(text_col), F.lit(""))
     last = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(blank), 3)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), blank.alias("text"), F.hash(blank).alias("rid"),
