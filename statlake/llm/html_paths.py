@@ -5,9 +5,16 @@ the text length and the punctuation of its nodes and their number; the text
 ratio (characters a node) and the punctuation ratio are smoothed along the page,
 so that a short block between long ones is lifted, fused by multiplication, and
 paths whose fused score falls too far below the best one are dropped.  Paths
-through parts that never hold the article (navigation, footers, forms, scripts,
-adverts, notices, comments, ...) are out from the start, and if the page marks
-its article, paths outside it are too.
+through elements that never hold the article (navigation, footers, forms,
+scripts, ...) are out from the start, and if the page marks its article, paths
+outside it are too.
+
+Inside a marked article the score decides as well, relative to the article's own
+paths, with the logarithm of the text ratio and a lower threshold: short blocks
+(headings, cells, items) stay, long runs of bare links go.  A class or role that
+tells of an advert, a notice, comments, ... sets its element apart as paths of
+their own; they stay only if one of them scores at least as well as the best path
+outside the element.
 
 The tokenizer is forgiving: a new paragraph, list item or table cell closes the
 open one with what hangs in it; unknown end tags are ignored; open tags end with
@@ -23,6 +30,8 @@ import html
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 import regex
@@ -43,6 +52,7 @@ CLOSED_BY = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]),
              "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "tr": frozenset(["tr"]), "option": frozenset(["option"])}
 #: Where the search for an element to close ends.
 SCOPE = frozenset("article aside body div footer form header main nav ol section table td th ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id or role that mark what is not the article (fixed values).
 NOISE = regex.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|menu|nav|navbar|navigation|"
                       r"breadcrumbs?|sidebar|side|footer|masthead|comment\w*|respond|disqus|share|sharing|social|related|recommend\w*|"
@@ -58,48 +68,74 @@ PUNCTUATION = regex.compile(r"[.,;:!?…。，、；：！？]")
 
 @dataclass
 class Node:
-    """A text block: its tag path, its text, and whether it may be content."""
+    """A text block: its tag path, its text, the characters of it that are no
+    link, whether it may be content, and the innermost element with a hint around
+    it (0: none)."""
 
     path: str
     text: str
+    plain: int
     allowed: bool
     in_article: bool
+    hint: int
+
+
+class State(NamedTuple):
+    """An open element, with what holds inside it."""
+
+    name: str = ""
+    allowed: bool = True
+    in_article: bool = False
+    hint: int = 0
+    linked: bool = False
 
 
-def text_nodes(page: str) -> Iterator[Node]:
-    """The page's blocks of text in order; inline elements do not cut a block."""
-    stack: list[tuple[str, bool, bool]] = []  # name, allowed, in article
+def text_nodes(page: str, parents: list[int]) -> Iterator[Node]:
+    """The page's blocks of text in order; inline elements do not cut a block.
+    ``parents`` gets, for each element with a hint (from 1 on, in page order),
+    the one around it."""
+    stack: list[State] = []
     pieces: list[str] = []
-    where: tuple[str, bool, bool] = ("", True, False)
+    linked = 0
+    where: tuple[str, State] = ("", State())
+    parents[:] = [0]
 
-    def state() -> tuple[str, bool, bool]:
-        top = stack[-1] if stack else ("", True, False)
-        return "/".join(n for n, _, _ in stack if n in BLOCK), top[1], top[2]
+    def state() -> tuple[str, State]:
+        return "/".join(e.name for e in stack if e.name in BLOCK), stack[-1] if stack else State()
 
     def flush() -> Iterator[Node]:
-        nonlocal pieces
+        nonlocal pieces, linked
         text = SPACE.sub(" ", "".join(pieces)).strip()
-        pieces = []
+        plain = max(0, len(text) - linked)
+        pieces, linked = [], 0
         if text:
-            yield Node(where[0], text, where[1], where[2])
+            yield Node(where[0], text, plain, where[1].allowed, where[1].in_article, where[1].hint)
+
+    def take(part: str) -> None:
+        nonlocal where, linked
+        if not pieces:
+            where = state()
+        text = html.unescape(part)
+        pieces.append(text)
+        if stack and stack[-1].linked:
+            linked += len(SPACE.sub(" ", text))
 
-    at, raw_until = 0, None
+    at = 0
     for m in TOKEN.finditer(page):
         if m.start() < at:
             continue  # inside raw text
         if m.start() > at:
-            if not pieces:
-                where = state()
-            pieces.append(html.unescape(page[at:m.start()]))
+            take(page[at:m.start()])
         at = m.end()
         name = m["name"]
         if name is None:
             continue
         name = name.lower()
         if m["end"]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
             if depth is not None:
-                if any(n in BLOCK for n, _, _ in stack[depth:]) or stack[-1][1] != (depth == 0 or stack[depth - 1][1]):
+                left = stack[depth - 1] if depth else State()
+                if any(e.name in BLOCK for e in stack[depth:]) or (stack[-1].allowed, stack[-1].hint) != (left.allowed, left.hint):
                     yield from flush()
                 del stack[depth:]
             continue
@@ -109,10 +145,10 @@ def text_nodes(page: str) -> Iterator[Node]:
         if name in BLOCK:
             yield from flush()
             for k in range(len(stack) - 1, -1, -1):
-                if name in CLOSED_BY.get(stack[k][0], ()):
+                if name in CLOSED_BY.get(stack[k].name, ()):
                     del stack[k:]
                     break
-                if stack[k][0] in SCOPE:
+                if stack[k].name in SCOPE:
                     break
         if name in RAW:
             closing = regex.compile(rf"</{regex.escape(name)}\b[^>]*>?", regex.I).search(page, at)
@@ -120,23 +156,24 @@ def text_nodes(page: str) -> Iterator[Node]:
             continue
         if name in VOID:
             continue
-        _, allowed, in_article = stack[-1] if stack else ("", True, False)
+        top = stack[-1] if stack else State()
         marks = " ".join(v[2] or v[3] or v[4] or "" for v in ATTRIBUTE.finditer(m["more"] or ""))
-        noisy = name in NEVER or NOISE.search(marks) or not in_article and (name == "header" or OUTER_NOISE.search(marks))
-        keep = allowed and (not noisy or name in ("html", "body", "article", "main"))
-        if keep != allowed:
+        article = name in ("article", "main")
+        noisy = name in NEVER or NOISE.search(marks) or not top.in_article and (name == "header" or OUTER_NOISE.search(marks))
+        keep = top.allowed and (not noisy or name in ("html", "body", "article", "main"))
+        hint = top.hint
+        if (keep, hint) != (top.allowed, top.hint):
             yield from flush()
-        stack.append((name, keep, in_article or name in ("article", "main")))
+        linked_here = top.linked or name == "a" and not any(e.name in HEADINGS for e in stack)
+        stack.append(State(name, keep, top.in_article or article, hint, linked_here))
     if at < len(page):
-        if not pieces:
-            where = state()
-        pieces.append(html.unescape(page[at:]))
+        take(page[at:])
     yield from flush()
 
 
-def smooth(values: list[float], radius: int = 2) -> list[float]:
+def smooth(values: list[float], radius: int = 6, width: float = 2.0) -> list[float]:
     """Gaussian-weighted means over the neighbours in page order."""
-    kernel = [math.exp(-k * k / 2) for k in range(-radius, radius + 1)]
+    kernel = [math.exp(-k * k / (2 * width * width)) for k in range(-radius, radius + 1)]
     out = []
     for i in range(len(values)):
         near = [(kernel[k + radius], values[i + k]) for k in range(-radius, radius + 1) if 0 <= i + k < len(values)]
@@ -144,26 +181,57 @@ def smooth(values: list[float], radius: int = 2) -> list[float]:
     return out
 
 
-def extract(page: str | None, least: float = 0.02) -> str:
+def path_scores(nodes: list[Node], marked: bool) -> list[float]:
+    """The fused score of each node's path; parts with a hint are scored apart."""
+    length, plain, marks, count, zones = {}, {}, {}, {}, {}
+    for i, n in enumerate(nodes):
+        key = n.hint, n.path
+        length[key] = length.get(key, 0) + len(n.text)
+        plain[key] = plain.get(key, 0) + n.plain
+        marks[key] = marks.get(key, 0) + len(PUNCTUATION.findall(n.text))
+        count[key] = count.get(key, 0) + 1
+        zones.setdefault(n.hint, []).append(i)
+    fused = dict.fromkeys(count, 0.0)
+    for hint, inside in zones.items():
+        keys = [(hint, nodes[i].path) for i in inside]
+        text_ratio = smooth([math.log1p(plain[k] / count[k]) if marked else length[k] / count[k] for k in keys])
+        mark_ratio = smooth([((count[k] if marked else 1) + marks[k]) / count[k] for k in keys])
+        for k, a, b in zip(keys, text_ratio, mark_ratio, strict=True):
+            fused[k] += a * b / count[k]
+    for k, n in count.items():
+        fused[k] *= (plain[k] + n) / (length[k] + n)
+    return [fused[n.hint, n.path] for n in nodes]
+
+
+def refuted_hints(nodes: list[Node], scores: list[float], parents: list[int]) -> list[bool]:
+    """For each element with a hint whether it and all such around it hold a path
+    that scores at least as well as the best one outside it."""
+    first, last, best = [len(nodes)] * len(parents), [-1] * len(parents), [0.0] * len(parents)
+    for i, n in enumerate(nodes):
+        first[n.hint], last[n.hint], best[n.hint] = min(first[n.hint], i), i, max(best[n.hint], scores[i])
+    for h in range(len(parents) - 1, 0, -1):  # an element's number is above that of the one around it
+        p = parents[h]
+        first[p], last[p], best[p] = min(first[p], first[h]), max(last[p], last[h]), max(best[p], best[h])
+    before, after = list(accumulate(scores, max, initial=0.0)), list(accumulate(reversed(scores), max, initial=0.0))[::-1]
+    out = [True] * len(parents)
+    for h in range(1, len(parents)):
+        out[h] = out[parents[h]] and last[h] >= 0 and best[h] >= max(before[first[h]], after[last[h] + 1])
+    return out
+
+
+def extract(page: str | None, least: float = 0.02, least_marked: float = 0.001) -> str:
     """The blocks of the content paths, one a line."""
-    nodes = [n for n in text_nodes(page or "") if n.allowed]
-    if any(n.in_article for n in nodes):
+    parents: list[int] = []
+    nodes = [n for n in text_nodes(page or "", parents) if n.allowed]
+    marked = any(n.in_article for n in nodes)
+    if marked:
         nodes = [n for n in nodes if n.in_article]
     if not nodes:
         return ""
-    length, marks, count = {}, {}, {}
-    for n in nodes:
-        length[n.path] = length.get(n.path, 0) + len(n.text)
-        marks[n.path] = marks.get(n.path, 0) + len(PUNCTUATION.findall(n.text))
-        count[n.path] = count.get(n.path, 0) + 1
-    text_ratio = smooth([length[n.path] / count[n.path] for n in nodes])
-    mark_ratio = smooth([(1 + marks[n.path]) / count[n.path] for n in nodes])
-    fused = dict.fromkeys(count, 0.0)
-    for n, a, b in zip(nodes, text_ratio, mark_ratio, strict=True):
-        fused[n.path] += a * b / count[n.path]
-    best = max(fused.values())
-    marked = any(n.in_article for n in nodes)  # the page's own mark needs no second threshold
-    return "\n".join(n.text for n in nodes if marked or fused[n.path] >= least * best)
+    scores = path_scores(nodes, marked)
+    believed = refuted_hints(nodes, scores, parents)
+    floor = (least_marked if marked else least) * max(s for n, s in zip(nodes, scores, strict=True) if believed[n.hint])
+    return "\n".join(n.text for n, s in zip(nodes, scores, strict=True) if believed[n.hint] and s >= floor)
 
 
 def extract_main_text(df: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

@@ -279,6 +279,16 @@ def test_paths_without_an_article_mark():
     assert html_paths.extract(f"<body>{links}{body}</body>").count("\n") == 8
 
 
+PARAGRAPH = "<p>A paragraph with several words, some marks, and a second sentence. It goes on.</p>"
+
+
+def test_score_decides_inside_the_article():
+    items = "".join(f"<li><a href=#>other page {i}</a>" for i in range(80))
+    cells = "".join(f"<tr><td>{i}<td>{i % 7}" for i in range(300))
+    got = html_paths.extract(f"<article><h1><a href=/>Title</a></h1>{PARAGRAPH * 5}<ul>{items}</ul><table>{cells}</table><ol><li><a href=/>Source</a></ol></article>").split("\n")
+    assert got[0] == "Title" and got[-1] == "Source" and len(got) == 1 + 5 + 600 + 1  # the long run of bare links is out, short blocks are not
+
+
 # ---- 6, repeated passages
 
 def brute_repeats(table, length=13):
