@@ -53,15 +53,15 @@ CLOSED_BY = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]),
 #: Where the search for an element to close ends.
 SCOPE = frozenset("article aside body div footer form header main nav ol section table td th ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words in class, id or role that mark what is not the article (fixed values).
-NOISE = regex.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|menu|nav|navbar|navigation|"
+#: Whole class names and roles that hint at what is not the article (fixed values).
+NOISE = regex.compile(r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|menu|nav|navbar|navigation|"
                       r"breadcrumbs?|sidebar|side|footer|masthead|comment\w*|respond|disqus|share|sharing|social|related|recommend\w*|"
-                      r"newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|copyright|legal)(?:$|[\s_-])", regex.I)
+                      r"newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|copyright|legal", regex.I)
 #: The same, but only outside the article (inside it a header holds its title).
-OUTER_NOISE = regex.compile(r"(?:^|[\s_-])(?:header|top)(?:$|[\s_-])", regex.I)
+OUTER_NOISE = regex.compile(r"header|top", regex.I)
 TOKEN = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
                       r"(?P<more>(?:[^>\"']|\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))*+)(?:>|$)", regex.S)
-ATTRIBUTE = regex.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", regex.I)
+ATTRIBUTE = regex.compile(r"""(?<![^\s"'/])(class|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", regex.I)
 SPACE = regex.compile(r"\s+")
 PUNCTUATION = regex.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -157,11 +157,13 @@ def text_nodes(page: str, parents: list[int]) -> Iterator[Node]:
         if name in VOID:
             continue
         top = stack[-1] if stack else State()
-        marks = " ".join(v[2] or v[3] or v[4] or "" for v in ATTRIBUTE.finditer(m["more"] or ""))
+        marks = [x for v in ATTRIBUTE.finditer(m["more"] or "") for x in (v[2] or v[3] or v[4] or "").split()]
         article = name in ("article", "main")
-        noisy = name in NEVER or NOISE.search(marks) or not top.in_article and (name == "header" or OUTER_NOISE.search(marks))
-        keep = top.allowed and (not noisy or name in ("html", "body", "article", "main"))
+        keep = top.allowed and name not in NEVER and (top.in_article or name != "header")
         hint = top.hint
+        if keep and not article and name not in ("html", "body") and any(NOISE.fullmatch(x) or not top.in_article and OUTER_NOISE.fullmatch(x) for x in marks):
+            hint = len(parents)
+            parents.append(top.hint)
         if (keep, hint) != (top.allowed, top.hint):
             yield from flush()
         linked_here = top.linked or name == "a" and not any(e.name in HEADINGS for e in stack)

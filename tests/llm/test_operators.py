@@ -289,6 +289,14 @@ def test_score_decides_inside_the_article():
     assert got[0] == "Title" and got[-1] == "Source" and len(got) == 1 + 5 + 600 + 1  # the long run of bare links is out, short blocks are not
 
 
+def test_ordinary_class_and_id_words_drop_nothing():
+    body = "\n".join(["A paragraph with several words, some marks, and a second sentence. It goes on."] * 3)
+    for wrapper in ('class="content with-sidebar"', 'id="post" class="has-comments"', 'class="top-story"', 'class="header-layout"', 'class="main sidebar"'):
+        assert html_paths.extract(f"<body><div {wrapper}>{PARAGRAPH * 3}<div class=ad>Buy now!</div></div></body>") == body
+    parts = '<h2 id="side-effects">Effects</h2><h2 id="related-work">Work</h2><p class="notice-period">Period</p><section id="search-algorithms"><p>Search</p></section>'
+    assert html_paths.extract(f"<article>{PARAGRAPH * 3}{parts}<div class=ad>Buy now!</div></article>") == body + "\nEffects\nWork\nPeriod\nSearch"
+
+
 # ---- 6, repeated passages
 
 def brute_repeats(table, length=13):
