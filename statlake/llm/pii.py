@@ -4,15 +4,18 @@ Protected entities are e-mail addresses, IP addresses, payment cards and phone
 numbers found by pattern.  How strongly a term reveals an entity is estimated
 from co-occurrence in the corpus's lines:
 
-    disclosure(t, e) = PMI(t; e) / IC(e),   PMI = log N n(t, e) / (n(t) n(e)),
-    IC = log N / n(e)
-
-with N lines, n() of which hold the term, the entity or both.  It is 1 when the
-term occurs nowhere but beside the entity.  A term above the threshold with at
-least ``min_support`` *different* lines behind it (copies of a line count once
-there) is generalised to its kind, above the higher threshold removed, wherever
-it occurs.  Terms are counted only if they stand beside an entity, so the count
-over the corpus ships few rows.
+    disclosure(t, e) = (PMI(t; e) - doubt) / IC(e)
+    PMI = log N n(t, e) / (n(t) n(e)),   IC = log N / n(e)
+
+with N lines, n(t) of which hold the term, n(e) hold the entity or are at most
+``near_lines`` lines away from it, and n(t, e) do both.  PMI / IC is 1 when the
+term occurs nowhere but beside the entity.  Few *different* lines behind a pair
+(copies of a line count once there) lower its score: doubt is ``doubt`` * (1 /
+lines - 1 / ``min_support``), nothing from ``min_support`` on; no pair is left
+out.  A term above the threshold is generalised to its kind, above the higher
+threshold removed, wherever it occurs.  As n(t) is at least n(t, e), a pair's
+score is at most 1 - doubt / IC; pairs that cannot reach the threshold even so
+are not counted over the corpus, which ships few rows and changes no result.
 
 Patterns are written with possessive repeats and look-behinds that give the same
 matches as the plain ones in linear time and without recursion.
@@ -54,7 +57,12 @@ class Disclosure:
 
     generalise_at: float = 0.90
     remove_at: float = 0.97
+    #: Different lines from which a pair's score is not lowered.
     min_support: int = 5
+    #: Nats of doubt in a single line (the 95% bound), before what min_support lines leave.
+    doubt: float = 3.0
+    #: Lines before and after an entity's that count as beside it.
+    near_lines: int = 1
     #: Tables of at most so many rows and bytes are broadcast, larger ones joined by shuffle.
     broadcast_rows: int = 50_000
     broadcast_bytes: int = 16 << 20
@@ -153,31 +161,40 @@ def disclosing_terms(texts: DataFrame, limits: Disclosure = Disclosure(), text_c
     ``texts`` needs one text column."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     any_hint = reduce(or_, [_may_have(text, hint) for _, hint in KINDS.values()])
-    lines = texts.filter(any_hint).select(F.explode(F.split(text, "\n")).alias("line"))
-    def entities(kind, pattern):
-        values = F.filter(F.regexp_extract_all(F.col("line"), F.lit(pattern), F.lit(0)), lambda v: _valid(kind, v))
-        return F.transform(values, lambda v: F.xxhash64(F.lit(kind), F.lower(v)))
-
-    found = [entities(kind, pattern) for kind, (pattern, _) in KINDS.items()]
-    blank = reduce(lambda line, pattern: F.regexp_replace(line, pattern, " "), [p for p, _ in KINDS.values()], F.col("line"))
-    marked = (lines.select("line", F.array_distinct(F.concat(*found)).alias("entities")).filter(F.size("entities") > 0)
-              .select(F.xxhash64("line").alias("copy"), F.explode("entities").alias("entity"), _terms(blank).alias("terms")))
+
+    def entities(line):
+        def of_kind(kind, pattern):
+            values = F.filter(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)), lambda v: _valid(kind, v))
+            return F.transform(values, lambda v: F.xxhash64(F.lit(kind), F.lower(v)))
+        return F.array_distinct(F.concat(*[of_kind(kind, pattern) for kind, (pattern, _) in KINDS.items()]))
+
+    def beside_entities(line, i):
+        first = F.greatest(i - limits.near_lines, F.lit(0))
+        near = F.array_distinct(F.flatten(F.slice("own", first + 1, i + limits.near_lines + 1 - first)))
+        return F.struct(line.alias("line"), near.alias("entities"))
+
+    blank = reduce(lambda line, pattern: F.regexp_replace(line, pattern, " "), [p for p, _ in KINDS.values()], F.col("at.line"))
+    marked = (texts.filter(any_hint).select(F.split(text, "\n").alias("lines")).withColumn("own", F.transform("lines", entities))
+              .filter(F.exists("own", lambda e: F.size(e) > 0))
+              .select(F.explode(F.filter(F.transform("lines", beside_entities), lambda x: F.size(x["entities"]) > 0)).alias("at"))
+              .select(F.xxhash64("at.line").alias("copy"), F.col("at.entities").alias("entities"), _terms(blank).alias("terms"))
+              .select("copy", F.explode("entities").alias("entity"), "terms"))
     marked = cut_lineage(marked, "entity-lines")
-    n_entity = marked.groupBy("entity").agg(F.count("*").alias("n_e"))
+    total = texts.select(F.coalesce(F.sum(F.length(text) - F.length(F.translate(text, "\n", "")) + 1), F.lit(0))).first()[0]
+    content = F.log(F.lit(float(max(1, total))) / F.col("n_e"))
+    doubt = limits.doubt * F.greatest(1 / F.col("support") - 1 / limits.min_support, F.lit(0.0))
+    n_entity = marked.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") < total)
     beside = (marked.select("entity", "copy", F.explode("terms").alias("term")).groupBy("entity", "term", "copy").count()
-              .groupBy("entity", "term").agg(F.sum("count").alias("n_et"), F.count("*").alias("support"))
-              .filter(F.col("support") >= limits.min_support))
-    candidates = cut_lineage(beside.join(n_entity, "entity"), "candidates")
+              .groupBy("entity", "term").agg(F.sum("count").alias("n_et"), F.count("*").alias("support")))
+    candidates = beside.join(n_entity, "entity").filter(1 - doubt / content >= limits.generalise_at)  # the most they can reach
+    candidates = cut_lineage(candidates, "candidates")
     wanted = _small(candidates.select("term").distinct(), limits)
     line = F.explode(F.split(text, "\n")).alias("line")
-    n_lines = texts.select(F.coalesce(F.sum(F.length(text) - F.length(F.translate(text, "\n", "")) + 1), F.lit(0)).alias("n"))
     n_term = (texts.select(line).select(F.explode(_terms(F.col("line"))).alias("term")).join(wanted, "term")
               .groupBy("term").agg(F.count("*").alias("n_t")))
-    total = n_lines.first()[0]
     informed = F.log(F.lit(float(max(1, total))) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    content = F.log(F.lit(float(max(1, total))) / F.col("n_e"))
-    return (candidates.join(n_term, "term").filter(F.col("n_e") < total)
-            .groupBy("term").agg(F.max(informed / content).alias("disclosure")).filter(F.col("disclosure") >= limits.generalise_at))
+    return (candidates.join(n_term, "term").groupBy("term").agg(F.max((informed - doubt) / content).alias("disclosure"))
+            .filter(F.col("disclosure") >= limits.generalise_at))
 
 
 def _small(df: DataFrame, limits: Disclosure) -> DataFrame:

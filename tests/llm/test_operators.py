@@ -92,6 +92,18 @@ def test_disclosing_terms_and_sanitised_text(spark):
     assert df.columns == pii.sanitise(df, limits).columns
 
 
+def test_few_lines_lower_a_score_and_exclude_nothing(spark):
+    plain = [f"number {i} writes about nothing much today" for i in range(4000)]
+    beside = [f"write to ann{n}@corp.org about item {i}\nsincerely Qyl{n} in room {i}" for n, times in ((1, 1), (2, 2), (3, 3), (4, 4), (5, 5)) for i in range(times)]
+    far = [f"write to ann6@corp.org about item {i}\nnothing\nsincerely Qyl6 in room {i}" for i in range(4)]
+    df = spark.createDataFrame([(t,) for t in [*plain, *beside, *far]], "text string")
+    got = {r["term"]: r["disclosure"] for r in rows(pii.disclosing_terms(df))}
+    names = [got.get(f"qyl{n}", 0.0) for n in range(1, 7)]
+    assert 0.9 <= names[2] < names[3] < 1 and names[4] == pytest.approx(1) and names[0] < 0.9 and names[5] == 0
+    assert names[3] == pytest.approx(1 - 3 * (1 / 4 - 1 / 5) / math.log(df.select(F.sum(F.size(F.split("text", "\n")))).first()[0] / 8))
+    assert "number" not in got and "sincerely" not in got
+
+
 def test_overlapping_spans_are_replaced_once(spark):
     df = spark.createDataFrame([("card 4111111111111111 or +4111111111 1111 end",)], "text string")
     got = df.select(pii.sanitised(F.col("text"), pii.base_spans(F.col("text"))).alias("x")).first()[0]
