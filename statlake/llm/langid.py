@@ -9,8 +9,13 @@ each language is written in are learned with it.
 Prediction: a word's script narrows its candidate languages; each candidate's
 score is the mean-free log-likelihood of the word's n-grams; Viterbi over the
 words of a text, with a penalty for each switch, labels spans.  The text's
-language is the one with most letters (ties: first by name), its score the
-share of letters so labelled.
+language is the one with most letters (ties: first by name).  Its score is the
+share of letters so labelled, less where they do not look like the language:
+their log-likelihood a letter, against n-grams drawn at random, is compared with
+what the language's own sample has, and below ``FULL`` of that the score falls in
+proportion, to 0 for none.  Short texts are judged as if ``PRIOR_LETTERS`` letters
+of the language stood beside them.  Letters of a script that no learned language
+is written in count for no language.
 
 Defined results: null text, or text without a letter: ``und`` and 0.0; no
 labelled row at all: ``und`` for every text; a null id is never held out and
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain, pairwise
@@ -35,6 +41,9 @@ from statlake.llm.bpe_tree import _in_slices
 from statlake.llm.common import arrow_rows, free_name, words
 
 BUCKETS = 1 << 15
+#: Share of the expected log-likelihood a letter from which nothing is taken off a score.
+FULL = 0.5
+PRIOR_LETTERS = 20
 #: A classifier for more languages than this is refused (the labels are collected).
 MAX_LANGUAGES = 1000
 #: Words a worker remembers.
@@ -47,11 +56,11 @@ SCRIPTS = ((0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530,
            (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"), (0x13A0, "other"), (0x1E00, "Latin"),
            (0x1F00, "Greek"), (0x2000, "other"), (0x3040, "Kana"), (0x3100, "other"), (0x3400, "Han"),
            (0xA000, "other"), (0xAC00, "Hangul"), (0xD7B0, "other"), (0xF900, "Han"), (0xFB00, "other"))
-_STARTS = np.array([s for s, _ in SCRIPTS])
+_STARTS = [s for s, _ in SCRIPTS]
 
 
 def script_of(letter: str) -> str:
-    return SCRIPTS[int(np.searchsorted(_STARTS, ord(letter), "right")) - 1][1]
+    return SCRIPTS[bisect_right(_STARTS, ord(letter)) - 1][1]
 
 
 def letters_of(word: str) -> str:
@@ -85,6 +94,10 @@ class Model:
     weight: np.ndarray
     #: script -> mask of the languages written in it
     scripts: dict[str, np.ndarray]
+    #: that mean by bucket, over a bucket drawn at random, in nats
+    mean: np.ndarray
+    #: nats a letter of each language's sample, over buckets drawn at random
+    expected: np.ndarray
     penalty: float = 12.0
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -107,21 +120,32 @@ def reader(model: Model) -> Reader:
 
 class Reader:
     """Labels texts by a model, with bounded caches: place of a word as written
-    and of its letters, scores and letter counts by place."""
+    and of its letters, and by place: scores, nats of the mean over languages, letter
+    counts, and how many of them are in a learned script."""
 
     def __init__(self, model: Model):
         self.model = model
         self.languages, self.weight, self.scripts, self.penalty = model.languages, model.weight, model.scripts, model.penalty
-        self.index: dict[str, int] = {}
-        self.bare: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.languages)), np.float32)
-        self.letters = np.zeros(0, np.int64)
+        #: script -> positions of the languages not written in it
+        self.others = {script: np.flatnonzero(~mask) for script, mask in model.scripts.items()}
+        self.index: dict[str, int]
+        self.bare: dict[str, int]
+        self.forget()
+
+    def forget(self) -> None:
+        self.index, self.bare = {}, {}
+        self.scores, self.mean = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.float32)
+        self.letters, self.known = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def known_letters(self, word: str) -> int:
+        if max(word) < "\u0370":
+            return len(word) if "Latin" in self.scripts else 0
+        return sum(script_of(c) in self.scripts for c in word)
 
     def learn_words(self, found: list[str]) -> None:
         """Enter new words and their scores into the caches."""
         if len(self.index) > CACHE_WORDS:
-            self.index, self.bare = {}, {}
-            self.scores, self.letters = np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.int64)
+            self.forget()
         new: list[str] = []
         for w in dict.fromkeys(found):
             if w in self.index:
@@ -138,43 +162,61 @@ class Reader:
         where, place = features(new)
         for j in range(len(self.languages)):
             scores[:, j] = np.bincount(place, self.weight[where, j], len(new))
+        known = np.zeros(len(new), np.int64)
         for k, kept in enumerate(new):
-            mask = self.scripts.get(script_of(kept[0])) if kept else None
-            if mask is None:
+            script = script_of(kept[0]) if kept else ""
+            if script not in self.others:
                 scores[k] = 0
-            elif not mask.all():
-                scores[k, ~mask] = -1e4
+                continue
+            known[k] = self.known_letters(kept)
+            if len(self.others[script]):
+                scores[k, self.others[script]] = -1e4
         self.scores = np.concatenate([self.scores, scores])
+        self.mean = np.concatenate([self.mean, np.bincount(place, self.model.mean[where], len(new)).astype(np.float32)])
+        self.known = np.concatenate([self.known, known])
         self.letters = np.concatenate([self.letters, [len(w) for w in new]])
 
-    def spans(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """For each text its words' languages (positions) and letter counts."""
+    def labels(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All texts' words in turn: their languages (positions) and places, and
+        where each text begins and the last one ends."""
         found = [(t or "").split() for t in texts]
-        sizes = np.array([len(w) for w in found], np.int64)
-        edges = np.concatenate([[0], np.cumsum(sizes)])
+        edges = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
         every = list(chain.from_iterable(found))
-        if not every or not self.languages:
-            return [np.zeros(n, np.int64) for n in sizes], [np.zeros(n, np.int64) for n in sizes]
+        if not every:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), edges
         places = list(map(self.index.get, every))
         if None in places:
             self.learn_words(every)
             places = list(map(self.index.__getitem__, every))
         flat = np.array(places, np.int64)
-        path, letters = viterbi(self.scores, flat, edges, self.penalty), self.letters[flat]
+        return viterbi(self.scores, flat, edges, self.penalty), flat, edges
+
+    def spans(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """For each text its words' languages (positions) and letter counts."""
+        if not self.languages:
+            sizes = [len((t or "").split()) for t in texts]
+            return [np.zeros(n, np.int64) for n in sizes], [np.zeros(n, np.int64) for n in sizes]
+        path, flat, edges = self.labels(texts)
+        letters = self.letters[flat]
         return [path[a:b] for a, b in pairwise(edges)], [letters[a:b] for a, b in pairwise(edges)]
 
     def predict(self, texts: list[str | None]) -> pa.StructArray:
-        langs, scores = [], []
-        for path, letters in zip(*self.spans(texts), strict=True):
-            total = letters.sum()
-            if not total:
-                langs.append("und")
-                scores.append(0.0)
-                continue
-            share = np.bincount(path, weights=letters, minlength=len(self.languages)) / total
-            best = int(np.argmax(share))
-            langs.append(self.languages[best])
-            scores.append(float(share[best]))
+        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+        if self.languages and texts:
+            path, flat, edges = self.labels(texts)
+            n, count = len(texts), len(self.languages)
+            text = np.repeat(np.arange(n), np.diff(edges))
+            cell = text * count + path
+            known = self.known[flat]
+            total = np.bincount(text, self.letters[flat], n)
+            mine = np.bincount(cell, known, n * count).reshape(n, count)
+            nats = np.bincount(cell, np.where(known > 0, self.scores[flat, path] + self.mean[flat], 0), n * count).reshape(n, count)
+            best = mine.argmax(axis=1)
+            mine, nats, expected = mine[np.arange(n), best], nats[np.arange(n), best], self.model.expected[best]
+            found = (nats + PRIOR_LETTERS * expected) / (mine + PRIOR_LETTERS)
+            belief = np.where(expected > 0, np.clip(found / (FULL * np.maximum(expected, 1e-9)), 0, 1), 1)
+            for k in np.flatnonzero(total):
+                langs[k], scores[k] = self.languages[best[k]], float(belief[k] * (mine[k] / total[k]))
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
 
@@ -252,10 +294,13 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     columns = [place[name] for name in learned["lang"].to_pylist()]
     counts[learned["bucket"].to_numpy(), np.array(columns, np.int64)] = learned["n"].to_numpy()
     weight = np.log(counts + 0.5) - np.log(counts.sum(axis=0) + 0.5 * BUCKETS)
-    weight -= weight.mean(axis=1, keepdims=True) if languages else 0
     in_all = np.zeros(len(languages))
     for r in scripts:
         in_all[place[r["lang"]]] += r["n"]
+    over = weight + np.log(BUCKETS)
+    expected = (counts * over).sum(axis=0) / np.maximum(in_all, 1)
+    mean = over.mean(axis=1) if languages else np.zeros(BUCKETS)
+    weight -= weight.mean(axis=1, keepdims=True) if languages else 0
     masks: dict[str, np.ndarray] = {}
     shares: dict[tuple[str, str], float] = {}
     for r in scripts:
@@ -264,7 +309,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     for (script, lang), share in shares.items():
         if share >= least_share:
             masks.setdefault(script, np.zeros(len(languages), bool))[place[lang]] = True
-    return Model(languages, weight.astype(np.float32), masks, penalty)
+    return Model(languages, weight.astype(np.float32), masks, mean.astype(np.float32), expected.astype(np.float64), penalty)
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
@@ -281,8 +326,8 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str =
 
 
 def keep_identified(df: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """The rows whose text has one language for at least ``least_score`` of its
-    letters; the columns of ``df``."""
+    """The rows whose text has one language, by a score of at least
+    ``least_score``; the columns of ``df``."""
     lang, score = free_name(df, "lang_pred"), free_name(df, "score")
     found = predict(df, train(df), lang_col=lang, score_col=score)
     return found.filter((F.col(lang) != "und") & (F.col(score) >= least_score)).select(*df.columns)

@@ -220,6 +220,22 @@ def test_language_spans_and_edges(small, docs, empty):
     assert kept.count() >= 0.95 * small.count() and "score" in kept.columns
 
 
+def test_foreign_scripts_and_gibberish_are_rejected(spark, small):
+    import random
+
+    rnd = random.Random(3)
+    noise = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 10))) for _ in range(80))
+    planted = ["Это обычный русский текст о погоде и природе. " * 3, "สวัสดีครับ ผมชื่อ ไทย " * 5, "日本語の文章です。" * 9, noise, "xqzt wvkj " * 30,
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. " * 2]
+    docs = small.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(planted)], "doc_id long, text string, lang string"))
+    found = {r["doc_id"]: r for r in rows(langid.predict(docs, langid.train(docs)))}
+    kept = {r["doc_id"] for r in rows(langid.keep_identified(docs))}
+    assert [found[-1 - k]["score"] for k in range(3)] == [0.0] * 3 and {found[-1 - k]["lang_pred"] for k in range(6)} <= {"de", "en", "es", "fr"}
+    assert not any(-1 - k in kept for k in range(6)) and {r["doc_id"] for r in rows(small)} <= kept
+    half = langid.train(small).predict(["the and that " * 20 + "погоде и природе " * 20]).to_pylist()[0]
+    assert half["lang"] == "en" and 0.3 < half["score"] < 0.5
+
+
 def test_viterbi_against_all_paths():
     import itertools
 
