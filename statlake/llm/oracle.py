@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from statlake.llm import collocations
 from statlake.llm.quality_sketch import GRID, RATIOS, Rules
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -60,3 +61,26 @@ FROM counts JOIN limits ON limits.lang IS NOT DISTINCT FROM counts.lang AND limi
 
 
 QUALITY = _quality()
+
+
+def _collocations(rules: collocations.Rules = collocations.Rules()) -> str:
+    grams = "\nUNION ALL\n".join(
+        f"SELECT lang, {n} AS m, ws[i:i + {n - 1}] AS p FROM (SELECT lang, ws, unnest(range(1, len(ws) - {n - 2})) AS i FROM pieces)" for n in range(1, rules.longest + 1))
+    return f"""WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS t FROM documents),
+pieces AS (SELECT lang, list_filter(string_split_regex(t, '[\\x20\\x09]+'), lambda w: w <> '') AS ws FROM piece),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS ({grams}),
+f AS (SELECT lang, m, p, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, m, p HAVING count(*) >= {rules.least}),
+cuts AS (SELECT c.lang, c.p, c.m, c.f AS a, k, x.f AS l, y.f AS r, {rules.scale} * c.f // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) c JOIN f x ON x.lang = c.lang AND x.m = k AND x.p = c.p[1:k]
+  JOIN f y ON y.lang = c.lang AND y.m = c.m - k AND y.p = c.p[k + 1:c.m]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, f, p[i:i + n - 1] AS p FROM (SELECT *, unnest(range(1, m - n + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS n FROM f WHERE m > 2))),
+gone AS (SELECT DISTINCT b.lang, b.p FROM best b JOIN inner_parts q ON q.lang = b.lang AND q.p = b.p WHERE 100 * q.f >= {rules.subsumed} * b.a),
+ranked AS (SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, score FROM best b ANTI JOIN gone g ON g.lang = b.lang AND g.p = b.p)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked) JOIN totals USING (lang) WHERE rank <= {rules.top}"""
+
+
+COLLOCATIONS = _collocations()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import bpe_heap, bpe_tree, cws, html_paths, langid, mixing, ngram_join, oracle, pii, quality_sketch, simhash_trie, substr
+from statlake.llm import bpe_heap, bpe_tree, collocations, cws, html_paths, langid, mixing, ngram_join, oracle, pii, quality_sketch, simhash_trie, substr, token_align
 from statlake.llm.common import hex_digest, table
 
 
@@ -84,12 +84,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(bpe_tree.bpe_encode(docs, vocab_path("word_bpe_49k.json")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), ngram_join.Rule(words=4, percent=85))
 
 
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab_path("byte_bpe_50k.json"), vocab_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_langid, op4_token_count, op5_html, op6_substring, op7_fingerprint, op8_mixing, op9_quality, op10_bpe,
-                                   op12_ngram_join)}
+                                   op11_collocations, op12_ngram_join, op13_token_align)}
 
 #: SQL cannot express the others; the tests hold them against brute force.
-ORACLE: dict[str, str] = {"op6_substring": oracle.SUBSTRING, "op9_quality": oracle.QUALITY}
+ORACLE: dict[str, str] = {"op6_substring": oracle.SUBSTRING, "op9_quality": oracle.QUALITY, "op11_collocations": oracle.COLLOCATIONS}
