@@ -104,8 +104,8 @@ def decode_axes(obs: DataFrame, classes: DataFrame, axes: list[str] | None = Non
             spread = F.pmod(F.xxhash64(*[obs[c] for c in obs.columns if not isinstance(obs.schema[c].dataType, MapType)]), F.lit(4096))
             code = F.coalesce(code, F.concat(F.lit("\u0000none-"), spread.cast("string")))
         cond = code == lookup[f"__{axis}_code"]
-        for k in keys:
-            cond = cond & (obs[k] == lookup[f"__{axis}_{k}"])
+        for k in keys:  # null is a value: pages that name no language carry their own lists
+            cond = cond & obs[k].eqNullSafe(lookup[f"__{axis}_{k}"])
         out = out.join(lookup, cond, "left")
     decoded = [s["axis"] for s in summary]
     exprs: dict[str, object] = {}

@@ -126,6 +126,60 @@ def missing_pages(plan: DataFrame, manifest: DataFrame, keys: list[str] | None =
     return plan.join(landed, on=[*keys, "offset"], how="left_anti")
 
 
+def _islands(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Runs of ranges that touch or overlap within ``by``, as one range each."""
+    order = Window.partitionBy(*by).orderBy("from_number", "to_number")
+    reach = F.max("to_number").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(reach.isNull() | (F.col("from_number") > reach + 1), 1).otherwise(0)
+    number = F.sum("__first").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    runs = rows.withColumn("__first", first).withColumn("__run", number)
+    return runs.groupBy(*by, "__run").agg(F.min("from_number").alias("from_number"), F.max("to_number").alias("to_number")).drop("__run")
+
+
+def landed_ranges(manifest: DataFrame, keys: list[str] | None = None, span: int = 10 * MAX_RECORDS_PER_PAGE) -> DataFrame:
+    """Row ranges that are covered by landed pages, whatever their sizes:
+    ``(keys..., from_number, to_number)``, one row for each unbroken range.
+
+    Pages are merged inside spans of the row number first, so a table with very
+    many pages is spread over tasks and only its spans' ranges meet in one."""
+    keys = keys or [k for k in PAGE_KEYS if k in manifest.columns]
+    if "ok" in manifest.columns:
+        manifest = manifest.where(F.col("ok"))
+    pages = manifest.select(*keys, "from_number", "to_number").where("from_number is not null and to_number >= from_number")
+    pages = pages.withColumn("__span", F.floor(F.col("from_number") / span))
+    return _islands(_islands(pages, [*keys, "__span"]).drop("__span"), keys)
+
+
+def missing_ranges(targets: DataFrame, manifest: DataFrame, keys: list[str] | None = None, start: int = 1,
+                   limit: int | None = None) -> DataFrame:
+    """Rows still to be pulled: the gaps that landed pages of any size leave
+    between ``start`` and each target's ``total_number`` (at most ``limit`` rows)."""
+    keys = keys or [k for k in PAGE_KEYS if k in targets.columns and k in manifest.columns]
+    last = F.col("total_number")
+    if limit is not None:
+        last = F.least(last, F.lit(start + limit - 1).cast("bigint"))
+    wanted = targets.select(*keys, last.alias("__last")).where(F.col("__last") >= start).groupBy(*keys).agg(F.max("__last").alias("__last"))
+    have = landed_ranges(manifest, keys).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("from_number").alias("__from"), F.col("to_number").alias("__to"))
+    match = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    met = wanted.join(have, [*match, F.col("__from") <= F.col("__last"), F.col("__to") >= start], "left")
+    order = Window.partitionBy(*keys).orderBy("__from")
+    met = met.withColumns({"__before": F.lag("__to").over(order), "__next": F.lead("__from").over(order)})
+    gap = lambda a, b: F.struct(a.alias("from_number"), b.alias("to_number"))
+    begin = F.lit(start).cast("bigint")
+    ahead = gap(F.greatest(F.coalesce(F.col("__before") + 1, begin), begin), F.least(F.coalesce(F.col("__from") - 1, F.col("__last")), F.col("__last")))
+    behind = F.when(F.col("__from").isNotNull() & F.col("__next").isNull(), gap(F.col("__to") + 1, F.col("__last")))
+    gaps = met.select(*keys, F.explode(F.array_compact(F.array(ahead, behind))).alias("g"))
+    return gaps.select(*keys, "g.from_number", "g.to_number").where("from_number <= to_number")
+
+
+def plan_ranges(ranges: DataFrame, page_size: int = MAX_RECORDS_PER_PAGE, keys: list[str] | None = None) -> DataFrame:
+    """Page requests ``(keys..., offset, size)`` that fill ``missing_ranges``."""
+    keys = keys or [k for k in PAGE_KEYS if k in ranges.columns]
+    size = F.lit(page_size).cast("bigint")
+    offsets = ranges.select(*keys, "to_number", F.explode(F.sequence("from_number", "to_number", size)).alias("offset"))
+    return offsets.select(*keys, "offset", F.least(size, F.col("to_number") - F.col("offset") + 1).alias("size"))
+
+
 def split_batches(plan: DataFrame, size: int, keys: list[str] | None = None,
                   order_col: str = "offset") -> DataFrame:
     """Number pending pages into batches of ``size`` per table (by position

@@ -12,15 +12,15 @@ from __future__ import annotations
 import threading
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statlake.model import CLASSES_SCHEMA, NOTES_SCHEMA
+from statlake.model import CLASSES_SCHEMA, NOTES_SCHEMA, OBSERVATION_SCHEMA, PAGE_INFO_SCHEMA
 from statlake.plans import testdata as td
 from statlake.session import checkpoint_dir, cut_lineage, scratch_path
-
-PAGE_KEY = ["stats_data_id", "lang", "query_fingerprint", "page_offset"]
+from statlake.sources.responses import PAGE_KEY, left_out, page_classes, page_notes, page_values, parsed_pages
 
 _LOCK = threading.RLock()
 _LANDED: dict[tuple[str, str], str] = {}
@@ -90,59 +90,76 @@ def landed_cube(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def land_responses(bodies: DataFrame, base: str) -> None:
-    """Sink for landed data pages: observations, code lists, notes, failed pages
-    and a page manifest as parquet under ``base``.
+MANIFEST_SCHEMA = T.StructType([*PAGE_INFO_SCHEMA.fields, T.StructField("load", T.StringType())])
+LOADS_SCHEMA = T.StructType([T.StructField("load", T.StringType()), T.StructField("pages", T.LongType())])
+
 
-    Bodies are read once into a staging table; a page that the manifest has
-    already (same table, language, fingerprint, offset, ok) is left out, so a
-    rerun adds nothing, and the manifest is written last, so after a crash the
-    same call completes the lake (``read_lake`` shows only what the manifest
-    names).  Rows are clustered by table before the partitioned write."""
-    from statlake.sources.responses import class_rows, failed_pages, note_rows, page_info, value_rows
-    from statlake.streaming.ingest import _table_exists
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A parquet table, or None where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
+
+def land_responses(bodies: DataFrame, base: str) -> None:
+    """Sink for landed data pages: observations, code lists, notes, pages that
+    were left out, a page manifest and a list of loads as parquet under ``base``.
+
+    Each body is parsed once, into a staging table of its parts; all else is read
+    from that by columns.  A page key counts once: the first of its copies in this
+    landing, and none if the manifest has it, are landed (keys only are compared);
+    a body that was left out is reported once over all landings.  So a rerun adds
+    nothing.  The manifest and then the list of loads are written last, and readers
+    show only listed loads, so after a crash the same call completes the lake.
+    One landing at a time may write to a base."""
     spark = bodies.sparkSession
     load = uuid.uuid4().hex
-    staged = cut_lineage(bodies, "staged-pages")
-    info = page_info(staged, keep=["body"]).withColumn("ok", F.col("status_raw").try_cast("int") == 0)
-    if _table_exists(spark, f"{base}/manifest"):
-        seen = spark.read.parquet(f"{base}/manifest").select(*[F.col(k).alias(f"seen_{k}") for k in PAGE_KEY])
-        info = info.join(seen, [F.col(k).eqNullSafe(F.col(f"seen_{k}")) for k in PAGE_KEY], "left_anti")
-    info = cut_lineage(info, "new-pages")
-    # identity is settled: the readers take it from the columns
-    new = info.where("ok").select("body", "stats_data_id", "lang", "query_fingerprint")
-
-    def write(df, name):
+    staged = cut_lineage(parsed_pages(bodies).withColumn("row", F.monotonically_increasing_id()), "staged-pages")
+    keyed = staged.where("keyed").select("row", "page", *PAGE_KEY)
+    new = keyed.groupBy("page").agg(F.min("row").alias("row"))
+    listed = read_if_there(spark, f"{base}/loads", LOADS_SCHEMA)
+    if listed is not None:
+        seen = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/manifest").join(listed.select("load"), "load", "left_semi")
+        new = new.join(seen.select(F.to_json(F.struct(*PAGE_KEY)).alias("page")), "page", "left_anti")
+    new = cut_lineage(new, "new-pages")
+    # few pages are dropped as a rule: the page texts stay where they are
+    dropped = cut_lineage(keyed.select("row").join(new, "row", "left_anti"), "dropped-pages")
+    pages = staged.where("keyed").join(dropped, "row", "left_anti")
+
+    def write(df, name, *by):
         df = df.withColumn("load", F.lit(load))
-        (df.repartition("stats_data_id").write.mode("append").partitionBy("stats_data_id", "load").parquet(f"{base}/{name}"))
+        (df.repartition("stats_data_id", *by).write.mode("append").partitionBy("stats_data_id", "load").parquet(f"{base}/{name}"))
 
-    write_by_page = value_rows(new).withColumn("load", F.lit(load))
-    (write_by_page.repartition("stats_data_id", "page_offset").write.mode("append")
-     .partitionBy("stats_data_id", "load").parquet(f"{base}/observations"))
-    write(class_rows(new), "classes")
-    write(note_rows(new), "notes")
-    failed_pages(staged).write.mode("append").parquet(f"{base}/failed")
-    info.where("ok").drop("body").withColumn("load", F.lit(load)).write.mode("append").parquet(f"{base}/manifest")
+    write(page_values(pages), "observations", "page_offset")
+    write(page_classes(pages), "classes")
+    write(page_notes(pages), "notes")
+    failed = left_out(staged).dropDuplicates(["body_sha256"])
+    known = read_if_there(spark, f"{base}/failed", failed.schema)
+    if known is not None:
+        failed = failed.join(known.select(F.col("body_sha256").alias("known")), F.col("body_sha256").eqNullSafe(F.col("known")), "left_anti")
+    failed.write.mode("append").parquet(f"{base}/failed")
+    manifest = pages.select(*[f.name for f in PAGE_INFO_SCHEMA.fields]).withColumn("load", F.lit(load))
+    manifest.write.mode("append").parquet(f"{base}/manifest")
+    new.agg(F.lit(load).alias("load"), F.count("*").alias("pages")).write.mode("append").parquet(f"{base}/loads")
 
 
 def read_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Readers for a lake written by ``land_responses``: only loads whose
-    manifest was written count; code lists and notes are the distinct union of
-    the loads."""
-    from statlake.model import OBSERVATION_SCHEMA
-
-    manifest = spark.read.parquet(f"{base}/manifest")
-    loads = [r[0] for r in manifest.select("load").distinct().collect()]  # one a landing run; prunes folders
+    """Readers for a lake written by ``land_responses``: only listed loads count
+    (one row a landing; the join prunes the other loads' folders); code lists and
+    notes are the distinct union of the loads."""
+    loads = spark.read.schema(LOADS_SCHEMA).parquet(f"{base}/loads").select("load")
 
     def table(name, schema):
         wide = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
-        return spark.read.schema(wide).parquet(f"{base}/{name}").where(F.col("load").isin(loads)).drop("load")
+        return spark.read.schema(wide).parquet(f"{base}/{name}").join(loads, "load", "left_semi").select(*[f.name for f in schema.fields])
 
     return {
         "observations": table("observations", OBSERVATION_SCHEMA),
         "classes": table("classes", CLASSES_SCHEMA).distinct(),
         "notes": table("notes", NOTES_SCHEMA).distinct(),
         "failed": spark.read.parquet(f"{base}/failed"),
-        "manifest": manifest.drop("load"),
+        "manifest": table("manifest", PAGE_INFO_SCHEMA),
     }

@@ -28,6 +28,7 @@ from statlake.operators.quality import (
 from statlake.operators.search import reorder_search_columns, search_catalog, search_tables
 from statlake.plans import testdata as td
 from statlake.plans.lake import landed_cube, landed_derived
+from statlake.plans.collection import QUERIES as COLLECTION_QUERIES
 from statlake.plans.manytables import QUERIES as MANY_TABLE_QUERIES
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
@@ -444,4 +445,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fallback_blocked": language_fallback_rows,
     "ingest_errors": ingest_errors,
     **MANY_TABLE_QUERIES,
+    **COLLECTION_QUERIES,
 }

@@ -205,32 +205,57 @@ def page_info(bodies: DataFrame, body_col: str = "body", keep: list[str] | None
     )
 
 
-def value_rows(bodies: DataFrame, body_col: str = "body", ok_only: bool = True) -> DataFrame:
-    """VALUE records of data pages -> one coded observation per row.
+PAGE_KEY = ["stats_data_id", "lang", "query_fingerprint", "page_offset"]
+
+
+def parsed_pages(bodies: DataFrame, body_col: str = "body") -> DataFrame:
+    """One row per body, parsed once: identity, classified status (``ok``,
+    ``error_class``, redacted ``error_msg``), paging counters and the JSON text
+    of the list nodes ``class_obj``, ``note_node`` and ``value_node``.
+
+    ``keyed`` tells that the page can be landed (ok, a table id and a position),
+    ``page`` is its identity: the page key or, for other pages, a digest of the
+    body; ``body`` is kept for those only."""
+    from statlake.operators.quality import classify_status
 
-    ``page_offset`` is the page's absolute 1-based start (FROM_NUMBER) and
-    ``pos`` the 0-based index within the page, so ``page_offset + pos`` is
-    the absolute row number without any window.  Pages whose status is not
-    0 yield no rows here; they are reported by ``quality.classify_status``.
-    """
     env = parse_envelope(bodies, "data", body_col)
-    if ok_only:
-        env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
-    node = F.col("_env.STATISTICAL_DATA.DATA_INF.VALUE")
-    ids = _data_identity(env)
+    data, inf = F.col("_env.STATISTICAL_DATA"), F.col("_env.STATISTICAL_DATA.RESULT_INF")
+    pages = classify_status(env.select(
+        *[c.alias(n) for n, c in _data_identity(env).items()],
+        as_count(inf["FROM_NUMBER"]).alias("page_offset"),
+        F.col("_env.RESULT.STATUS").alias("status_raw"), F.col("_env.RESULT.ERROR_MSG").alias("error_msg"),
+        as_count(inf["TOTAL_NUMBER"]).alias("total_number"), as_count(inf["FROM_NUMBER"]).alias("from_number"),
+        as_count(inf["TO_NUMBER"]).alias("to_number"), as_count(inf["NEXT_KEY"]).alias("next_key"),
+        data["CLASS_INF"]["CLASS_OBJ"].alias("class_obj"), data["DATA_INF"]["NOTE"].alias("note_node"),
+        data["DATA_INF"]["VALUE"].alias("value_node"), F.col(body_col).alias("body")))
+    keyed = F.col("ok") & F.col("stats_data_id").isNotNull() & F.col("page_offset").isNotNull()
+    digest = F.sha2(F.col("body").cast("binary"), 256)
+    return pages.withColumns({
+        "keyed": keyed,
+        "page": F.when(keyed, F.to_json(F.struct(*PAGE_KEY))).otherwise(F.concat(F.lit("body "), F.coalesce(digest, F.lit("null")))),
+        "body": F.when(~keyed, F.col("body"))})
+
+
+def left_out(pages: DataFrame) -> DataFrame:
+    """What ``parsed_pages`` cannot land, with the reason."""
+    reason = F.when(F.col("ok"), F.lit("no_page_key")).otherwise(F.coalesce("error_class", F.lit("parse_error")))
+    return pages.where(~F.col("keyed")).select(
+        F.sha2(F.col("body").cast("binary"), 256).alias("body_sha256"), reason.alias("reason"), "error_msg", "body",
+        "stats_data_id", "lang", "query_fingerprint", "page_offset", "status_raw", "status", "error_class")
+
+
+def page_values(pages: DataFrame) -> DataFrame:
+    """VALUE records of parsed pages -> one coded observation per row."""
+    node = F.col("value_node")
     # below the explode: once a page, not once a record
-    env = env.withColumn("more", F.when(F.rlike(node, F.lit(UNKNOWN_VALUE_KEY)), wrap_records(node)))
-    exploded = env.select(
-        *[c.alias(n) for n, c in ids.items()],
-        as_count(F.col("_env.STATISTICAL_DATA.RESULT_INF.FROM_NUMBER")).alias("page_offset"),
-        "more",
-        F.posexplode(wrap_records(node, VALUE_RECORD)).alias("pos", "r"),
-    )
+    more = F.when(F.rlike(node, F.lit(UNKNOWN_VALUE_KEY)), wrap_records(node))
+    exploded = pages.select(*PAGE_KEY, "value_node", more.alias("more")).select(
+        *PAGE_KEY, "more", F.posexplode(wrap_records(node, VALUE_RECORD)).alias("pos", "r"))
     r = F.col("r")
     extra = F.map_filter(F.get("more", F.col("pos")), lambda k, v: ~k.isin(*_VALUE_KEYS))
     extra = F.transform_keys(extra, lambda k, v: F.ltrim(k, F.lit("@")))
     return exploded.select(
-        "stats_data_id", "lang", "query_fingerprint", "page_offset", "pos",
+        *PAGE_KEY, "pos",
         *[r[f"@{a}"].alias(a) for a in AXES],
         r["@unit"].alias("unit"),
         r["$"].alias("value"),
@@ -238,6 +263,23 @@ def value_rows(bodies: DataFrame, body_col: str = "body", ok_only: bool = True)
     )
 
 
+def value_rows(bodies: DataFrame, body_col: str = "body", ok_only: bool = True) -> DataFrame:
+    """VALUE records of data pages -> one coded observation per row.
+
+    ``page_offset`` is the page's absolute 1-based start (FROM_NUMBER) and
+    ``pos`` the 0-based index within the page, so ``page_offset + pos`` is
+    the absolute row number without any window.  Pages whose status is not
+    0 yield no rows here; they are reported by ``quality.classify_status``.
+    """
+    env = parse_envelope(bodies, "data", body_col)
+    if ok_only:
+        env = env.where(F.col("_env.RESULT.STATUS").try_cast("int") == 0)
+    return page_values(env.select(
+        *[c.alias(n) for n, c in _data_identity(env).items()],
+        as_count(F.col("_env.STATISTICAL_DATA.RESULT_INF.FROM_NUMBER")).alias("page_offset"),
+        F.col("_env.STATISTICAL_DATA.DATA_INF.VALUE").alias("value_node")))
+
+
 def _class_rows(env: DataFrame, class_obj: Column, ids: dict[str, Column]) -> DataFrame:
     axes = env.select(
         *[c.alias(n) for n, c in ids.items()],
@@ -282,10 +324,18 @@ def class_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     different filters) that repeat the same lists are parsed once, pages that
     carry only the codes they use add theirs.  ``extra`` holds further keys of
     an entry as JSON."""
-    objects = _class_objects(bodies, body_col)
+    return _classes_of(_class_objects(bodies, body_col))
+
+
+def _classes_of(objects: DataFrame) -> DataFrame:
     return _class_rows(objects, F.col("class_obj"), {k: F.col(k) for k in ("stats_data_id", "lang")}).distinct()
 
 
+def page_classes(pages: DataFrame) -> DataFrame:
+    """Code lists of parsed pages; equal lists are parsed once."""
+    return _classes_of(pages.select("stats_data_id", "lang", "class_obj").where("class_obj is not null").distinct())
+
+
 def axis_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     """Axes that the pages name, also those with an empty code list."""
     objects = _class_objects(bodies, body_col)
@@ -329,7 +379,13 @@ def note_rows(bodies: DataFrame, body_col: str = "body") -> DataFrame:
         ids["stats_data_id"].alias("stats_data_id"),
         ids["lang"].alias("lang"),
         F.col("_env.STATISTICAL_DATA.DATA_INF.NOTE").alias("note_node"),
-    ).where(F.col("note_node").isNotNull()).distinct()
+    )
+    return page_notes(nodes)
+
+
+def page_notes(pages: DataFrame) -> DataFrame:
+    """Annotation legends of parsed pages; equal ones are parsed once."""
+    nodes = pages.select("stats_data_id", "lang", "note_node").where("note_node is not null").distinct()
     rows = nodes.select("stats_data_id", "lang", F.explode(wrap_records(F.col("note_node"))).alias("n"))
     return rows.select(
         "stats_data_id", "lang", F.col("n")["@char"].alias("char"), F.col("n")["$"].alias("note")

@@ -1,5 +1,5 @@
 """Structured Streaming ingestion of landed pages."""
 
-from statlake.streaming.ingest import land_pages, merge_batch, start_ingest
+from statlake.streaming.ingest import ingest_batch, land_pages, start_ingest, write_epoch
 
-__all__ = ["land_pages", "merge_batch", "start_ingest"]
+__all__ = ["ingest_batch", "land_pages", "start_ingest", "write_epoch"]

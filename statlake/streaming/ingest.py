@@ -1,87 +1,79 @@
 """Exactly-once ingestion of newly landed response pages.
 
 ``readStream`` over the landing folder (one file = one page body, read as whole
-text) -> ``foreachBatch``, which parses the batch once and merges its rows into a
-parquet table keyed by ``ROW_KEY``.  Nulls are values of a key: a replayed
-micro-batch finds its keys present and adds nothing, whether or not its pages
-name a language.  Pages that failed, rows without a table id and pages without a
-position go to the quarantine table beside the target, once each.  Source and
-sink progress live in the checkpoint location.
+text) -> each body parsed once -> a page ledger in the stream's keyed state
+(``dropDuplicates`` on the page's identity) -> ``foreachBatch``, which writes
+each epoch to a folder of its own.  The ledger is committed with the batch, so a page
+that comes again, in any order or doubled in one batch, adds nothing; a
+batch that is run again overwrites its own folder.  Neither needs the target: no
+row of it is read and none of its folders is listed, so a batch costs what its pages cost.
+
+Nulls are values of a key.  Pages that failed and pages without a table id or a
+position go to the quarantine beside the target, once for each different body.  On
+large lakes give the stream the RocksDB state store; the ledger has one short key
+a page (at most 100,000 rows).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlake.model import OBSERVATION_SCHEMA
+from statlake.plans.lake import read_if_there
 from statlake.session import cut_lineage
-from statlake.sources.responses import failed_pages, page_info, value_rows
+from statlake.sources.responses import left_out, page_values, parsed_pages
 
-ROW_KEY = ["stats_data_id", "lang", "query_fingerprint", "page_offset", "pos"]
+LEDGER_SCHEMA = T.StructType([T.StructField("page", T.StringType())])
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """Landed observations with the declared schema (partition values such
     as ``stats_data_id=0003000002`` stay strings)."""
-    return spark.read.schema(OBSERVATION_SCHEMA).parquet(path)
+    return spark.read.schema(OBSERVATION_SCHEMA).parquet(path).select(*[f.name for f in OBSERVATION_SCHEMA.fields])
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    """False only if there is nothing under ``path``; other errors come out."""
-    try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
-def merge_batch(batch: DataFrame, target: str, key: list[str] | None = None) -> None:
-    """Append the rows of ``batch`` whose key is not yet in ``target``.
+def write_epoch(pages: DataFrame, epoch: int | str, target: str, quarantine: str) -> None:
+    """Write the rows of new parsed pages, and what is left out, to the folders
+    of ``epoch``; a second call for the same epoch replaces the first."""
+    values = page_values(pages.where("keyed"))
+    values.write.mode("overwrite").partitionBy("stats_data_id").parquet(f"{target}/epoch={epoch}")
+    left_out(pages).write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch}")
 
-    A micro-batch holds at most ``maxFilesPerTrigger`` pages, so its tables are
-    few: they are pushed into the target scan (partition pruning)."""
-    key = key or ROW_KEY
-    spark = batch.sparkSession
-    rows = batch.dropDuplicates(key)
-    if _table_exists(spark, target):
-        ids = [r[0] for r in rows.select("stats_data_id").distinct().collect()]
-        existing = read_observations(spark, target).where(F.col("stats_data_id").isin(ids)).select(*[F.col(k).alias(f"old_{k}") for k in key])
-        rows = rows.join(existing, [F.col(k).eqNullSafe(F.col(f"old_{k}")) for k in key], "left_anti")
-    rows.write.mode("append").partitionBy("stats_data_id").parquet(target)
 
-
-def _append_new(rows: DataFrame, path: str, key: str) -> None:
-    spark = rows.sparkSession
-    rows = rows.dropDuplicates([key])
-    if _table_exists(spark, path):
-        rows = rows.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
-    rows.write.mode("append").parquet(path)
+def _each_epoch(pages: DataFrame, epoch: int, target: str, quarantine: str) -> None:
+    pages.persist()  # both writes use the batch's one parse
+    try:
+        write_epoch(pages, epoch, target, quarantine)
+    finally:
+        pages.unpersist()
 
 
 def ingest_batch(bodies: DataFrame, target: str, quarantine: str) -> None:
-    """Parse one batch of page bodies, merge its rows, report what is left out.
-
-    Columns ``stats_data_id``, ``lang`` and ``query_fingerprint`` of ``bodies``
-    (from the landing layout) win over what the body says."""
-    bodies = cut_lineage(bodies, "batch")
-    rows = cut_lineage(value_rows(bodies), "rows")
-    keyed = F.col("stats_data_id").isNotNull() & F.col("page_offset").isNotNull()
-    merge_batch(rows.where(keyed), target)
-    digest = F.sha2(F.col("body").cast("binary"), 256).alias("body_sha256")
-    failed = failed_pages(bodies).select(digest, F.coalesce("error_class", F.lit("parse_error")).alias("reason"), "error_msg", "body")
-    info = page_info(bodies, keep=["body"])
-    ok = F.col("status_raw").try_cast("int") == 0
-    lost = info.where(ok & (F.col("stats_data_id").isNull() | F.col("page_offset").isNull())).select(
-        digest, F.lit("no_page_key").alias("reason"), F.lit(None).cast("string").alias("error_msg"), "body")
-    _append_new(failed.unionByName(lost), quarantine, "body_sha256")
+    """The same for a batch that comes without a stream.
+
+    The ledger is a table of page identities beside the target (one row a page).
+    The epoch is named after the new pages and the ledger is written last, so
+    a call that was cut short is completed by the same call.  Columns
+    ``stats_data_id``, ``lang`` and ``query_fingerprint`` of ``bodies`` (from the
+    landing layout) win over what the body says."""
+    spark = bodies.sparkSession
+    ledger = f"{target.rstrip('/')}-ledger"
+    pages = cut_lineage(parsed_pages(bodies).dropDuplicates(["page"]), "batch")
+    seen = read_if_there(spark, ledger, LEDGER_SCHEMA)
+    if seen is not None:
+        pages = cut_lineage(pages.join(seen.select("page"), "page", "left_anti"), "new-pages")
+    name = pages.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("page")).alias("h")).first()
+    if name["n"]:
+        epoch = f"{name['n']}-{name['h'] & (1 << 64) - 1:016x}"
+        write_epoch(pages, epoch, target, quarantine)
+        pages.select("page").write.mode("overwrite").parquet(f"{ledger}/epoch={epoch}")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Pages that were left out: digest, reason, redacted message, body."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("body_sha256", "reason", "error_msg", "body")
 
 
 def start_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str,
@@ -98,8 +90,9 @@ def start_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str
     if identity:
         reader = reader.schema("value string, " + ", ".join(f"`{c}` string" for c in identity))
     bodies = reader.load(landing).select(F.col("value").alias("body"), *(identity or []))
+    pages = parsed_pages(bodies).dropDuplicates(["page"])
     writer = (
-        bodies.writeStream.foreachBatch(lambda df, _epoch: ingest_batch(df, target, quarantine))
+        pages.writeStream.foreachBatch(lambda df, epoch: _each_epoch(df, epoch, target, quarantine))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
