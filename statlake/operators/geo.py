@@ -334,9 +334,17 @@ def assemble_polygons(rings: DataFrame, key: str = "area_code") -> DataFrame:
 
 
 def dissolve(features: DataFrame, key: str = "area_code", geom_col: str = "polygons",
-             with_geometry: bool = True) -> DataFrame:
-    """Union the polygons of every key: ``(key, area, overlap, n_edges[, polygons])``."""
-    boundary = cancel_edges(ring_edges(features, key, geom_col), key)
+             with_geometry: bool = True, overlay: bool = False) -> DataFrame:
+    """Union the polygons of every key: ``(key, area, overlap, n_edges[, polygons])``.
+
+    ``overlay`` splits edges where they cross, overlap or end on one another
+    (``operators.overlay``), for parts that are not one tessellation."""
+    if overlay:
+        from statlake.operators.overlay import union_boundary
+
+        boundary = union_boundary(features, key, geom_col)
+    else:
+        boundary = cancel_edges(ring_edges(features, key, geom_col), key)
     if not with_geometry:
         return boundary_area(boundary, key)
     # The boundary feeds both the area aggregate and the iterative stitching:
@@ -393,7 +401,7 @@ def keyed_small_areas(small_areas: DataFrame, level: str = "municipality",
 
 def boundaries(small_areas: DataFrame, level: str = "municipality", designated: str = "both",
                areas: list[str] | None = None, with_geometry: bool = True,
-               year: int | None = None, datum: str = "2000") -> DataFrame:
+               year: int | None = None, datum: str = "2000", overlay: bool = False) -> DataFrame:
     """Dissolved boundaries ``(area_code, <names>, area, polygons, srid)``.
 
     ``areas`` restricts by prefecture (partition pruning when the features
@@ -417,7 +425,7 @@ def boundaries(small_areas: DataFrame, level: str = "municipality", designated:
     names = name_columns(level, keyed.columns)
     named = keyed.groupBy("area_code").agg(
         *[F.min_by(c, "KEY_CODE").alias(c) for c in names])
-    geo = dissolve(keyed, "area_code", with_geometry=with_geometry)
+    geo = dissolve(keyed, "area_code", with_geometry=with_geometry, overlay=overlay)
     out = named.join(geo, "area_code", "left")
     srid = F.when(F.lit(str(datum)) == "2011", F.lit(6668)).otherwise(F.lit(4612))
     out = out.withColumn("srid", srid)

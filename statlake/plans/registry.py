@@ -30,6 +30,7 @@ from statlake.plans import testdata as td
 from statlake.plans.lake import landed_cube, landed_derived
 from statlake.plans.collection import QUERIES as COLLECTION_QUERIES
 from statlake.plans.manytables import QUERIES as MANY_TABLE_QUERIES
+from statlake.plans.overlays import QUERIES as OVERLAY_QUERIES
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
 from statlake.sources.flatten import flatten_json, flatten_wide
@@ -446,4 +447,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_errors": ingest_errors,
     **MANY_TABLE_QUERIES,
     **COLLECTION_QUERIES,
+    **OVERLAY_QUERIES,
 }
