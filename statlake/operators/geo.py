@@ -486,6 +486,8 @@ def join_geometry(data: DataFrame, bnd: DataFrame, key: str = "area_code",
         raise InvalidArgument(f"data has no {key} column to join geometry on")
     geo_cols = [c for c in bnd.columns if c == key or c in ("polygons", "srid", "area")]
     g = bnd.select(*geo_cols)
+    if "area" in geo_cols and "area" in data.columns:  # the decoded area axis keeps its name
+        g = g.withColumnRenamed("area", "boundary_area")
     if "polygons" in g.columns:
         v, n = _vertex_count(g)
         if v <= max_broadcast_vertices and n <= max_broadcast_rows:
@@ -498,9 +500,9 @@ def join_geometry(data: DataFrame, bnd: DataFrame, key: str = "area_code",
 
 def attach_geometry(data: DataFrame, small_areas: DataFrame, level: str = "auto",
                     designated: str = "both", year: int | None = None, datum: str = "2000",
-                    key: str = "area_code") -> tuple[DataFrame, DataFrame]:
-    """The whole geometry join: infer the level from the data's codes,
-    read only the prefectures those codes name (invalid prefixes such as the
+                    key: str = "area_code", overlay: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The whole geometry join: infer the level from the data's codes, make the
+    boundaries once (a table in the shared checkpoint folder), read only the prefectures those codes name (invalid prefixes such as the
     national ``00`` are skipped, not fatal), dissolve, join every data row,
     and return ``(joined, unmatched codes)``.  The prefecture list is at
     most one row per distinct two-digit prefix."""
@@ -509,5 +511,5 @@ def attach_geometry(data: DataFrame, small_areas: DataFrame, level: str = "auto"
     if level == "auto":
         level = infer_level(data, key)
     prefs = [r["pref"] for r in resolve_prefectures(data, key).where("valid").collect()]
-    bnd = boundaries(small_areas, level, designated, areas=prefs, year=year, datum=datum)
-    return join_geometry(data, bnd, key)
+    bnd = boundaries(small_areas, level, designated, areas=prefs, year=year, datum=datum, overlay=overlay)
+    return join_geometry(data, cut_lineage(bnd, "boundaries"), key)

@@ -33,6 +33,7 @@ from statlake.plans.manytables import QUERIES as MANY_TABLE_QUERIES
 from statlake.plans.overlays import QUERIES as OVERLAY_QUERIES
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
+from statlake.plans.tidygeo import QUERIES as TIDY_GEOMETRY_QUERIES
 from statlake.sources.flatten import flatten_json, flatten_wide
 from statlake.sources.responses import catalog_records, class_rows, note_rows, page_info, value_rows
 
@@ -88,7 +89,7 @@ def time_window(spark: SparkSession, sf: str) -> DataFrame:
 
 def limit_offset(spark: SparkSession, sf: str) -> DataFrame:
     d = _tidy_cube(spark, sf, limit=1000, start_position=101,
-                   order_by=ORDER_KEY, keep_lineage=True).data
+                   order_by=ORDER_KEY, keep_lineage=True, pulls=[]).data
     return d.select("area_code", "time_code", "cat01_code", "cat02_code", "value", "annotation",
                     "page_offset", "pos", "l_partkey", "l_suppkey", "l_extendedprice")
 
@@ -448,4 +449,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **MANY_TABLE_QUERIES,
     **COLLECTION_QUERIES,
     **OVERLAY_QUERIES,
+    **TIDY_GEOMETRY_QUERIES,
 }

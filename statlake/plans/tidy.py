@@ -27,6 +27,7 @@ from statlake.operators.quality import (
     language_choice,
     normalise_lang,
     prefer_language,
+    validate_stats_data_args,
 )
 from statlake.plans.reference import lookup_curated_id
 
@@ -44,7 +45,7 @@ def _restrict(df: DataFrame, stats_data_id, lang) -> DataFrame:
 
 
 def _prepare(obs, stats_data_id, lang, fallback_lang, codes, time_from, time_to,
-             limit, start_position, order_by, pages=None) -> DataFrame:
+             limit, start_position, order_by, pages=None, pulls=None) -> DataFrame:
     check_count(limit, "limit")
     check_count(start_position, "start_position")
     if int(start_position) == 0:
@@ -64,7 +65,7 @@ def _prepare(obs, stats_data_id, lang, fallback_lang, codes, time_from, time_to,
     o = filter_codes(o, **(codes or {}))
     o = time_window(o, time_from, time_to)
     if limit is not None or int(start_position) > 1:
-        o = take_rows(o, limit=limit, start_position=int(start_position), order_by=order_by)
+        o = take_rows(o, limit=limit, start_position=int(start_position), order_by=order_by, keys=pulls)
     return o
 
 
@@ -74,18 +75,28 @@ def tidy(obs: DataFrame, classes: DataFrame | None = None, notes: DataFrame | No
          decode_labels: bool = True, limit: int | None = None, start_position: int = 1,
          order_by: list[str] | None = None, axes: list[str] | None = None,
          keep_lineage: bool = False, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-         geometry: DataFrame | None = None, pages: DataFrame | None = None) -> Result:
+         geometry: DataFrame | None = None, pages: DataFrame | None = None, pulls: list[str] | None = None,
+         geometry_areas: DataFrame | None = None, geometry_level: str = "auto", geometry_designated: str = "both",
+         geometry_year: int | None = None, geometry_datum: str = "2000", geometry_overlay: bool = False) -> Result:
     """Tidy, labelled observations (+ notes legend, + unmatched codes when
     ``geometry`` boundaries are given).
 
-    ``limit`` and ``start_position`` count the matches of each pull.  ``pages``
+    ``limit`` and ``start_position`` count the matches of each pull; ``pulls`` names
+    the columns that tell pulls apart (an empty list: all rows left by the filters
+    are one, and the first rows are a plain top-k).  ``geometry_areas`` are small
+    areas from which the boundaries of the codes in the data are made, at
+    ``geometry_level`` and with the other ``geometry_`` options.  ``pages``
     (classified page statuses: ``stats_data_id``, ``lang``, ``ok``,
     ``error_class``) makes a language fallback stop at errors that the other
     language must not hide."""
-    if geometry is not None and not decode_labels:
+    if (geometry is not None or geometry_areas is not None) and not decode_labels:
         raise InvalidArgument("geometry requires decode_labels=True (it joins on area_code)")
+    if geometry is not None and geometry_areas is not None:
+        raise InvalidArgument("give boundaries or small areas, not both")
+    if isinstance(stats_data_id, str):
+        validate_stats_data_args(stats_data_id, limit=limit, start_position=start_position)
     o = _prepare(obs, stats_data_id, lang, fallback_lang, codes, time_from, time_to,
-                 limit, start_position, order_by, pages)
+                 limit, start_position, order_by, pages, pulls)
     o = split_value_annotation(o)
     if decode_labels and classes is not None:
         cl = _restrict(classes, stats_data_id, None)
@@ -105,17 +116,23 @@ def tidy(obs: DataFrame, classes: DataFrame | None = None, notes: DataFrame | No
         from statlake.operators.geo import join_geometry
 
         data, unmatched = join_geometry(data, geometry)
+    elif geometry_areas is not None:
+        from statlake.operators.geo import attach_geometry
+
+        data, unmatched = attach_geometry(data, geometry_areas, geometry_level, geometry_designated, geometry_year, geometry_datum, overlay=geometry_overlay)
     return Result(data=data, notes=nt, unmatched=unmatched)
 
 
 def coded(obs: DataFrame, *, stats_data_id=None, lang: str | None = None,
           codes: dict | None = None, time_from: str | None = None, time_to: str | None = None,
           limit: int | None = None, start_position: int = 1, order_by: list[str] | None = None,
-          axes: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+          axes: list[str] | None = None, keep: list[str] | None = None, pulls: list[str] | None = None) -> DataFrame:
     """Coded observations: codes under the axis names, ``value`` still a
     string, no annotation column."""
+    if isinstance(stats_data_id, str):
+        validate_stats_data_args(stats_data_id, limit=limit, start_position=start_position)
     o = _prepare(obs, stats_data_id, lang, None, codes, time_from, time_to,
-                 limit, start_position, order_by)
+                 limit, start_position, order_by, pulls=pulls)
     return coded_columns(o, axes=axes, keep=keep)
 
 
