@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from statlake.operators.search import TEXT_COLUMNS
 from statlake.plans import testdata as td
-from statlake.plans import collection, overlays, tidygeo
+from statlake.plans import collection, overlays, tidygeo, trees
 from statlake.plans.manytables import ORACLE as MANY_TABLE_ORACLE
 from statlake.plans.reference import PREFECTURES
 
@@ -218,7 +218,7 @@ SELECT 'customers', CASE WHEN coalesce(bool_and(ends_with(area_code, '000')), fa
     "axis_hierarchy": _HIER,
 }
 ORACLE |= MANY_TABLE_ORACLE
-ORACLE |= collection.oracle(ORACLE) | overlays.ORACLE | tidygeo.oracle(CUST, ORACLE['dissolve_city_mode'])
+ORACLE |= collection.oracle(ORACLE) | overlays.ORACLE | tidygeo.oracle(CUST, ORACLE['dissolve_city_mode']) | trees.oracle(CATALOG, FRIENDLY, _kw)
 ORACLE["fallback_blocked"] = f"""SELECT CAST(e.user_id AS VARCHAR) AS stats_data_id, c.lang_used AS lang, e.event_type AS cat01, e.event_id
 FROM events e JOIN ({ORACLE['language_choice']}) c ON c.stats_data_id = CAST(e.user_id AS VARCHAR)
 WHERE c.lang_used = CASE WHEN e.event_type IN ('view', 'click', 'error') THEN 'E' ELSE 'J' END"""

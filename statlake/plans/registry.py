@@ -34,6 +34,7 @@ from statlake.plans.overlays import QUERIES as OVERLAY_QUERIES
 from statlake.plans.reference import prefectures
 from statlake.plans.tidy import annotation_counts, coded, tidy
 from statlake.plans.tidygeo import QUERIES as TIDY_GEOMETRY_QUERIES
+from statlake.plans.trees import QUERIES as TREE_QUERIES
 from statlake.sources.flatten import flatten_json, flatten_wide
 from statlake.sources.responses import catalog_records, class_rows, note_rows, page_info, value_rows
 
@@ -450,4 +451,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **COLLECTION_QUERIES,
     **OVERLAY_QUERIES,
     **TIDY_GEOMETRY_QUERIES,
+    **TREE_QUERIES,
 }
