@@ -90,9 +90,8 @@ def _shared_points(cells: DataFrame, key: str, tolerance: float) -> DataFrame:
     turn = ax * by - ay * bx
     t = ((bsx - asx) * by - (bsy - asy) * bx) / F.nullif(turn, F.lit(0.0))
     u = ((bsx - asx) * ay - (bsy - asy) * ax) / F.nullif(turn, F.lit(0.0))
-    step = slack
-    snap = lambda v, o: F.col(o) + F.round((v - F.col(o)) / step) * step
-    px, py = snap(asx + t * ax, "x0"), snap(asy + t * ay, "y0")
+    step = F.pow(F.lit(2.0), F.floor(F.log2(slack)))  # a power of two: short binary fractions stay exact
+    px, py = F.round((asx + t * ax) / step) * step, F.round((asy + t * ay) / step) * step
     ends = on_edge(F.col("o_sx"), F.col("o_sy")).isNotNull() | on_edge(F.col("o_ex"), F.col("o_ey")).isNotNull()
     a_len, b_len = F.sqrt(ax * ax + ay * ay), F.sqrt(bx * bx + by * by)
     inner = (t * a_len > slack) & ((1 - t) * a_len > slack) & (u * b_len > slack) & ((1 - u) * b_len > slack)
