@@ -137,6 +137,12 @@ ORDER BY page_offset, pos, l_partkey, l_suppkey, l_extendedprice, l_shipdate LIM
     "pivot_wide": f"""SELECT area_code, time_code, cat02_code,
   {', '.join(f'sum(value) FILTER (WHERE cat01 = {td._lit(v)}) AS "{v}"' for v in _L)}
 FROM {TIDY} GROUP BY area_code, time_code, cat02_code""",
+    "pivot_default": f"""SELECT area_code, time_code, cat02_code,
+  {', '.join(f'sum(value) FILTER (WHERE cat01 = {td._lit(v)}) AS "{v}"' for v in _L)}
+FROM {TIDY} GROUP BY area_code, time_code, cat02_code""",
+    "pivot_sparse": """SELECT l_partkey, CAST(count(*) AS INTEGER) AS n_cells, CAST(max(v) AS BIGINT) AS largest, CAST(sum(v) AS BIGINT) AS total, min(name) AS first_label
+FROM (SELECT l_partkey, CAST(l_suppkey AS VARCHAR) || ' ' || strftime(l_shipdate, '%Y-%m-%d') AS name, sum(CAST(l_quantity AS BIGINT)) AS v
+  FROM lineitem GROUP BY 1, 2) GROUP BY l_partkey""",
     "pivot_duplicates_count": f"""SELECT area, area_code, time, time_code, cat02, cat02_code, stats_data_id, unit,
   {', '.join(f'count(*) FILTER (WHERE cat01 = {td._lit(v)}) AS "{v}"' for v in _L)}
 FROM {TIDY} GROUP BY area, area_code, time, time_code, cat02, cat02_code, stats_data_id, unit""",

@@ -17,7 +17,7 @@ from statlake.functions.values import split_value_annotation, year_of_time_code
 from statlake.operators import geo
 from statlake.operators.hierarchy import axis_hierarchy
 from statlake.operators.paging import incomplete_tables, missing_pages, page_plan, split_batches, take_rows
-from statlake.operators.pivot import pivot_wide
+from statlake.operators.pivot import pivot_map, pivot_wide
 from statlake.operators.quality import (
     contract_violations,
     fresh_metadata,
@@ -112,6 +112,23 @@ def pivot_duplicates_count(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_wide(d, "cat01", values=CAT01_LABELS, duplicates="count")
 
 
+def pivot_default(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels found in the data, ids by default, several values in a cell an error."""
+    d = _tidy_cube(spark, sf).data.groupBy("area_code", "time_code", "cat02_code", "cat01").agg(F.sum("value").alias("value"))
+    return pivot_wide(d, "cat01")
+
+
+def pivot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """One sparse row a part, a cell for each of its suppliers and ship dates."""
+    li = td.table(spark, sf, "lineitem")
+    label = F.concat_ws(" ", F.col("l_suppkey").cast("string"), F.date_format("l_shipdate", "yyyy-MM-dd"))
+    rows = li.select("l_partkey", label.alias("name"), F.col("l_quantity").cast("long").alias("value"))
+    wide = pivot_map(rows, "name", duplicates="sum")
+    largest = F.aggregate(F.map_values("cells"), F.lit(0).cast("long"), lambda a, v: F.greatest(a, v))
+    total = F.aggregate(F.map_values("cells"), F.lit(0).cast("long"), lambda a, v: a + v)
+    return wide.select("l_partkey", F.size("cells").alias("n_cells"), largest.alias("largest"), total.alias("total"), F.array_min(F.map_keys("cells")).alias("first_label"))
+
+
 def annotation_report(spark: SparkSession, sf: str) -> DataFrame:
     r = _tidy_cube(spark, sf)
     return annotation_counts(r.data, r.notes)
@@ -411,6 +428,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_years": time_years,
     "pivot_wide": pivot_wide_sum,
     "pivot_duplicates_count": pivot_duplicates_count,
+    "pivot_default": pivot_default,
+    "pivot_sparse": pivot_sparse,
     "annotation_counts": annotation_report,
     "prefecture_join": prefecture_join,
     "value_pages": value_pages,

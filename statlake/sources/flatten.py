@@ -68,12 +68,19 @@ def flatten_json(df: DataFrame, json_col: str = "record", id_col: str = "row_id"
     )
 
 
+#: More paths than this do not become columns.
+MOST_COLUMNS = 2000
+
+
 def flatten_wide(long: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Long ``(row_id, path, value)`` -> one row per record, one column per
     path.  Pass ``columns`` to skip the distinct pass over paths; absent
-    paths are null (union with fill)."""
+    paths are null (union with fill).  More than ``MOST_COLUMNS`` paths are an
+    error: the long form holds any number."""
     if columns is None:
-        columns = [r["path"] for r in long.select("path").distinct().orderBy("path").collect()]
+        columns = sorted(r["path"] for r in long.select("path").distinct().limit(MOST_COLUMNS + 1).collect())
+        if len(columns) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} different paths; use the long form")
     # One conditional aggregate per path: a single shuffle on row_id.
     aggs = [F.first(F.when(F.col("path") == F.lit(c), F.col("value")), ignorenulls=True).alias(c)
             for c in columns]

@@ -1,4 +1,4 @@
-"""Interval labels, totals over code trees, trigram search."""
+"""Interval labels, totals over code trees, trigram search, sparse pivots."""
 
 import random
 
@@ -72,3 +72,24 @@ def test_index_reads_only_the_buckets_of_its_terms(spark):
     write_index(spark.createDataFrame([(str(i), f"title number {i * 37}") for i in range(500)], "id string, TITLE string"), path)
     plan = candidates(spark, path, "number")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket" in plan and "In(gram" in plan
+
+
+def test_sparse_pivot_of_a_hundred_thousand_labels(spark):
+    from statlake.operators.pivot import pivot_map, pivot_wide
+
+    rows = spark.range(100_000).selectExpr("id % 3 AS area", "CAST(id AS STRING) AS name", "id AS value")
+    got = {r["area"]: (len(r["cells"]), r["cells"][str(r["area"] + 300)]) for r in pivot_map(rows, "name").collect()}
+    assert got == {0: (33_334, 300), 1: (33_333, 301), 2: (33_333, 302)}
+    with pytest.raises(ValueError, match="pivot_map"):
+        pivot_wide(rows, "name")
+
+
+def test_sparse_pivot_policies(spark):
+    from statlake.operators.pivot import pivot_map
+
+    df = spark.createDataFrame([("n", "x", 1), ("n", "x", 2), ("n", None, 5), (None, "y", 7)], "area string, name string, value long")
+    cells = lambda **k: {r["area"]: r["cells"] for r in pivot_map(df, "name", **k).collect()}
+    assert cells(duplicates="sum") == {"n": {"x": 3, "null": 5}, None: {"y": 7}}
+    assert cells(duplicates="count") == {"n": {"x": 2, "null": 1}, None: {"y": 1}}
+    with pytest.raises(Exception, match="several values share the cell x"):
+        cells()
