@@ -18,18 +18,20 @@ are kept; repeated rows and empty tables need no care.
 from __future__ import annotations
 
 import heapq
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.bpe_tree import CACHE_WORDS, _in_slices, read_vocab
+from statlake.llm.bpe_tree import LONGEST_KEPT, read_vocab
 from statlake.llm.common import arrow_rows
+from statlake.llm.worker import Recent, held, in_slices
 
 #: The mark that stands for a space inside pieces (fixed value).
 MARK = "▁"
+#: Segments in each half of a worker's cache.
+CACHE_SEGMENTS = 1 << 18
 SEGMENT = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -44,7 +46,7 @@ class PieceCounter:
         inner = [p for p in self.rank if MARK in p.lstrip(MARK) or "\n" in p]
         if inner:
             raise ValueError(f"pieces across a cut, such as {inner[0]!r}")
-        self.seen: dict[str, int] = {}
+        self.seen = Recent(CACHE_SEGMENTS)
 
     def merged(self, text: str) -> int:
         """Tokens of one segment, counted by merging."""
@@ -74,31 +76,29 @@ class PieceCounter:
         return tokens
 
     def segment(self, text: str) -> int:
-        seen = self.seen
-        got = seen.get(text)
+        got = self.seen.older(text)
         if got is None:
-            if len(seen) >= CACHE_WORDS:
-                seen.clear()
             got = self.merged(text)
-            if len(text) <= 64:
-                seen[text] = got
+            if len(text) <= LONGEST_KEPT:
+                self.seen.put(text, got)
         return got
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         lines = (MARK + text.replace(" ", MARK)).split("\n")
-        total, get, find = len(lines) - 1, self.seen.get, SEGMENT.findall
+        total, find = len(lines) - 1, SEGMENT.findall
         for line in lines:
-            for piece in find(line):
-                got = get(piece)
-                total += self.segment(piece) if got is None else got
+            pieces = find(line)
+            found = list(map(self.seen.new.get, pieces))
+            if None in found:
+                found = [self.segment(p) if got is None else got for p, got in zip(pieces, found)]
+            total += sum(found)
         return total
 
 
-@lru_cache(maxsize=1)
 def _counter(data: bytes) -> PieceCounter:
-    return PieceCounter(data)
+    return held(("piece counts", len(data), hash(data)), lambda: PieceCounter(data))
 
 
 def token_counts(df: DataFrame, model_path: str, text_col: str = "text", out_col: str = "n_tokens") -> DataFrame:
@@ -109,6 +109,6 @@ def token_counts(df: DataFrame, model_path: str, text_col: str = "text", out_col
     @F.arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
         counter = _counter(shared.value)
-        return _in_slices(texts, lambda part: pa.array([counter.count(t) for t in part], pa.int64()))
+        return in_slices(texts, lambda part: pa.array([counter.count(t) for t in part], pa.int64()))
 
     return df.withColumn(out_col, count(F.col(text_col)))

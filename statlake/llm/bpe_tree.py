@@ -4,11 +4,13 @@ A pre-token starts as one symbol per byte character (the last one carries the
 end-of-word suffix).  The tree's leaves hold ``rank * n + position`` of each
 adjacent pair (absent pairs: infinity), inner nodes the smaller child, so the
 root is always the leftmost lowest-rank merge.  A merge updates three leaves in
-O(log n); encoding ends when the root is infinite.
+O(log n); encoding ends when the root is infinite.  The trees of new pre-tokens
+of like length are the rows of one matrix and advance together; very long ones
+have a tree of their own.
 
 The vocabulary file is read once on the driver and broadcast (its size is
 checked against ``MAX_VOCAB_BYTES``), so executors need no local copy.  Each
-Python worker keeps a bounded cache from words to ids.
+Python worker keeps a bounded cache from words to ids, half of which goes at a time.
 
 Defined results: a null or empty text encodes to no ids and decodes to "";
 extra columns are kept, repeated rows give repeated results, an empty table
@@ -19,23 +21,23 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Callable, Iterable
-from functools import lru_cache
-from itertools import chain, pairwise
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.common import arrow_rows, free_name
+from statlake.llm.worker import Recent, held, in_slices
 
 #: A vocabulary file larger than this is refused rather than broadcast.
 MAX_VOCAB_BYTES = 64 << 20
-#: Words a worker remembers before it starts afresh: some 60 MB.
-CACHE_WORDS = 1 << 18
+#: Words in each half of a worker's cache: some 45 MB a half.
+CACHE_WORDS = 1 << 17
+#: Longer words are not kept.
+LONGEST_KEPT = 64
 
 #: White space as the normalizer's pattern engine sees it (fixed value).
 SPACE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -77,6 +79,9 @@ def merge_symbols(symbols: list[int], merges: dict[int, tuple[int, int]]) -> lis
     n = len(symbols)
     if n < 2:
         return symbols
+    if n == 2:
+        pair = merges.get(symbols[0] << SHIFT | symbols[1])
+        return symbols if pair is None else [pair[1]]
     symbols, find = list(symbols), merges.get
     leaves, a = [], symbols[0]
     for i in range(1, n):
@@ -106,6 +111,70 @@ def merge_symbols(symbols: list[int], merges: dict[int, tuple[int, int]]) -> lis
     return [s for s in symbols if s >= 0]
 
 
+#: Pre-tokens of at most this many bytes are merged many at a time.
+MOST_SYMBOLS = 64
+_NEVER = np.int64(1) << 40
+
+
+class PairTable:
+    """Merges as arrays: (left, right) -> rank, and rank -> merged symbol."""
+
+    def __init__(self, merges: dict[int, tuple[int, int]]):
+        keys = np.array(list(merges), np.int64)
+        order = np.argsort(keys)
+        ranks, self.merged = (np.array([m[i] for m in merges.values()], np.int64) for i in (0, 1))
+        self.keys, self.ranks = keys[order], ranks[order]
+        by_rank = np.zeros(int(ranks.max(initial=-1)) + 1, np.int64)
+        by_rank[ranks] = self.merged
+        self.merged = by_rank
+
+    def leaf(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Tree leaves ``rank * MOST_SYMBOLS + place`` of adjacent symbols."""
+        key = left << SHIFT | right
+        place = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        hit = self.keys[place] == key if len(self.keys) else np.zeros(key.shape, bool)
+        return np.where(hit, self.ranks[place] * MOST_SYMBOLS + at if len(self.keys) else _NEVER, _NEVER)
+
+
+def merge_rows(symbols: np.ndarray, sizes: np.ndarray, pairs: PairTable) -> np.ndarray:
+    """``merge_symbols`` of many rows (padded to one width) together: a segment
+    tree in each row of a matrix, node 1 the root.  Symbols merged away are -1."""
+    rows, width = symbols.shape
+    leaves = 1 << max(0, width - 2).bit_length()
+    places = np.arange(width)
+    symbols = np.where(places < sizes[:, None], symbols, -1)
+    tree = np.full((rows, 2 * leaves), _NEVER)
+    tree[:, leaves:leaves + width - 1] = np.where(places[1:] < sizes[:, None], pairs.leaf(symbols[:, :-1], symbols[:, 1:], places[:-1]), _NEVER)
+    for i in range(leaves - 1, 0, -1):
+        tree[:, i] = np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1])
+    after, before = np.tile(places + 1, (rows, 1)), np.tile(places - 1, (rows, 1))
+    row = np.flatnonzero(tree[:, 1] < _NEVER) if leaves > 1 else np.flatnonzero(tree[:, leaves] < _NEVER)
+    while len(row):
+        best = tree[row, 1]
+        i = best % MOST_SYMBOLS
+        j = after[row, i]
+        k = after[row, j]
+        merged = pairs.merged[best // MOST_SYMBOLS]
+        symbols[row, i], symbols[row, j], after[row, i] = merged, -1, k
+        more = k < sizes[row]
+        before[row[more], k[more]] = i[more]
+        right = np.full(len(row), _NEVER)
+        right[more] = pairs.leaf(merged[more], symbols[row[more], k[more]], i[more])
+        tree[row, leaves + i] = right
+        inner = j < sizes[row] - 1
+        tree[row[inner], leaves + j[inner]] = _NEVER
+        h = before[row, i]
+        left = h >= 0
+        tree[row[left], leaves + h[left]] = pairs.leaf(symbols[row[left], h[left]], merged[left], h[left])
+        for who, leaf in ((row, i), (row[inner], j[inner]), (row[left], h[left])):
+            node = leaves + leaf
+            for _ in range(leaves.bit_length() - 1):
+                node = node >> 1
+                tree[who, node] = np.minimum(tree[who, 2 * node], tree[who, 2 * node + 1])
+        row = row[tree[row, 1] < _NEVER]
+    return symbols
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte: Latin-1 printable
     bytes stand for themselves, the others for U+0100 onwards in order."""
@@ -132,10 +201,13 @@ class WordBpe:
         self.space = regex.compile(f"[{SPACE}]+")
         self.odd_space = regex.compile("[\x1c-\x1f]")
         letters = byte_alphabet()
+        self.pairs = PairTable(self.merges)
         self.inner = [self.vocab[c] for c in letters]
         self.last = [self.vocab[c + self.suffix] for c in letters]
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.seen_tokens: dict[str, list[int]] = {}
+        #: word or pre-token as written -> (its ids as int32 bytes, their tokens joined by spaces)
+        self.seen = Recent(CACHE_WORDS)
+        letters = "".join(map(chr, range(ord("a"), ord("z") + 1)))
+        self.one_token = self.pre.findall(letters * 2) == [letters * 2] and not any(map(str.isalpha, self.special))
 
     def split(self, text: str) -> list[str]:
         """Words between white space; no token crosses white space."""
@@ -147,66 +219,100 @@ class WordBpe:
         # letter by letter: a final capital sigma becomes the plain small one
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def word_ids(self, word: str) -> tuple[int, ...]:
-        out: list[int] = []
+    def pre_tokens(self, word: str) -> list[str]:
+        """Normalised pre-tokens (and special tokens, as they are) of a word."""
+        if self.one_token and word.isascii() and word.isalpha():
+            return [word.lower()]
+        out = []
         for part in self.cut.split(word) if self.cut else (word,):
-            if part in self.special:
-                out.append(self.special[part])
-                continue
-            for token in self.pre.findall(self.normal(part)):
-                ids = self.seen_tokens.get(token)
-                if ids is None:
-                    data = token.encode("utf-8", "surrogatepass")
-                    ids = merge_symbols([*map(self.inner.__getitem__, data[:-1]), self.last[data[-1]]], self.merges)
-                    if len(token) <= 64:
-                        if len(self.seen_tokens) >= CACHE_WORDS:
-                            self.seen_tokens.clear()
-                        self.seen_tokens[token] = ids
-                out += ids
-        return tuple(out)
-
-    def encode(self, text: str | None) -> list[tuple[int, ...]]:
-        """The ids of each word."""
-        seen, out = self.seen, []
-        for word in self.split(text or ""):
-            ids = seen.get(word)
-            if ids is None:
-                if len(seen) >= CACHE_WORDS:
-                    seen.clear()
-                ids = self.word_ids(word)
-                if len(word) <= 64:
-                    seen[word] = ids
-            out.append(ids)
+            out += [part] if part in self.special else self.pre.findall(self.normal(part))
+        return out
+
+    def merge_tokens(self, tokens: list[str]) -> list[tuple[bytes, str]]:
+        """Of each pre-token: its ids as int32 bytes, and their tokens joined by
+        spaces; tokens of like length go through one matrix of trees."""
+        out: list = [None] * len(tokens)
+        data = [t.encode("utf-8", "surrogatepass") for t in tokens]
+        sizes = np.array(list(map(len, data)), np.int64)
+        inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        for i in np.flatnonzero(sizes > MOST_SYMBOLS).tolist():
+            ids = merge_symbols([*map(self.inner.__getitem__, data[i][:-1]), self.last[data[i][-1]]], self.merges)
+            out[i] = np.array(ids, np.int32).tobytes(), self.decode(ids)
+        for low, high in ((0, 1), (1, 2), (2, 3), (3, 5), (5, 9), (9, 17), (17, 33), (33, MOST_SYMBOLS)):
+            group = np.flatnonzero((sizes > low) & (sizes <= high))
+            for which in np.array_split(group, -(-len(group) // 8192)) if len(group) else ():
+                raw = np.frombuffer(b"".join([data[i].ljust(high, b"\0") for i in which.tolist()]), np.uint8).reshape(len(which), high)
+                symbols, size = inner[raw], sizes[which]
+                symbols[np.arange(len(which)), size - 1] = last[raw[np.arange(len(which)), size - 1]]
+                if high > 1:
+                    symbols = merge_rows(symbols, size, self.pairs)
+                kept = symbols >= 0
+                flat, ends = symbols[kept], np.cumsum(kept.sum(axis=1)).tolist()
+                shown, packed, begin = [*map(self.tokens.__getitem__, flat.tolist())], flat.astype(np.int32).tobytes(), 0
+                for i, end in zip(which.tolist(), ends):
+                    out[i] = packed[4 * begin:4 * end], " ".join(shown[begin:end])
+                    begin = end
+        return out
+
+    def learn(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
+        """The same of words as written, by word; all but very long ones are kept."""
+        split = {w: self.pre_tokens(w) for w in words}
+        known, new = {}, set()
+        for tokens in split.values():
+            for t in tokens:
+                if t not in known and t not in new:
+                    got = self.seen.new.get(t) or self.seen.older(t)
+                    if got is not None:
+                        known[t] = got
+                    elif t in self.special:
+                        known[t] = np.int32(self.special[t]).tobytes(), t
+                    else:
+                        new.add(t)
+        tokens = list(new)
+        known.update(zip(tokens, self.merge_tokens(tokens)))
+        out = {}
+        for word, tokens in split.items():
+            parts = [known[t] for t in tokens]
+            out[word] = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+        for got in (known, out):
+            for word, ids in got.items():
+                if len(word) <= LONGEST_KEPT and word not in self.seen.new and word not in self.special:
+                    self.seen.put(word, ids)
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
+        """Each text's ids as int32 bytes, and the text they decode to."""
+        split = [self.split(t or "") for t in texts]
+        found = [list(map(self.seen.new.get, words)) for words in split]
+        missing = {w for words, got in zip(split, found) if None in got for w, g in zip(words, got) if g is None}
+        learnt, unknown = {}, set()
+        for w in missing:
+            got = self.seen.older(w)
+            if got is None:
+                unknown.add(w)
+            else:
+                learnt[w] = got
+        learnt |= self.learn(unknown)
+        out = []
+        for words, got in zip(split, found):
+            if None in got:
+                got = [learnt[w] if g is None else g for w, g in zip(words, got)]
+            out.append((b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])))
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=1)
 def _codec(data: bytes) -> WordBpe:
-    return WordBpe(data)
+    return held(("word bpe", len(data), hash(data)), lambda: WordBpe(data))
 
 
 def encode_batch(codec: WordBpe, texts: list[str | None]) -> pa.StructArray:
-    counts, flat, decoded = [0], [], []
-    for text in texts:
-        ids = list(chain.from_iterable(codec.encode(text)))
-        counts.append(len(ids))
-        flat.append(np.array(ids, np.int32))
-        decoded.append(codec.decode(ids))
-    offsets = pa.array(np.cumsum(counts), pa.int32())
-    ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int32), *flat])))
-    return pa.StructArray.from_arrays([ids, pa.array(decoded, pa.string())], ["ids", "decoded"])
-
-
-def _in_slices(texts: pa.Array, work: Callable[[list], pa.Array], most_bytes: int = 2 << 20) -> pa.Array:
-    """``work`` over slices of about ``most_bytes``, so that memory follows the
-    slice and not the Arrow batch."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    edges = np.unique([0, *np.searchsorted(sizes, np.arange(most_bytes, sizes[-1] if len(sizes) else 0, most_bytes), "right"), len(texts)])
-    parts = [work(texts.slice(a, b - a).to_pylist()) for a, b in pairwise(edges.tolist())]
-    return pa.concat_arrays(parts) if parts else work([])
+    ids, decoded = zip(*codec.encode_all(texts)) if texts else ((), ())
+    offsets = np.cumsum([0, *map(len, ids)]) // 4
+    flat = np.frombuffer(b"".join(ids), np.int32)
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)), pa.array(decoded, pa.string())], ["ids", "decoded"])
 
 
 def read_vocab(path: str) -> bytes:
@@ -226,7 +332,7 @@ def bpe_encode(df: DataFrame, vocab_path: str, text_col: str = "text",
     @F.arrow_udf("ids array<int>, decoded string")
     def coded(texts: pa.Array) -> pa.Array:
         codec = _codec(shared.value)
-        return _in_slices(texts, lambda part: encode_batch(codec, part))
+        return in_slices(texts, lambda part: encode_batch(codec, part))
 
     out = free_name(df, "coded")
     return (df.withColumn(out, coded(F.col(text_col)))

@@ -37,8 +37,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.bpe_tree import _in_slices
 from statlake.llm.common import arrow_rows, free_name, words
+from statlake.llm.worker import held, in_slices
 
 BUCKETS = 1 << 15
 #: Share of the expected log-likelihood a letter from which nothing is taken off a score.
@@ -108,14 +108,9 @@ class Model:
         return reader(self).predict(texts)
 
 
-_READER: list[Reader] = []
-
-
 def reader(model: Model) -> Reader:
-    """The worker's reader; a new model drops the last one's caches."""
-    if not _READER or _READER[0].model.name != model.name:
-        _READER[:] = [Reader(model)]
-    return _READER[0]
+    """The worker's reader of this model."""
+    return held(("language", model.name), lambda: Reader(model))
 
 
 class Reader:
@@ -319,7 +314,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str =
 
     @F.arrow_udf("lang string, score double")
     def language(texts: pa.Array) -> pa.Array:
-        return _in_slices(texts, shared.value.predict, 4 << 20)
+        return in_slices(texts, shared.value.predict, 4 << 20)
 
     out = free_name(df, "found")
     return df.withColumn(out, language(F.col(text_col))).withColumns({lang_col: F.col(out)["lang"], score_col: F.col(out)["score"]}).drop(out)

@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.bpe_tree import _in_slices
 from statlake.llm.components import connected
 from statlake.llm.common import arrow_rows, free_name
+from statlake.llm.worker import held, in_slices
 from statlake.session import cut_lineage
 
 #: Bits that a hot node goes deeper at a time.
@@ -72,7 +72,8 @@ def simhash(text: Column, shingle: int) -> Column:
     def fingerprint(texts: pa.Array) -> pa.Array:
         def part(x):
             return pa.array(np.array([text_fingerprint(t, shingle) for t in x], np.uint64).view(np.int64))
-        return _in_slices(texts, part)
+        held(None)
+        return in_slices(texts, part)
 
     return fingerprint(text)
 

@@ -32,12 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.llm.bpe_tree import CACHE_WORDS
 from statlake.llm.common import arrow_rows
+from statlake.llm.worker import held
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
-_CACHE: dict[bytes, int] = {}
+#: Word hashes that a worker keeps before it starts afresh.
+CACHE_WORDS = 1 << 18
 #: Text of a batch that is worked on at a time.
 SLICE_BYTES = 8 << 20
 
@@ -49,14 +50,15 @@ def split_words(text: str | None) -> list[bytes]:
 def word_hashes(found: list[bytes]) -> np.ndarray:
     import xxhash
 
-    places = list(map(_CACHE.get, found))
+    cache = held("word hashes", dict)
+    places = list(map(cache.get, found))
     if None in places:
-        if len(_CACHE) > CACHE_WORDS:
-            _CACHE.clear()
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
         for w in found:
-            if w not in _CACHE:
-                _CACHE[w] = xxhash.xxh64_intdigest(w, 7)
-        places = list(map(_CACHE.__getitem__, found))
+            if w not in cache:
+                cache[w] = xxhash.xxh64_intdigest(w, 7)
+        places = list(map(cache.__getitem__, found))
     return np.array(places, np.uint64)
 
 

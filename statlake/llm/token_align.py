@@ -38,6 +38,7 @@ from statlake.llm.bounded import sum_vectors, vector_rows
 from statlake.llm.bpe_tree import byte_alphabet, read_vocab
 from statlake.llm.common import arrow_rows
 from statlake.llm.ngrams import slices, text_bytes
+from statlake.llm.worker import held
 from statlake.session import cut_lineage
 
 #: How byte-level BPE cuts a text before merging (fixed value).
@@ -92,17 +93,10 @@ class Vocabularies:
         return a, b
 
 
-_LOADED: dict[tuple, Vocabularies] = {}
-
-
 def _vocabularies(shared) -> Vocabularies:
-    """The worker's one pair of tokenizers."""
+    """The worker's pair of tokenizers."""
     a_data, b_data = shared.value
-    key = hash(a_data), hash(b_data)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Vocabularies(a_data, b_data)
-    return _LOADED[key]
+    return held(("aligned", len(a_data), hash(a_data), hash(b_data)), lambda: Vocabularies(a_data, b_data))
 
 
 def _bytes_differ(v: Vocabularies, texts: list[str], a: list[np.ndarray], b: list[np.ndarray], raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
