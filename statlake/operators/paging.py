@@ -32,7 +32,7 @@ def take_rows(df: DataFrame, limit: int | None = None, start_position: int = 1,
     ``keys`` name a pull (default: those of ``PAGE_KEYS`` that are columns; an
     empty list numbers all rows together)."""
     if start_position < 1:
-        raise ValueError("start_position is 1-based; use 1 for the first row")
+        raise ValueError("start_position counts from 1")
     if limit is not None and limit < 0:
         raise ValueError("limit must be a non-negative whole number")
     order = order_by or ["page_offset", "pos"]

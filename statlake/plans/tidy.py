@@ -49,7 +49,7 @@ def _prepare(obs, stats_data_id, lang, fallback_lang, codes, time_from, time_to,
     check_count(limit, "limit")
     check_count(start_position, "start_position")
     if int(start_position) == 0:
-        raise InvalidArgument("start_position is 1-based; use 1 for the first row")
+        raise InvalidArgument("start_position counts from 1")
     if fallback_lang:
         first, second = normalise_lang(lang or "E"), normalise_lang(fallback_lang)
         o = _restrict(obs, stats_data_id, None)

@@ -96,7 +96,7 @@ def read_bodies(spark: SparkSession, path: str | list[str],
     One file is one body (whole-text read, so pretty-printed JSON works).
     Hive-style folders such as ``stats_data_id=.../lang=E/`` become columns
     through partition discovery; name them in ``partitions`` to keep them as
-    strings (codes like ``0003217721`` keep their leading zeros) and to let
+    strings (codes like ``0009900001`` keep their leading zeros) and to let
     filters on them prune folders.
     """
     reader = spark.read

@@ -92,7 +92,7 @@ def test_driver_side_validation():
     for args in (("",), ("abc123",), ("123", -5), ("123", None, 0), ("123", 2.7)):
         with pytest.raises(InvalidArgument):
             validate_stats_data_args(*args)
-    validate_stats_data_args("0003217721", 10, 1)
+    validate_stats_data_args("0009900001", 10, 1)
     for kw in ({"search_kind": "9"}, {"limit": -1}, {"stats_code": "123"}):
         with pytest.raises(InvalidArgument):
             validate_search_args(**kw)
