@@ -8,17 +8,24 @@ n-grams, so an n-gram of the smaller one's first ``x - need(x, x) + 1`` is among
 larger one's first ``y - ceil(percent y / 100) + 1``.
 
 1. Equal sets are one class, known by a 64-bit digest; only classes are joined.
-2. N-grams in the leading parts of two classes or more, at least one of them a
-   possible smaller side, are the roots of the trees.
-3. Each class is checked against the first class of each of its roots, which
-   settles dense groups with as many checks as rows.
+2. N-grams in the leading parts of two classes or more are the roots of the trees.
+   Leading parts are a little longer than one shared n-gram needs: each n-gram more
+   means one more that similar sets must share there, so classes with
+   fewer shared ones drop out (twice, as roots drop out with them).  The others keep their leading part and a parity signature: a bit for
+   each of ``SIGNATURE`` hash classes, set if their number in the set is odd.  Two
+   signatures never differ in more bits than the sets differ in n-grams.
+3. Dense groups are settled with as many checks as rows: each class is paired with
+   three classes of each of its roots (the least by three hashes), and the trees
+   of step 4 add, for each root, the closest pairs that join the groups so found.
 4. Roots whose classes are not yet in one component: what follows the root in
    the leading parts of possible smaller sides is stored in a trie, and the
    larger sides walk it level by level, many at a time.  Sets with a common beginning
    share the overlap counted on it.  A subtree is left as soon as the overlap so far
    plus the lesser remaining length falls below need, its sizes do not fit or it
-   lies within the walker's own component.  Pairs that reach an end are
-   checked on the whole sets.  A root with many classes is dealt out as a grid of blocks.
+   lies within the walker's own component.  Pairs that reach an end and whose
+   signatures do not differ too much are checked on the whole sets; a pair that
+   shares an n-gram just before the root is left to that root.  A root with many
+   classes is dealt out as a grid of blocks.
 
 Every similar pair of different components meets in step 4, so none is lost; pairs
 inside a component are not listed.
@@ -39,13 +46,13 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statlake.llm.bounded import bitmap, in_bitmap, sum_vectors, vector_rows
 from statlake.llm.common import arrow_rows
 from statlake.llm.components import connected
-from statlake.llm.ngrams import Words, distinct, mix, per_slice, shingles
+from statlake.llm.ngrams import Words, distinct, mix, per_slice, shingles, sort_each
 from statlake.session import cut_lineage
 
 #: Hash buckets whose counts give the global order.
@@ -53,8 +60,14 @@ BUCKETS = 1 << 20
 CHUNKS = 64
 #: Bits of the filter of root n-grams and of that of classes.
 ROOT_BITS, CLASS_BITS = 27, 24
+#: Bits of a set's parity signature.
+SIGNATURE = 1024
 #: N-grams after a root that go into its tree.
-DEPTH = 32
+DEPTH = 24
+#: Roots of each class whose trees settle dense groups.
+FEW_ROOTS = 8
+#: N-grams before a root that go with it, to leave a pair to its first root.
+BEFORE = 8
 #: Rows of each side in a block of a root's grid.
 BLOCK = 1024
 #: Pairs of a walker and a tree node that are looked at together.
@@ -72,9 +85,22 @@ class Rule:
         """Shared n-grams that sets with ``both`` n-grams together must have."""
         return -(-self.percent * both // (100 + self.percent))
 
+    def most_apart(self, both):
+        """N-grams that only one of two similar sets has, at most."""
+        return both - 2 * self.need(both)
+
+    def least_met(self, n):
+        """N-grams that the leading parts of similar sets of ``n`` share at least."""
+        return 1 + n // 50
+
     def lead(self, n):
-        """N-grams at the front of a set of ``n`` that a similar set may meet."""
-        return n + (-self.percent * n // 100) + 1
+        """Length of the leading part: a set whose part is as long, less all but one
+        of those shared, could still share one n-gram with any similar set."""
+        return n + (-self.percent * n // 100) + self.least_met(n)
+
+    def smallest(self, n):
+        """Size of the smallest set that can be similar to one of ``n``."""
+        return -(-self.percent * n // 100)
 
     def holds(self, shared, both):
         return 100 * shared >= self.percent * (both - shared)
@@ -96,10 +122,20 @@ def _order_keys(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return levels[(hashes & np.uint64(BUCKETS - 1)).astype(np.int64)] << np.uint64(54) | hashes >> np.uint64(10)
 
 
-def _ordered(hashes: np.ndarray, edges: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _leads(hashes: np.ndarray, edges: np.ndarray, levels: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Order keys of the sets, each in order, and which are in a leading part."""
     keys = _order_keys(hashes, levels)
-    order = np.lexsort((keys, np.repeat(np.arange(len(edges) - 1), np.diff(edges))))
-    return hashes[order], keys[order]
+    sort_each(keys, edges)
+    n = np.diff(edges)
+    return keys, np.arange(len(keys)) - np.repeat(edges[:-1], n) < np.repeat(rule.lead(n), n)
+
+
+def _signatures(hashes: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A row of bytes for each set, see step 2."""
+    sets = len(edges) - 1
+    place = np.repeat(np.arange(sets), np.diff(edges)) * SIGNATURE + (hashes >> np.uint64(22) & np.uint64(SIGNATURE - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=sets * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(sets, SIGNATURE), axis=1)
 
 
 def _sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,45 +169,82 @@ def _classes_and_counts(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.mapInArrow(work, "id long, n long, class long, chunk int, counts binary")
 
 
-def _leading_rows(docs: DataFrame, rule: Rule, levels, roots=None) -> DataFrame:
-    """(key, class, n, rest): each n-gram of a set's leading part, with the number
-    of n-grams from it to the end; with ``roots``, only those that it may hold."""
+def _leading_rows(docs: DataFrame, rule: Rule, levels) -> DataFrame:
+    """(key, class): the n-grams of the sets' leading parts."""
 
     def rows(part: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
         hashes, edges = _sets(texts, rule.words)
-        _, keys = _ordered(hashes, edges, levels.value)
-        n = np.diff(edges)
-        place = np.arange(len(keys)) - np.repeat(edges[:-1], n)
-        sizes = np.repeat(n, n)
-        lead = place < rule.lead(sizes)
-        if roots is not None:
-            lead &= in_bitmap(roots.value, mix(keys))
-        return pa.RecordBatch.from_arrays([_longs(x[lead]) for x in (keys, np.repeat(_digests(hashes, edges), n), sizes, sizes - place)], ["key", "class", "n", "rest"])
-
-    return docs.select("text").mapInArrow(lambda b: per_slice(b, "text", rows), "key long, class long, n long, rest long")
-
-
-def _sets_of(docs: DataFrame, rule: Rule, levels, wanted: DataFrame, lead_only: bool) -> DataFrame:
-    """(class, values): the n-grams, in order, of the classes in ``wanted`` (and
-    of a few more that its filter lets through), one row a class; with
-    ``lead_only`` the order keys of the leading part, else all hashes, ascending."""
+        keys, lead = _leads(hashes, edges, levels.value, rule)
+        return pa.RecordBatch.from_arrays([_longs(keys[lead]), _longs(np.repeat(_digests(hashes, edges), np.diff(edges))[lead])], ["key", "class"])
+
+    return docs.select("text").mapInArrow(lambda b: per_slice(b, "text", rows), "key long, class long")
+
+
+def _first_of_class(classes: np.ndarray, take: np.ndarray) -> np.ndarray:
+    """``take`` without the further copies of a class in this slice."""
+    first = np.zeros(len(classes), bool)
+    first[np.unique(classes, return_index=True)[1]] = True
+    return take & first
+
+
+def _fronts(docs: DataFrame, rule: Rule, levels, roots) -> DataFrame:
+    """(class, n, lead, signature) of the classes that may have a root, one row each."""
+
+    def rows(part: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+        hashes, edges = _sets(texts, rule.words)
+        keys, lead = _leads(hashes, edges, levels.value, rule)
+        classes, n = _digests(hashes, edges), np.diff(edges)
+        shared = np.bincount(np.repeat(np.arange(len(n)), n)[lead][in_bitmap(roots.value, mix(keys[lead]))], minlength=len(n))
+        take = _first_of_class(classes, (n > 0) & (shared >= rule.least_met(rule.smallest(n))))
+        kept = lead & np.repeat(take, n)
+        offsets = np.concatenate(([0], np.cumsum(rule.lead(n)[take])))
+        signatures = _signatures(hashes, edges)
+        return pa.RecordBatch.from_arrays([
+            _longs(classes[take]), _longs(n[take]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _longs(keys[kept])),
+            pa.array([signatures[i].tobytes() for i in np.flatnonzero(take)], pa.binary())], ["class", "n", "lead", "signature"])
+
+    found = docs.select("text").mapInArrow(lambda b: per_slice(b, "text", rows), "class long, n long, lead array<long>, signature binary")
+    return found.dropDuplicates(["class"])
+
+
+def _sets_of(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
+    """(class, values): all hashes, ascending, of the classes in ``wanted`` (and
+    of a few more that its filter lets through), one row a class."""
     chosen = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "class", CLASS_BITS))
 
     def rows(part: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
         hashes, edges = _sets(texts, rule.words)
         classes, n = _digests(hashes, edges), np.diff(edges)
-        _, first = np.unique(classes, return_index=True)
-        take = np.zeros(len(n), bool)
-        take[first] = True
-        take &= in_bitmap(chosen.value, classes) & (n > 0)
-        values, size = (_ordered(hashes, edges, levels.value)[1], rule.lead(n)) if lead_only else (hashes, n)
-        inside = np.arange(len(values)) - np.repeat(edges[:-1], n) < np.repeat(np.where(take, size, 0), n)
-        offsets = np.concatenate(([0], np.cumsum(size[take])))
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _longs(values[inside]))
+        take = _first_of_class(classes, in_bitmap(chosen.value, classes) & (n > 0))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n[take]))), pa.int32()), _longs(hashes[np.repeat(take, n)]))
         return pa.RecordBatch.from_arrays([_longs(classes[take]), lists], ["class", "values"])
 
-    found = docs.select("text").mapInArrow(lambda b: per_slice(b, "text", rows), "class long, values array<long>")
-    return found.join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    return docs.select("text").mapInArrow(lambda b: per_slice(b, "text", rows), "class long, values array<long>").dropDuplicates(["class"])
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of signatures: at most the n-grams that only one set has."""
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
+def _signature_rows(column: pa.Array) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), SIGNATURE // 64)
+
+
+def _alike(pairs: DataFrame, fronts: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow them to be similar."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (_signature_rows(batch.column(c)) for c in ("x", "y"))
+            both = batch.column("both").to_numpy()
+            yield batch.filter(pa.array(_apart(x, y) <= rule.most_apart(both))).select(["a", "b"])
+
+    x = fronts.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("signature").alias("x"))
+    y = fronts.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("na") + F.col("nb")).alias("both")).mapInArrow(keep, "a long, b long")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -211,7 +284,7 @@ class Forest:
     def __init__(self, root: np.ndarray, n_roots: int, paths: np.ndarray, depth: np.ndarray, n: np.ndarray, rest: np.ndarray, label: np.ndarray):
         self.levels: list[dict[str, np.ndarray]] = []
         rows, at, count, d = np.arange(len(root)), root, n_roots, 0
-        gram = np.zeros(n_roots, np.uint64)
+        gram = np.zeros(n_roots, np.int32)
         while True:
             big = np.iinfo(np.int64).max
             level = {"gram": gram, "least": np.full(count, big), "most": np.zeros(count, np.int64), "rest": np.zeros(count, np.int64),
@@ -277,22 +350,69 @@ def walk(forest: Forest, root: np.ndarray, paths: np.ndarray, depth: np.ndarray,
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _tree_pairs(table: pa.Table, rule: Rule) -> pa.RecordBatch:
-    """Pairs of classes left by the trees of whole blocks of roots."""
+def _spanning(root: np.ndarray, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Which pairs, the closest first, join labels that no earlier pair of their
+    root has joined: fewer pairs than labels."""
+    number, first = _first_of(np.concatenate((root, root)), np.concatenate((a, b)))
+    parent = list(range(len(first)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    keep = []
+    for i in np.argsort(apart, kind="stable").tolist():
+        x, y = find(number[i]), find(number[i + len(a)])
+        if x != y:
+            parent[x] = y
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
+def _meet_before(before: pa.ListArray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether rows ``x`` and ``y`` share one of the n-grams just before their
+    root: then they meet at that root as well, with more in common."""
+    starts, sizes = before.offsets.to_numpy()[:-1], np.diff(before.offsets.to_numpy())
+    flat = np.append(before.values.to_numpy(), np.int64(-1))
+    column = np.arange(BEFORE)
+
+    def grid(rows: np.ndarray, none: int) -> np.ndarray:
+        inside = column[None, :] < sizes[rows][:, None]
+        return np.where(inside, flat[np.where(inside, starts[rows][:, None] + column[None, :], len(flat) - 1)], none)
+
+    return (grid(x, -1)[:, :, None] == grid(y, -2)[:, None, :]).any(axis=(1, 2))
+
+
+def _tree_pairs(table: pa.Table, rule: Rule, spanning: bool) -> pa.RecordBatch:
+    """Pairs of classes left by the trees of whole blocks of roots; with
+    ``spanning``, only as many as join their labels."""
     root = _first_of(*(table[c].to_numpy() for c in ("key", "band", "i", "j")))[0]
     lists = table["path"].combine_chunks()
     depth = np.minimum(np.diff(lists.offsets.to_numpy()), DEPTH).astype(np.int64)
+    signatures = _signature_rows(table["signature"])
+    lists_before = table["before"].combine_chunks()
     starts = lists.offsets.to_numpy()[:-1]
-    flat = np.append(lists.values.to_numpy().view(np.uint64), np.uint64(0xFFFFFFFFFFFFFFFF))
+    beyond = np.iinfo(np.int32).max
+    flat = np.append(lists.values.to_numpy(), np.int32(beyond))
     column = np.arange(max(1, int(depth.max(initial=0))))
     inside = column[None, :] < depth[:, None]
-    paths = np.where(inside, flat[np.where(inside, starts[:, None] + column[None, :], len(flat) - 1)], np.uint64(0xFFFFFFFFFFFFFFFF))
+    paths = np.where(inside, flat[np.where(inside, starts[:, None] + column[None, :], len(flat) - 1)], np.int32(beyond))
     col = {c: table[c].to_numpy() for c in ("n", "rest", "label", "class")}
     store = np.flatnonzero(table["stored"].to_numpy(zero_copy_only=False))
     go = np.flatnonzero(~table["stored"].to_numpy(zero_copy_only=False))
     stored = {c: v[store] for c, v in col.items()}
     forest = Forest(root[store], int(root.max(initial=-1)) + 1, paths[store], depth[store], stored["n"], stored["rest"], stored["label"])
     w, s = walk(forest, root[go], paths[go], depth[go], col["n"][go], col["rest"][go], col["label"][go], col["class"][go], stored, rule)
+    apart = np.concatenate([np.empty(0, np.int64), *(_apart(signatures[go[w[i:i + WALK]]], signatures[store[s[i:i + WALK]]]) for i in range(0, len(w), WALK))])
+    near = apart <= rule.most_apart(col["n"][go][w] + stored["n"][s])
+    w, s, apart = w[near], s[near], apart[near]
+    if not spanning:
+        earlier = np.concatenate([np.empty(0, bool), *(_meet_before(lists_before, go[w[i:i + WALK]], store[s[i:i + WALK]]) for i in range(0, len(w), WALK))])
+        w, s = w[~earlier], s[~earlier]
+    if spanning:
+        kept = _spanning(root[go][w], col["label"][go][w], stored["label"][s], apart)
+        w, s = w[kept], s[kept]
     a, b = col["class"][go][w], stored["class"][s]
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
     return pa.RecordBatch.from_arrays([_longs(np.ascontiguousarray(pairs[:, 0])), _longs(np.ascontiguousarray(pairs[:, 1]))], ["a", "b"])
@@ -320,11 +440,19 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iter
         yield pa.Table.from_batches(held)
 
 
-def _tree_candidates(rows: DataFrame, fronts: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b): pairs of classes of different components that the trees leave.
+def _is_small(rule: Rule) -> Column:
+    """Whether a row can be the smaller side of a pair that meets at its root."""
+    return F.col("rest") >= F.ceil(F.lit(2 * rule.percent) * F.col("n") / (100 + rule.percent))
+
 
-    ``rows`` has (key, class, n, rest, label) of the roots still open."""
-    is_small = F.col("rest") >= F.ceil(F.lit(2 * rule.percent) * F.col("n") / (100 + rule.percent))
+def _tree_candidates(rows: DataFrame, labels: DataFrame, fronts: DataFrame, rule: Rule, spanning: bool) -> DataFrame:
+    """(a, b): pairs of classes with different labels that the trees leave.
+
+    ``rows`` has (key, class, n, rest), ``labels`` the components so far."""
+    is_small = _is_small(rule)
+    rows = rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
+    open_roots = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(is_small).alias("small")).filter("lo <> hi and small").select("key")
+    rows = rows.join(open_roots, "key")
     band = rule.band(F.col("n"))
     small = rows.filter(is_small).select("key", band.alias("band"), "class", "n", "rest", "label", F.lit(True).alias("stored"))
     large = rows.select("key", F.explode(F.array(band, band - 1)).alias("band"), "class", "n", "rest", "label", F.lit(False).alias("stored"))
@@ -336,13 +464,16 @@ def _tree_candidates(rows: DataFrame, fronts: DataFrame, rule: Rule) -> DataFram
     grid = (small.join(sizes, ["key", "band"]).withColumns({"i": own("bs")}).withColumn("j", numbers("bl"))
             .unionByName(large.join(sizes, ["key", "band"]).withColumns({"j": own("bl")}).withColumn("i", numbers("bs"))))
     after = (F.col("n") - F.col("rest") + 2).cast("int")  # the place behind the root, counted from 1
-    rows = grid.join(fronts, "class").withColumn("path", F.slice("values", after, DEPTH))
+    # 32 of an n-gram's 64 bits keep the order; two taken for one only loosen a bound
+    path = F.transform(F.slice("lead", after, DEPTH), lambda k: F.shiftright(k, 32).cast("int"))
+    before = F.slice("lead", F.greatest(after - (BEFORE + 1), F.lit(1)), F.least(after - 2, F.lit(BEFORE)))
+    rows = grid.join(fronts.select("class", "lead", "signature"), "class").withColumns({"path": path, "before": before})
     order = ["key", "band", "i", "j"]
-    dealt = rows.select(*order, "class", "n", "rest", "label", "stored", "path").repartition(*order).sortWithinPartitions(*order)
+    dealt = rows.select(*order, "class", "n", "rest", "label", "stored", "path", "before", "signature").repartition(*order).sortWithinPartitions(*order)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, order):
-            yield _tree_pairs(table, rule)
+            yield _tree_pairs(table, rule, spanning)
 
     return dealt.mapInArrow(pairs, "a long, b long").distinct()
 
@@ -357,30 +488,39 @@ def _broadcast_levels(spark: SparkSession, counts: np.ndarray):
 
 def similar_classes(docs: DataFrame, rule: Rule, levels) -> DataFrame:
     """(a, b): links between classes that join all similar ones into components."""
-    small = F.col("rest") >= F.ceil(F.lit(2 * rule.percent) * F.col("n") / (100 + rule.percent))
-    lead = _leading_rows(docs, rule, levels)
-    roots = (lead.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.max(small).alias("small"), F.min(F.struct("class", "n", "rest")).alias("first"))
-             .filter("lo <> hi and small").select("key", "first"))
-    roots = cut_lineage(roots, "roots")
+    roots = _leading_rows(docs, rule, levels).groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    roots = cut_lineage(roots.filter("lo <> hi").select("key"), "roots")
     mixed = roots.select(F.col("key").alias("raw")).mapInArrow(
         lambda batches: (pa.RecordBatch.from_arrays([_longs(mix(b.column(0).to_numpy().view(np.uint64)))], ["key"]) for b in batches), "key long")
     chosen = docs.sparkSession.sparkContext.broadcast(bitmap(mixed, "key", ROOT_BITS))
-    rows = cut_lineage(_leading_rows(docs, rule, levels, chosen).join(roots, "key").dropDuplicates(["key", "class"]), "rooted")
-
-    first = lambda c: F.col("first")[c]
-    both = F.col("n") + first("n")
-    enough = F.least("rest", first("rest")) * (100 + rule.percent) >= both * rule.percent
-    stars = rows.filter((F.col("class") != first("class")) & enough).select(F.col("class").alias("a"), first("class").alias("b")).distinct()
-    stars = cut_lineage(stars, "stars")
-    links = cut_lineage(_checked(stars, _sets_of(docs, rule, levels, _ends(stars), False), rule), "linked")
+    fronts = cut_lineage(_fronts(docs, rule, levels, chosen), "fronts")
+    rows = fronts.select("class", "n", F.posexplode("lead").alias("place", "key")).withColumn("rest", F.col("n") - F.col("place"))
+    rows = rows.select("key", "class", "n", "rest").join(roots, "key").dropDuplicates(["key", "class"])
+    smallest = F.ceil(F.lit(rule.percent) * F.col("n") / 100)
+    for _ in range(2):
+        shared = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("key")
+        rows = rows.join(shared, "key")
+        enough = rows.groupBy("class", "n").agg(F.count("*").alias("met")).filter(F.col("met") >= 1 + F.floor(smallest / 50)).select("class")
+        rows = cut_lineage(rows.join(enough, "class", "left_semi"), "rooted")
+    rows = rows.filter(F.col("rest") >= smallest)  # where two similar sets can meet first
+
+    firsts = [F.min(F.struct(F.xxhash64(F.lit(turn), "class").alias("h"), "class", "n", "rest")).alias(f"first{turn}") for turn in range(3)]
+    centres = rows.groupBy("key").agg(F.max(_is_small(rule)).alias("small"), *firsts).filter("small").select("key", F.explode(F.array_distinct(F.array(
+        *[F.struct(*[F.col(f"first{turn}")[c].alias(c) for c in ("class", "n", "rest")]) for turn in range(3)]))).alias("centre"))
+    to = lambda c: F.col("centre")[c]
+    enough = F.least("rest", to("rest")) * (100 + rule.percent) >= (F.col("n") + to("n")) * rule.percent
+    stars = rows.join(centres, "key").filter((F.col("class") != to("class")) & enough)
+    stars = stars.select(F.least("class", to("class")).alias("a"), F.greatest("class", to("class")).alias("b")).distinct()
+    stars = cut_lineage(_alike(stars, fronts, rule), "stars")
+    guessed = cut_lineage(connected(stars), "guessed")
+    least = F.row_number().over(Window.partitionBy("class").orderBy(F.xxhash64("key")))
+    few = rows.withColumn("turn", least).filter(F.col("turn") <= FEW_ROOTS).drop("turn")  # similar sets share their least n-grams as a rule
+    first = cut_lineage(stars.unionAll(_tree_candidates(few, guessed, fronts, rule, spanning=True)).distinct(), "first")
+    links = cut_lineage(_checked(first, _sets_of(docs, rule, _ends(first)), rule), "linked")
     labels = cut_lineage(connected(links), "labels")
-
-    labelled = rows.select("key", "class", "n", "rest").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
-    open_roots = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(small).alias("small")).filter("lo <> hi and small").select("key")
-    labelled = cut_lineage(labelled.join(open_roots, "key"), "open")
-    fronts = _sets_of(docs, rule, levels, labelled.select("class").distinct(), True)
-    pairs = cut_lineage(_tree_candidates(labelled, fronts, rule), "pairs")
-    more = _checked(pairs, _sets_of(docs, rule, levels, _ends(pairs), False), rule)
+    pairs = _tree_candidates(rows, labels, fronts, rule, spanning=False)
+    pairs = cut_lineage(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+    more = _checked(pairs, _sets_of(docs, rule, _ends(pairs)), rule)
     return cut_lineage(links.unionAll(more), "links")
 
 

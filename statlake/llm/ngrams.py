@@ -8,6 +8,7 @@ hashes.  Nothing here is per word or per text in Python.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -124,14 +125,20 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(texts), np.concatenate(hashes)
 
 
+def sort_each(values: np.ndarray, edges: np.ndarray) -> None:
+    """Sort the values between each two edges, in place."""
+    for a, b in pairwise(edges.tolist()):
+        values[a:b].sort()
+
+
 def distinct(text: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, value), ordered, as values and the texts' edges in them."""
-    order = np.lexsort((value, text))
+    order = np.argsort(text, kind="stable")
     text, value = text[order], value[order]
+    sort_each(value, np.searchsorted(text, np.arange(n_texts + 1)))
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
-    text, value = text[new], value[new]
-    return value, np.searchsorted(text, np.arange(n_texts + 1))
+    return value[new], np.searchsorted(text[new], np.arange(n_texts + 1))
 
 
 def per_slice(batches: Iterator[pa.RecordBatch], column: str, work: Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
