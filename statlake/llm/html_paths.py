@@ -6,12 +6,12 @@ ratio (characters a node) and the punctuation ratio are smoothed along the page,
 so that a short block between long ones is lifted, fused by multiplication, and
 paths whose fused score falls too far below the best one are dropped.  Paths
 through elements that never hold the article (navigation, footers, forms,
-scripts, ...) are out from the start, and if the page marks its article, paths
-outside it are too.
+scripts, ...) are out from the start, and if the page marks its article (by
+``article`` elements, else ``main``), paths outside it are too.
 
 Inside a marked article the score decides as well, relative to the article's own
 paths, with the logarithm of the text ratio and a lower threshold: short blocks
-(headings, cells, items) stay, long runs of bare links go.  A class or role that
+(headings, cells, items) stay, long runs of bare links go.  A class, role or id that
 tells of an advert, a notice, comments, ... sets its element apart as paths of
 their own; they stay only if one of them scores at least as well as the best path
 outside the element.
@@ -38,30 +38,39 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.bpe_tree import _in_slices
 from statlake.llm.common import arrow_rows
+from statlake.llm.worker import held, in_slices
 
 #: Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas annotation annotation-xml".split())
 BLOCK = frozenset(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                    "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul").split())
-NEVER = frozenset("head nav footer aside form script style noscript template textarea title iframe svg math object canvas button select menu dialog".split())
+NEVER = frozenset("head nav footer aside form script style noscript template textarea title iframe svg object canvas button select menu dialog annotation annotation-xml".split())
 #: An open element of the key is closed by a start tag of the value.
 CLOSED_BY = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
              "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "tr": frozenset(["tr"]), "option": frozenset(["option"])}
 #: Where the search for an element to close ends.
 SCOPE = frozenset("article aside body div footer form header main nav ol section table td th ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Whole class names and roles that hint at what is not the article (fixed values).
+#: Elements that mark the article; the innermost kind on a page counts.
+ARTICLE = {"main": 1, "article": 2}
+#: Words that hint, as a class, a role or an element's id, at what is not the article (fixed values).
 NOISE = regex.compile(r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|menu|nav|navbar|navigation|"
                       r"breadcrumbs?|sidebar|side|footer|masthead|comment\w*|respond|disqus|share|sharing|social|related|recommend\w*|"
                       r"newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|copyright|legal", regex.I)
+#: Words that may stand beside a hint in a hyphened name (``ad-slot``, ``related-posts``); with any other
+#: word (``side-effects``, ``with-sidebar``) the name is no hint (fixed values).
+BESIDE = frozenset(("area bar block bottom box button buttons container content feed form group header inner item items left link links list main outer panel post posts "
+                    "right section site slot stories story thread title top unit wrap wrapper zone page").split())
 #: The same, but only outside the article (inside it a header holds its title).
 OUTER_NOISE = regex.compile(r"header|top", regex.I)
 TOKEN = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
                       r"(?P<more>(?:[^>\"']|\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))*+)(?:>|$)", regex.S)
-ATTRIBUTE = regex.compile(r"""(?<![^\s"'/])(class|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", regex.I)
+ATTRIBUTE = regex.compile(r"""(?<![^\s"'/])(class|role|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", regex.I)
+#: Elements whose id names their own text, such as a heading's.
+OWN_TEXT = HEADINGS | {"p", "li", "a", "span", "td", "th", "dt", "dd"}
+HYPHEN = regex.compile(r"[-_]")
 SPACE = regex.compile(r"\s+")
 PUNCTUATION = regex.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -76,7 +85,7 @@ class Node:
     text: str
     plain: int
     allowed: bool
-    in_article: bool
+    in_article: int
     hint: int
 
 
@@ -85,11 +94,20 @@ class State(NamedTuple):
 
     name: str = ""
     allowed: bool = True
-    in_article: bool = False
+    in_article: int = 0
     hint: int = 0
     linked: bool = False
 
 
+def tells(mark: str) -> bool:
+    """Whether a class, role or id hints at what is not the article: a word of
+    ``NOISE``, alone or hyphened with such words and those of ``BESIDE`` only."""
+    if NOISE.fullmatch(mark):
+        return True
+    parts = [x for x in HYPHEN.split(mark.lower()) if x]
+    return len(parts) > 1 and all(x in BESIDE or NOISE.fullmatch(x) for x in parts) and any(x not in BESIDE and NOISE.fullmatch(x) for x in parts)
+
+
 def text_nodes(page: str, parents: list[int]) -> Iterator[Node]:
     """The page's blocks of text in order; inline elements do not cut a block.
     ``parents`` gets, for each element with a hint (from 1 on, in page order),
@@ -140,7 +158,7 @@ def text_nodes(page: str, parents: list[int]) -> Iterator[Node]:
                 del stack[depth:]
             continue
         if name == "br":
-            pieces.append(" ")
+            take(" ")
             continue
         if name in BLOCK:
             yield from flush()
@@ -157,17 +175,17 @@ def text_nodes(page: str, parents: list[int]) -> Iterator[Node]:
         if name in VOID:
             continue
         top = stack[-1] if stack else State()
-        marks = [x for v in ATTRIBUTE.finditer(m["more"] or "") for x in (v[2] or v[3] or v[4] or "").split()]
-        article = name in ("article", "main")
+        marks = [x for v in ATTRIBUTE.finditer(m["more"] or "") if name not in OWN_TEXT or v[1].lower() != "id" for x in (v[2] or v[3] or v[4] or "").split()]
+        article = ARTICLE.get(name, 0)
         keep = top.allowed and name not in NEVER and (top.in_article or name != "header")
         hint = top.hint
-        if keep and not article and name not in ("html", "body") and any(NOISE.fullmatch(x) or not top.in_article and OUTER_NOISE.fullmatch(x) for x in marks):
+        if keep and not article and name not in ("html", "body") and any(tells(x) or not top.in_article and OUTER_NOISE.fullmatch(x) for x in marks):
             hint = len(parents)
             parents.append(top.hint)
         if (keep, hint) != (top.allowed, top.hint):
             yield from flush()
         linked_here = top.linked or name == "a" and not any(e.name in HEADINGS for e in stack)
-        stack.append(State(name, keep, top.in_article or article, hint, linked_here))
+        stack.append(State(name, keep, max(top.in_article, article), hint, linked_here))
     if at < len(page):
         take(page[at:])
     yield from flush()
@@ -225,12 +243,11 @@ def extract(page: str | None, least: float = 0.02, least_marked: float = 0.001)
     """The blocks of the content paths, one a line."""
     parents: list[int] = []
     nodes = [n for n in text_nodes(page or "", parents) if n.allowed]
-    marked = any(n.in_article for n in nodes)
-    if marked:
-        nodes = [n for n in nodes if n.in_article]
+    marked = max((n.in_article for n in nodes), default=0)
+    nodes = [n for n in nodes if n.in_article == marked]
     if not nodes:
         return ""
-    scores = path_scores(nodes, marked)
+    scores = path_scores(nodes, marked > 0)
     believed = refuted_hints(nodes, scores, parents)
     floor = (least_marked if marked else least) * max(s for n, s in zip(nodes, scores, strict=True) if believed[n.hint])
     return "\n".join(n.text for n, s in zip(nodes, scores, strict=True) if believed[n.hint] and s >= floor)
@@ -242,6 +259,7 @@ def extract_main_text(df: DataFrame, html_col: str = "html", out_col: str = "tex
 
     @F.arrow_udf("string")
     def main_text(pages: pa.Array) -> pa.Array:
-        return _in_slices(pages, lambda part: pa.array([extract(p) for p in part], pa.string()))
+        held(None)
+        return in_slices(pages, lambda part: pa.array([extract(p) for p in part], pa.string()))
 
     return df.withColumn(out_col, main_text(F.col(html_col)))
