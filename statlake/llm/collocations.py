@@ -41,7 +41,7 @@ from statlake.session import cut_lineage
 #: Between words, and between pieces (fixed values).
 WORD_GAP, PIECE_GAP = b" \t", b".,;:!?\n\x0b\x0c\r"
 #: Text that a task counts before it sends stripes on.
-GATHER_BYTES = 16 << 20
+GATHER_BYTES = 8 << 20
 #: Bits of the filters of phrases that reach the least count, and of words.
 PHRASE_BITS, WORD_BITS = 27, 24
 #: A prefix with over 1 / HOT of all words is cut into SEGMENTS; there are fewer than HOT.
