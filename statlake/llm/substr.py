@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,6 @@ from statlake.llm.worker import held
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
-#: Word hashes that a worker keeps before it starts afresh.
-CACHE_WORDS = 1 << 18
 #: Text of a batch that is worked on at a time.
 SLICE_BYTES = 8 << 20
 
@@ -50,16 +49,8 @@ def split_words(text: str | None) -> list[bytes]:
 def word_hashes(found: list[bytes]) -> np.ndarray:
     import xxhash
 
-    cache = held("word hashes", dict)
-    places = list(map(cache.get, found))
-    if None in places:
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        for w in found:
-            if w not in cache:
-                cache[w] = xxhash.xxh64_intdigest(w, 7)
-        places = list(map(cache.__getitem__, found))
-    return np.array(places, np.uint64)
+    held(None)  # hashing a word anew takes less time than looking it up
+    return np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(7)), np.uint64, len(found))
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -72,6 +63,17 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def last_least(values: np.ndarray, size: int) -> np.ndarray:
+    """Place of the least (ties: last) of the ``size`` values from each place on,
+    as far as there are so many; spans are doubled, the last two overlap."""
+    best, span = np.arange(len(values)), 1
+    while span < size:
+        step = min(span, size - span)
+        left, right = best[:-step], best[step:]
+        best, span = np.where(values[right] <= values[left], right, left), span + step
+    return best
+
+
 class Grid:
     """Words of several texts in one row, with the anchor of each window."""
 
@@ -79,22 +81,13 @@ class Grid:
         found = [split_words(t) for t in texts]
         sizes = np.array([len(w) for w in found], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        words = word_hashes([w for part in found for w in part])
+        words = word_hashes(list(chain.from_iterable(found)))
         self.row = np.repeat(np.arange(len(texts)), sizes)
         ends = self.starts[1:][self.row] if len(self.row) else np.empty(0, np.int64)
         place = np.arange(len(words))
         self.window = np.flatnonzero(place + length <= ends)  # starts of windows
         self.gram = gram_hashes(words, seed)
-        steps = length - seed + 1
-        anchor = self.window.copy()
-        if len(self.window):
-            best = self.gram[self.window]
-            for k in range(1, steps):
-                here = self.gram[self.window + k]
-                lower = here <= best
-                best = np.where(lower, here, best)
-                anchor = np.where(lower, self.window + k, anchor)
-        self.anchor = anchor
+        self.anchor = last_least(self.gram, length - seed + 1)[self.window] if len(self.window) else self.window
         self.words = words
 
 
