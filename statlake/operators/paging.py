@@ -4,7 +4,8 @@ Row order in a landed cube is ``(page_offset, pos)``.  Start position and limit
 count the rows that are left after all filters, within each pull (table,
 language, filter fingerprint).  Rows are counted per range of the order first and
 numbered inside ranges, so no global window and no offset over everything is
-planned; a small limit is cut in every task before the shuffle.
+planned; a small limit is cut in every task before the shuffle by pull, on
+partitions of bounded size, as the cut sorts what a task has.
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ def take_rows(df: DataFrame, limit: int | None = None, start_position: int = 1,
         last = start_position + limit - 1
         if keys:  # each task keeps the first rows of a pull before the shuffle
             number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-            return df.withColumn("__row", number).where((F.col("__row") <= last) & (F.col("__row") >= start_position)).drop("__row")
+            # a page file may hold very many rows: AQE cuts what is dealt out here to its advisory size
+            return df.hint("rebalance", *order).withColumn("__row", number).where((F.col("__row") <= last) & (F.col("__row") >= start_position)).drop("__row")
         top = df.orderBy(*order).limit(last)  # distributed top-k
         return top.offset(start_position - 1) if start_position > 1 else top
     return _numbered(df, order, keys, start_position, limit)
