@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from statlake.model import CLASSES_SCHEMA, NOTES_SCHEMA, OBSERVATION_SCHEMA, PAGE_INFO_SCHEMA
 from statlake.plans import testdata as td
-from statlake.session import checkpoint_dir, cut_lineage, scratch_path
+from statlake.session import checkpoint_dir, cut_lineage, partitions_for, scratch_path
 from statlake.sources.responses import PAGE_KEY, left_out, page_classes, page_notes, page_values, parsed_pages
 
 _LOCK = threading.RLock()
@@ -51,8 +51,9 @@ def _land(spark: SparkSession, sf_dir: str) -> str:
     obs = td.cube_observations(spark, sf_dir, with_order_key=True)
     # Cluster by the most selective code columns so parquet min/max stats
     # let pushed-down code and time filters skip row groups.
-    (obs.sortWithinPartitions("area", "time")
-        .write.mode("overwrite").partitionBy("stats_data_id").parquet(f"{base}/observations"))
+    with partitions_for(spark, td.table(spark, sf_dir, "lineitem").count()):
+        (obs.sortWithinPartitions("area", "time")
+            .write.mode("overwrite").partitionBy("stats_data_id").parquet(f"{base}/observations"))
     td.cube_classes(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/classes")
     td.cube_notes(spark).write.mode("overwrite").parquet(f"{base}/notes")
     return base

@@ -7,9 +7,12 @@ number of shuffle partitions, a cluster's own setting is left alone.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -85,6 +88,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int, per_task: int = 500_000) -> Iterator[None]:
+    """Raise the number of shuffle partitions so that a task gets some
+    ``per_task`` of ``rows``, for jobs whose tasks sort what they get."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if math.ceil(rows / per_task) <= int(before):
+        yield
+        return
+    spark.conf.set(key, str(math.ceil(rows / per_task)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut_lineage(df, name: str = "cut"):
     """Materialise ``df`` as parquet in the shared checkpoint folder and read
     it back: one computation (a reliable RDD checkpoint computes its input
