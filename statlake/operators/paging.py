@@ -40,7 +40,9 @@ def take_rows(df: DataFrame, limit: int | None = None, start_position: int = 1,
     keys = [k for k in PAGE_KEYS if k in df.columns] if keys is None else keys
     if limit is None and start_position == 1:
         return df
-    if limit is not None and start_position + limit <= MAX_TOP_ROWS:
+    # beyond this many rows Spark plans no cut before the shuffle: a pull would meet in one task
+    cut = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if limit is not None and start_position + limit <= (min(cut, MAX_TOP_ROWS) if keys else MAX_TOP_ROWS):
         last = start_position + limit - 1
         if keys:  # each task keeps the first rows of a pull before the shuffle
             number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -190,9 +190,8 @@ def pages_tidy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_rows_window(spark: SparkSession, sf: str) -> DataFrame:
-    """Start position + limit on landed pages: the start is a filter on the
-    absolute row number ``page_offset + pos`` (no window), the limit a top-k."""
-    rows = value_rows(_event_pages(spark, sf))
+    """Start position + limit on landed pages, rows numbered by ranges of their order."""
+    rows = value_rows(_event_pages(spark, sf)).select(*PAGE_COLS, "lang", "query_fingerprint")
     return split_value_annotation(take_rows(rows, limit=500, start_position=1200).select(*PAGE_COLS))
 
 
