@@ -47,7 +47,9 @@ PRIOR_LETTERS = 20
 #: A classifier for more languages than this is refused (the labels are collected).
 MAX_LANGUAGES = 1000
 #: Words a worker remembers.
-CACHE_WORDS = 1 << 17
+CACHE_WORDS = 1 << 16
+#: Text that a worker labels at a time.
+SLICE_BYTES = 1 << 20
 #: First code point of each script's ranges (fixed values); "Latin" holds what is before the second.
 SCRIPTS = ((0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"),
            (0x0600, "Arabic"), (0x0900, "Devanagari"), (0x0980, "Bengali"), (0x0A00, "Gurmukhi"), (0x0A80, "Gujarati"),
@@ -307,6 +309,11 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return Model(languages, weight.astype(np.float32), masks, mean.astype(np.float32), expected.astype(np.float64), penalty)
 
 
+def labelled(texts: pa.Array, model: Model) -> pa.Array:
+    """``model.predict`` of a batch, a slice at a time."""
+    return in_slices(texts, model.predict, SLICE_BYTES)
+
+
 def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``df`` with the language of each text and its score."""
     arrow_rows(df)
@@ -314,7 +321,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", lang_col: str =
 
     @F.arrow_udf("lang string, score double")
     def language(texts: pa.Array) -> pa.Array:
-        return in_slices(texts, shared.value.predict, 4 << 20)
+        return labelled(texts, shared.value)
 
     out = free_name(df, "found")
     return df.withColumn(out, language(F.col(text_col))).withColumns({lang_col: F.col(out)["lang"], score_col: F.col(out)["score"]}).drop(out)

@@ -1,12 +1,15 @@
 """What a Python worker keeps between batches.
 
 Workers are used again by later stages, so they keep one tool only (a tokenizer
-or a model with its cache): another one, or work that needs none, makes it go.
+or a model with its cache): another one, or work that needs none, makes it go,
+and what Arrow holds unused for it goes back to the system.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+import gc
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from itertools import pairwise
 
 import numpy as np
@@ -19,7 +22,9 @@ _HELD: dict[Hashable, object] = {}
 def held(key: Hashable | None, build: Callable[[], object] = lambda: None):
     """The tool named ``key``, built if the worker has it not; None lets it go."""
     if key not in _HELD:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            pa.default_memory_pool().release_unused()
         if key is None:
             return None
         _HELD[key] = build()
@@ -46,6 +51,19 @@ class Recent:
         self.new[key] = value
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """For work that makes many objects and no reference cycles: the collector,
+    which would look through a whole cache again and again, waits till its end."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 def in_slices(texts: pa.Array, work: Callable[[list], pa.Array], most_bytes: int = 2 << 20) -> pa.Array:
     """``work`` over slices of about ``most_bytes``, so that memory follows the
     slice and not the Arrow batch."""

@@ -1,16 +1,21 @@
 """Each operator against a brute-force version, on edge cases and on the
 smallest test table."""
 
+import gc
 import hashlib
 import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from statlake.llm import bpe_heap, bpe_tree, cws, html_paths, langid, mixing, pii, quality_sketch, queries, simhash_trie, substr
+from statlake.llm import bpe_heap, bpe_tree, components, cws, html_paths, langid, mixing, pii, quality_sketch, queries, simhash_trie, substr
 from statlake.llm.components import connected
 
 SF = "/root/testdata/sf0.001"
@@ -267,6 +272,21 @@ def test_token_counts(table, request):
 @pytest.mark.parametrize("table", ["docs", "small"])
 def test_bpe_round(table, request):
     from tokenizers import Tokenizer
+def test_labelling_holds_a_slice_at_a_time(small):
+    model = langid.train(small)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(3000)]
+    texts = pa.array([" ".join(rng.choices(words, k=400)) for _ in range(1300)])
+    model.predict([" ".join(words)])
+    tracemalloc.start()
+    try:
+        langid.labelled(texts, model)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 25 << 20
+
+
 
     path = queries.vocab_path("word_bpe_49k.json")
     model = Tokenizer.from_file(path)
