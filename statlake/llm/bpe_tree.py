@@ -10,7 +10,8 @@ have a tree of their own.
 
 The vocabulary file is read once on the driver and broadcast (its size is
 checked against ``MAX_VOCAB_BYTES``), so executors need no local copy.  Each
-Python worker keeps a bounded cache from words to ids, half of which goes at a time.
+Python worker keeps a bounded cache from words to ids, half of which goes at a time;
+the decoded texts are joined from the ids by Arrow, a slice at a time.
 
 Defined results: a null or empty text encodes to no ids and decodes to "";
 extra columns are kept, repeated rows give repeated results, an empty table
@@ -22,19 +23,21 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.common import arrow_rows, free_name
-from statlake.llm.worker import Recent, held, in_slices
+from statlake.llm.worker import Recent, held, in_slices, no_cycles
 
 #: A vocabulary file larger than this is refused rather than broadcast.
 MAX_VOCAB_BYTES = 64 << 20
-#: Words in each half of a worker's cache: some 45 MB a half.
+#: Words in each half of a worker's cache: some 25 MB a half.
 CACHE_WORDS = 1 << 17
 #: Longer words are not kept.
 LONGEST_KEPT = 64
@@ -197,6 +200,7 @@ class WordBpe:
         self.tokens = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.pre = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if "pattern" in p).replace(r"\s", SPACE))
         longest_first = sorted(self.special, key=len, reverse=True)
+        self.pre_or_line = regex.compile(f"\n|{self.pre.pattern}")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
         self.space = regex.compile(f"[{SPACE}]+")
         self.odd_space = regex.compile("[\x1c-\x1f]")
@@ -204,7 +208,8 @@ class WordBpe:
         self.pairs = PairTable(self.merges)
         self.inner = [self.vocab[c] for c in letters]
         self.last = [self.vocab[c + self.suffix] for c in letters]
-        #: word or pre-token as written -> (its ids as int32 bytes, their tokens joined by spaces)
+        self.shown = pa.array([self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)], pa.string())
+        #: word or pre-token as written -> its ids as int32 bytes
         self.seen = Recent(CACHE_WORDS)
         letters = "".join(map(chr, range(ord("a"), ord("z") + 1)))
         self.one_token = self.pre.findall(letters * 2) == [letters * 2] and not any(map(str.isalpha, self.special))
@@ -219,25 +224,39 @@ class WordBpe:
         # letter by letter: a final capital sigma becomes the plain small one
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def pre_tokens(self, word: str) -> list[str]:
-        """Normalised pre-tokens (and special tokens, as they are) of a word."""
-        if self.one_token and word.isascii() and word.isalpha():
-            return [word.lower()]
-        out = []
-        for part in self.cut.split(word) if self.cut else (word,):
-            out += [part] if part in self.special else self.pre.findall(self.normal(part))
+    def pre_tokens(self, words: list[str]) -> list[list[str]]:
+        """Normalised pre-tokens (and special tokens, as they are) of each word;
+        no word has white space in it, so many are cut as the lines of one text."""
+        out: list = [None] * len(words)
+        lines = []
+        for i, word in enumerate(words):
+            if self.one_token and word.isascii() and word.isalpha():
+                out[i] = [word.lower()]
+            elif self.cut and self.cut.search(word):
+                out[i] = []
+                for part in self.cut.split(word):
+                    out[i] += [part] if part in self.special else self.pre.findall(self.normal(part))
+            else:
+                lines.append(i)
+        found = self.pre_or_line.findall(self.normal("\n".join([words[i] for i in lines])))
+        found.append("\n")
+        begin = 0
+        for i in lines:
+            end = found.index("\n", begin)
+            out[i] = found[begin:end]
+            begin = end + 1
         return out
 
-    def merge_tokens(self, tokens: list[str]) -> list[tuple[bytes, str]]:
-        """Of each pre-token: its ids as int32 bytes, and their tokens joined by
-        spaces; tokens of like length go through one matrix of trees."""
+    def merge_tokens(self, tokens: list[str]) -> list[bytes]:
+        """Each pre-token's ids as int32 bytes; tokens of like length go through
+        one matrix of trees."""
         out: list = [None] * len(tokens)
         data = [t.encode("utf-8", "surrogatepass") for t in tokens]
         sizes = np.array(list(map(len, data)), np.int64)
         inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
         for i in np.flatnonzero(sizes > MOST_SYMBOLS).tolist():
             ids = merge_symbols([*map(self.inner.__getitem__, data[i][:-1]), self.last[data[i][-1]]], self.merges)
-            out[i] = np.array(ids, np.int32).tobytes(), self.decode(ids)
+            out[i] = np.array(ids, np.int32).tobytes()
         for low, high in ((0, 1), (1, 2), (2, 3), (3, 5), (5, 9), (9, 17), (17, 33), (33, MOST_SYMBOLS)):
             group = np.flatnonzero((sizes > low) & (sizes <= high))
             for which in np.array_split(group, -(-len(group) // 8192)) if len(group) else ():
@@ -247,41 +266,38 @@ class WordBpe:
                 if high > 1:
                     symbols = merge_rows(symbols, size, self.pairs)
                 kept = symbols >= 0
-                flat, ends = symbols[kept], np.cumsum(kept.sum(axis=1)).tolist()
-                shown, packed, begin = [*map(self.tokens.__getitem__, flat.tolist())], flat.astype(np.int32).tobytes(), 0
-                for i, end in zip(which.tolist(), ends):
-                    out[i] = packed[4 * begin:4 * end], " ".join(shown[begin:end])
+                packed, begin = symbols[kept].astype(np.int32).tobytes(), 0
+                for i, end in zip(which.tolist(), (4 * np.cumsum(kept.sum(axis=1))).tolist()):
+                    out[i] = packed[begin:end]
                     begin = end
         return out
 
-    def learn(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
+    def learn(self, words: set[str]) -> dict[str, bytes]:
         """The same of words as written, by word; all but very long ones are kept."""
-        split = {w: self.pre_tokens(w) for w in words}
+        written = list(words)
+        split = self.pre_tokens(written)
         known, new = {}, set()
-        for tokens in split.values():
-            for t in tokens:
-                if t not in known and t not in new:
-                    got = self.seen.new.get(t) or self.seen.older(t)
-                    if got is not None:
-                        known[t] = got
-                    elif t in self.special:
-                        known[t] = np.int32(self.special[t]).tobytes(), t
-                    else:
-                        new.add(t)
+        for t in set(chain.from_iterable(split)):
+            got = self.seen.new.get(t)
+            if got is None:
+                got = self.seen.older(t)
+            if got is not None:
+                known[t] = got
+            elif t in self.special:
+                known[t] = np.int32(self.special[t]).tobytes()
+            else:
+                new.add(t)
         tokens = list(new)
         known.update(zip(tokens, self.merge_tokens(tokens)))
-        out = {}
-        for word, tokens in split.items():
-            parts = [known[t] for t in tokens]
-            out[word] = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]))
+        out = {w: known[parts[0]] if len(parts) == 1 else b"".join([known[t] for t in parts]) for w, parts in zip(written, split)}
         for got in (known, out):
             for word, ids in got.items():
                 if len(word) <= LONGEST_KEPT and word not in self.seen.new and word not in self.special:
                     self.seen.put(word, ids)
         return out
 
-    def encode_all(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
-        """Each text's ids as int32 bytes, and the text they decode to."""
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids as int32 bytes."""
         split = [self.split(t or "") for t in texts]
         found = [list(map(self.seen.new.get, words)) for words in split]
         missing = {w for words, got in zip(split, found) if None in got for w, g in zip(words, got) if g is None}
@@ -293,12 +309,12 @@ class WordBpe:
             else:
                 learnt[w] = got
         learnt |= self.learn(unknown)
-        out = []
-        for words, got in zip(split, found):
-            if None in got:
-                got = [learnt[w] if g is None else g for w, g in zip(words, got)]
-            out.append((b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])))
-        return out
+        return [b"".join([learnt[w] if g is None else g for w, g in zip(words, got)] if None in got else got) for words, got in zip(split, found)]
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The text each list of ids stands for (null list: "")."""
+        shown = pa.ListArray.from_arrays(ids.offsets, pc.take(self.shown, ids.values))
+        return pc.fill_null(pc.binary_join(shown, " "), "")
 
     def decode(self, ids: Iterable[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
@@ -309,10 +325,11 @@ def _codec(data: bytes) -> WordBpe:
 
 
 def encode_batch(codec: WordBpe, texts: list[str | None]) -> pa.StructArray:
-    ids, decoded = zip(*codec.encode_all(texts)) if texts else ((), ())
-    offsets = np.cumsum([0, *map(len, ids)]) // 4
-    flat = np.frombuffer(b"".join(ids), np.int32)
-    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)), pa.array(decoded, pa.string())], ["ids", "decoded"])
+    with no_cycles():
+        found = codec.encode_all(texts)
+    offsets = np.cumsum([0, *map(len, found)]) // 4
+    ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+    return pa.StructArray.from_arrays([ids, codec.decode_all(ids)], ["ids", "decoded"])
 
 
 def read_vocab(path: str) -> bytes:

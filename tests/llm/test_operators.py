@@ -329,6 +329,26 @@ def test_paths_without_an_article_mark():
 
 PARAGRAPH = "<p>A paragraph with several words, some marks, and a second sentence. It goes on.</p>"
 
+def test_words_are_encoded_without_collector_runs():
+    codec = bpe_tree.WordBpe(bpe_tree.read_vocab(queries.vocab_path("word_bpe_49k.json")))
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{i}," for k in range(676)) for i in range(20)]
+    runs = []
+    gc.callbacks.append(lambda phase, info: runs.append(phase))
+    try:
+        bpe_tree.encode_batch(codec, texts)
+    finally:
+        gc.callbacks.pop()
+    assert len(runs) <= 2 and gc.isenabled()
+    assert all(type(ids) is bytes for ids in codec.seen.new.values())
+
+
+def test_many_words_are_cut_as_each_alone():
+    codec = bpe_tree.WordBpe(bpe_tree.read_vocab(queries.vocab_path("word_bpe_49k.json")))
+    words = ["don't", "\u0301a", "ΑΣ", "<|endoftext|>x", "a1b22", "İx's", "$$..!", "plain", "\u200b", "<|ENDOFTEXT|>"]
+    assert codec.pre_tokens(words) == [codec.pre_tokens([w])[0] for w in words]
+    assert codec.pre_tokens(["don't", "ΑΣ", "a1b22"]) == [["don", "'t"], ["ας".replace("ς", "σ")], ["a", "1", "b", "2", "2"]]
+
+
 
 def test_score_decides_inside_the_article():
     items = "".join(f"<li><a href=#>other page {i}</a>" for i in range(80))
