@@ -200,6 +200,37 @@ def test_connected_chain(spark):
     assert {r["node"]: r["root"] for r in rows(connected(links))} == {**{i: 1 for i in range(1, 201)}, 400: 400, 500: 400}
 
 
+def test_connected_over_chunks(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(2200)] + [(7, 8)] * 50 + [(k, 9999) for k in range(0, 3000, 40)]
+    parent = {x: x for p in pairs for x in p if p[0] != p[1]}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a, b in pairs:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    for chunk in (1 << 18, 16):
+        got = [(r["node"], r["root"]) for r in rows(connected(spark.createDataFrame(pairs, "a long, b long"), chunk))]
+        assert sorted(got) == sorted((x, find(x)) for x in parent)
+
+
+def test_connected_needs_no_rounds_for_few_links(spark, monkeypatch):
+    def no_round(links, large):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(components, "_star", no_round)
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)], "a long, b long").repartition(8)
+    assert {r["root"] for r in rows(connected(links))} == {1}
+
+
+def test_links_become_stars_of_their_least_node():
+    got = components._least_joined(np.array([5, 9, 7, 4]), np.array([7, 5, -2, 3])).to_pylist()
+    assert sorted((r["a"], r["b"]) for r in got) == [(4, 3), (5, -2), (7, -2), (9, -2)]
+
+
 # ---- 3, language
 
 def test_language_held_out_accuracy(small):
